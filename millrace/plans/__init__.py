@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("clickstream",)
+_MODULES = ("clickstream", "table_jobs", "relational")
 
 
 def _load() -> None:

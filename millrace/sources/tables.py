@@ -22,8 +22,6 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.quality import ExpectationError, expect, violations
 
-CHANGE_COLUMNS = ("_change",)
-
 
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
@@ -88,7 +86,6 @@ class Tables:
         base = f"{self.root}/{name}/data"
         df = (
             self.spark.read.option("basePath", base)
-            .option("partitionOverwriteMode", "dynamic")
             .schema(schema)
             .parquet(*[f"{base}/part={p['id']}" for p in parts])
         )
