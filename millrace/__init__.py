@@ -1 +1,8 @@
 """Table, feature, model and text jobs for Spark, written as plain functions over DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

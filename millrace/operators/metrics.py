@@ -16,39 +16,43 @@ def _columns(y: str, p: str) -> tuple[Column, Column]:
     return F.when(both, F.col(y).cast("double")), F.when(both, F.col(p).cast("double"))
 
 
-def regression_aggs(y: str, p: str) -> list[Column]:
+def regression_aggs(y: str, p: str) -> dict[str, Column]:
     yc, pc = _columns(y, p)
     sse = F.sum((yc - pc) * (yc - pc))
     n = F.count(yc)
     spread = F.var_pop(yc) * n
     mse = F.when(n > 0, sse / n)
-    return [
-        n.alias("n"),
-        mse.alias("mse"),
-        F.sqrt(mse).alias("rmse"),
-        F.avg(F.abs(yc - pc)).alias("mae"),
-        F.when(spread > 0, 1 - sse / spread).alias("r2"),
-    ]
+    return {
+        "n": n,
+        "mse": mse,
+        "rmse": F.sqrt(mse),
+        "mae": F.avg(F.abs(yc - pc)),
+        "r2": F.when(spread > 0, 1 - sse / spread),
+    }
+
+
+def classification_aggs(y: str, p: str) -> dict[str, Column]:
+    yc, pc = _columns(y, p)
+    n = F.count(yc)
+    tp = F.count_if((yc == 1) & (pc == 1))
+    predicted, actual = F.count_if(pc == 1), F.count_if(yc == 1)
+    return {
+        "n": n,
+        "accuracy": F.when(n > 0, F.count_if(yc == pc) / n),
+        "precision": F.when(predicted > 0, tp / predicted).otherwise(F.lit(0.0)),
+        "recall": F.when(actual > 0, tp / actual).otherwise(F.lit(0.0)),
+        "f1": F.when(predicted + actual > 0, 2 * tp / (predicted + actual)).otherwise(F.lit(0.0)),
+    }
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, by: Iterable[str] = ()) -> DataFrame:
     """n, mse, rmse, mae and R² where label and prediction are both present (R² is NULL for a constant label)."""
-    return df.groupBy(*by).agg(*regression_aggs(y, p))
+    return df.groupBy(*by).agg(*[c.alias(a) for a, c in regression_aggs(y, p).items()])
 
 
 def classification_metrics(df: DataFrame, y: str, p: str, by: Iterable[str] = ()) -> DataFrame:
     """accuracy over all classes; precision, recall and F1 of class 1 (0 where undefined)."""
-    yc, pc = _columns(y, p)
-    n = F.count(yc)
-    tp = F.count_if((yc == 1) & (pc == 1))
-    predicted, actual = F.count_if(pc == 1), F.count_if(yc == 1)
-    return df.groupBy(*by).agg(
-        n.alias("n"),
-        F.when(n > 0, F.count_if(yc == pc) / n).alias("accuracy"),
-        F.when(predicted > 0, tp / predicted).otherwise(F.lit(0.0)).alias("precision"),
-        F.when(actual > 0, tp / actual).otherwise(F.lit(0.0)).alias("recall"),
-        F.when(predicted + actual > 0, 2 * tp / (predicted + actual)).otherwise(F.lit(0.0)).alias("f1"),
-    )
+    return df.groupBy(*by).agg(*[c.alias(a) for a, c in classification_aggs(y, p).items()])
 
 
 def evaluate(df: DataFrame, y: str, p: str, task: str, by: Iterable[str] = ()) -> DataFrame:

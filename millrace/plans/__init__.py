@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("clickstream", "table_jobs", "relational")
+_MODULES = ("clickstream", "table_jobs", "relational", "modeling")
 
 
 def _load() -> None:
