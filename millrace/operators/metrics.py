@@ -124,9 +124,9 @@ def custom_metrics(df: DataFrame, metrics: Iterable[Metric], by: Iterable[str] =
     return add_derived(df.groupBy(*by).agg(*custom_aggs(metrics)), metrics)
 
 
-def custom_drift(current: DataFrame, base: DataFrame, metrics: Iterable[Metric], on: Iterable[str] = ()) -> DataFrame:
+def custom_drift(current: DataFrame, base: DataFrame, metrics: Iterable[Metric], on: Iterable[str] = (), keep: Iterable[str] = ()) -> DataFrame:
     """Drift metrics of metric rows against base metric rows: joined on ``on``, or against the one base
-    row there is when ``on`` is empty."""
+    row there is when ``on`` is empty.  ``keep`` names further columns of the current rows to carry."""
     on, cur, bas = list(on), current.alias("_cur"), base.alias("_base")
     if on:
         cond = F.lit(True)
@@ -147,4 +147,4 @@ def custom_drift(current: DataFrame, base: DataFrame, metrics: Iterable[Metric],
         if m.type == "drift"
         for c in m.input_columns
     ]
-    return joined.select(*[F.col(f"_cur.{c}").alias(c) for c in on], *made)
+    return joined.select(*[F.col(f"_cur.{c}").alias(c) for c in dict.fromkeys([*on, *keep])], *made)

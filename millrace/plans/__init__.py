@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("clickstream", "table_jobs", "relational", "modeling")
+_MODULES = ("clickstream", "table_jobs", "relational", "modeling", "monitoring")
 
 
 def _load() -> None:
