@@ -1,0 +1,35 @@
+"""Deterministic stand-ins for a text model: small batch functions for ``text_udf`` and ``chat_udf``.
+
+A real model is any function of the same shape; it is called once per Arrow batch.
+"""
+
+from __future__ import annotations
+
+import re
+
+_SENTENCE = re.compile(r"[^.!?]*[.!?]?")
+_WORD = re.compile(r"\w+")
+
+
+def first_sentence(texts: list[str]) -> list[str]:
+    return [_SENTENCE.match(t).group(0) for t in texts]
+
+
+def closing_reply(chats: list[list[dict]]) -> list[str]:
+    """Says how long the chat is and takes up the first sentence of its last message."""
+    return [f"{len(c)} messages, last: {_SENTENCE.match(c[-1]['content']).group(0)}" if c else "" for c in chats]
+
+
+def extractive_answer(prompts: list[str]) -> list[str]:
+    """The context sentence that shares most words with the question; the first one on ties."""
+    out = []
+    for prompt in prompts:
+        context, _, question = prompt.rpartition("Question:")
+        wanted = set(_WORD.findall(question.lower()))
+        best, score = "", 0
+        for sentence in _SENTENCE.findall(context):
+            n = len(wanted & set(_WORD.findall(sentence.lower())))
+            if n > score:
+                best, score = sentence.strip(), n
+        out.append(best or "I do not know.")
+    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("clickstream", "table_jobs", "relational", "modeling", "monitoring")
+_MODULES = ("clickstream", "table_jobs", "relational", "modeling", "monitoring", "text_jobs", "streams")
 
 
 def _load() -> None:
