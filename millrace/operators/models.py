@@ -171,6 +171,7 @@ class SearchResult:
     best_run: str
     metric: str
     trials: list[dict]
+    models: dict[str, PipelineModel]
 
     def leaderboard(self, spark) -> DataFrame:
         """One row per trial, best first."""
@@ -207,7 +208,7 @@ def auto_fit(
     train, held = split(ready.dropna(subset=[target]), key, [1 - validation, validation], seed)
     train, held = train.persist(), held.persist()
     measure = regression_metrics if task == "regressor" else classification_metrics
-    trials, best = [], None
+    trials, best, models = [], None, {}
     try:
         for i, (family, params, estimator) in enumerate(_candidates(task, target, len(features), seed)[:max_trials]):
             fitted = estimator.fit(train)
@@ -216,18 +217,19 @@ def auto_fit(
             run = {"run_id": f"trial-{i:03d}", "family": family, "params": {"regressor": family, **{k: str(v) for k, v in params.items()}},
                    "metrics": metrics, "end_time": time.time()}
             trials.append(run)
+            models[run["run_id"]] = PipelineModel(stages=[assembler, fitted])
             score = metrics.get(metric)
             if score is None:
                 continue
             sign = -1 if HIGHER_IS_BETTER[metric] else 1
             if best is None or sign * score < best[0]:
-                best = (sign * score, run["run_id"], fitted)
+                best = (sign * score, run["run_id"])
     finally:
         train.unpersist()
         held.unpersist()
     if best is None:
         raise RuntimeError(f"no trial produced metric {metric!r}")
-    return SearchResult(PipelineModel(stages=[assembler, best[2]]), best[1], metric, trials)
+    return SearchResult(models[best[1]], best[1], metric, trials, models)
 
 
 def vote(cols: Sequence[str]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("clickstream", "table_jobs", "relational", "modeling", "monitoring", "text_jobs", "streams")
+_MODULES = ("clickstream", "table_jobs", "relational", "modeling", "monitoring", "text_jobs", "streams", "learning")
 
 
 def _load() -> None:
