@@ -205,7 +205,8 @@ def auto_fit(
     features = [f for f in features if f not in set(exclude) | {key, target}]
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
     ready = assembler.transform(df).select(key, "features", F.col(target).cast("double").alias(target))
-    train, held = split(ready.dropna(subset=[target]), key, [1 - validation, validation], seed)
+    # a seed of its own: the rows may already be one side of a split by the same key
+    train, held = split(ready.dropna(subset=[target]), key, [1 - validation, validation], f"search-{seed}")
     train, held = train.persist(), held.persist()
     measure = regression_metrics if task == "regressor" else classification_metrics
     trials, best, models = [], None, {}

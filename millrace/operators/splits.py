@@ -30,8 +30,8 @@ def with_split(df: DataFrame, key: str, weights: Mapping[str, float], seed: int
     return df.withColumn(out, pick(key, weights, seed))
 
 
-def split(df: DataFrame, key: str, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
-    """Disjoint frames that together hold every row."""
+def split(df: DataFrame, key: str, weights: Sequence[float], seed: int | str = 42) -> list[DataFrame]:
+    """Disjoint frames that together hold every row.  To split a part again, give another seed."""
     named = {str(i): w for i, w in enumerate(weights)}
     tagged = with_split(df, key, named, seed, "_split")
     return [tagged.filter(F.col("_split") == n).drop("_split") for n in named]

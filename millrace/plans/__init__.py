@@ -4,7 +4,17 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("clickstream", "table_jobs", "relational", "modeling", "monitoring", "text_jobs", "streams", "learning")
+_MODULES = (
+    "clickstream",
+    "table_jobs",
+    "relational",
+    "modeling",
+    "monitoring",
+    "text_jobs",
+    "streams",
+    "learning",
+    "workflows",
+)
 
 
 def _load() -> None:
