@@ -38,22 +38,23 @@ def mean_path(n: float) -> float:
 class IsolationForest:
     features: tuple[str, ...]
     sample: int
-    trees: list[dict]  # normals (nodes x d), offsets, left, right, path
+    depth: int
+    trees: list[dict]  # by node: normals (nodes x d), offsets, left, right, path
 
     def predict(self, pdf: pd.DataFrame) -> np.ndarray:
         x = pdf[list(self.features)].to_numpy(dtype=float)
         total = np.zeros(len(x))
-        every = np.arange(len(x))
         for t in self.trees:
-            side = x @ t["normals"].T - t["offsets"] <= 0 if len(t["offsets"]) else None
-            at = np.zeros(len(x), dtype=int)
-            while side is not None:
-                inner = t["left"][at] >= 0
-                if not inner.any():
-                    break
-                who = every[inner]
-                node = at[inner]
-                at[inner] = np.where(side[who, t["slot"][node]], t["left"][node], t["right"][node])
+            at = np.zeros(len(x), dtype=np.int32)
+            for _ in range(self.depth):  # a leaf leads to itself
+                if x.shape[1] <= 16:
+                    cut = t["offsets"][at]
+                    for j, column in enumerate(t["columns"]):
+                        cut = cut - x[:, j] * column[at]
+                    goes = cut >= 0
+                else:
+                    goes = np.einsum("ij,ij->i", x, t["normals"][at]) <= t["offsets"][at]
+                at = np.where(goes, t["left"][at], t["right"][at])
             total += t["path"][at]
         return 2.0 ** (-(total / max(len(self.trees), 1)) / max(mean_path(self.sample), 1e-12))
 
@@ -62,13 +63,14 @@ def build_tree(x: np.ndarray, ext: int, limit: int, rng: np.random.Generator) ->
     """Random oblique splits down to ``limit``; a cut's normal has ``ext + 1`` non-zero components and
     its intercept lies within the node's range."""
     d = x.shape[1]
-    normals, offsets, left, right, slot, path = [], [], [], [], [], []
+    normals, offsets, left, right, path = [], [], [], [], []
 
     def grow(rows: np.ndarray, depth: int) -> int:
         me = len(left)
-        left.append(-1)
-        right.append(-1)
-        slot.append(-1)
+        left.append(me)
+        right.append(me)
+        normals.append(np.zeros(d))
+        offsets.append(0.0)
         path.append(depth + mean_path(len(rows)))
         if depth >= limit or len(rows) <= 1:
             return me
@@ -78,24 +80,14 @@ def build_tree(x: np.ndarray, ext: int, limit: int, rng: np.random.Generator) ->
         normal = rng.standard_normal(d)
         if ext + 1 < d:
             normal[rng.choice(d, d - ext - 1, replace=False)] = 0.0
-        offset = float(rng.uniform(low, high) @ normal)
-        goes = rows @ normal - offset <= 0
-        slot[me] = len(offsets)
-        normals.append(normal)
-        offsets.append(offset)
+        normals[me], offsets[me] = normal, float(rng.uniform(low, high) @ normal)
+        goes = rows @ normal <= offsets[me]
         left[me] = grow(rows[goes], depth + 1)
         right[me] = grow(rows[~goes], depth + 1)
         return me
 
     grow(x, 0)
-    return {
-        "normals": np.array(normals).reshape(len(offsets), d),
-        "offsets": np.array(offsets),
-        "left": np.array(left),
-        "right": np.array(right),
-        "slot": np.array(slot),
-        "path": np.array(path),
-    }
+    return {"normals": np.array(normals), "offsets": np.array(offsets), "left": np.array(left), "right": np.array(right), "path": np.array(path)}
 
 
 def fit_isolation_forest(
@@ -136,18 +128,23 @@ def fit_isolation_forest(
         return pd.DataFrame({"tree": [tree], **{k: [v.ravel().tolist()] for k, v in made.items()}})
 
     schema = (
-        "tree int, normals array<double>, offsets array<double>, left array<int>, right array<int>, slot array<int>, path array<double>"
+        "tree int, normals array<double>, offsets array<double>, left array<int>, right array<int>, path array<double>"
     )
     rows = apply_groups(drawn, "tree", build, schema).orderBy("tree").collect()  # one row per tree
-    forest = [
-        {
-            "normals": np.array(r["normals"]).reshape(-1, d),
-            **{k: np.array(r[k], dtype=float) for k in ("offsets", "path")},
-            **{k: np.array(r[k], dtype=int) for k in ("left", "right", "slot")},
-        }
-        for r in rows
-    ]
-    return IsolationForest(tuple(features), min(sample, n), forest)
+    forest = []
+    for r in rows:
+        normals = np.array(r["normals"]).reshape(-1, d)
+        forest.append(
+            {
+                "normals": normals,
+                "columns": [np.ascontiguousarray(normals[:, j]) for j in range(d)] if d <= 16 else [],
+                "offsets": np.array(r["offsets"]),
+                "path": np.array(r["path"]),
+                "left": np.array(r["left"], dtype=np.int32),
+                "right": np.array(r["right"], dtype=np.int32),
+            }
+        )
+    return IsolationForest(tuple(features), min(sample, n), limit, forest)
 
 
 def score_isolation_forest(df: DataFrame, forest: IsolationForest, out: str = "score") -> DataFrame:

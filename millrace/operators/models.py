@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.metrics import classification_metrics, corr_matrix, regression_metrics
@@ -212,7 +212,7 @@ def auto_fit(
     trials, best, models = [], None, {}
     try:
         for i, (family, params, estimator) in enumerate(_candidates(task, target, len(features), seed)[:max_trials]):
-            fitted = estimator.fit(train)
+            fitted = without_summary(estimator.fit(train))
             row = measure(fitted.transform(held), target, "prediction").first().asDict()
             metrics = {k: float(v) for k, v in row.items() if v is not None}
             run = {"run_id": f"trial-{i:03d}", "family": family, "params": {"regressor": family, **{k: str(v) for k, v in params.items()}},
@@ -233,6 +233,16 @@ def auto_fit(
     return SearchResult(models[best[1]], best[1], metric, trials, models)
 
 
+def without_summary(model):
+    """The fitted model without its training summary.
+
+    A summary keeps the session, and a session that has run an ``Observation`` cannot be serialized, so a
+    model that still holds one cannot score rows any more ("Task not serializable")."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def vote(cols: Sequence[str]) -> Column:
     """Mean of the members' prediction columns; NULL when a member has none."""
     out = F.col(cols[0])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.features import tokenize
+from millrace.operators.models import without_summary
 
 
 def fit_text_classifier(
@@ -20,7 +21,9 @@ def fit_text_classifier(
         IDF(inputCol="_tf", outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter, regParam=reg),
     ]
-    return Pipeline(stages=stages).fit(ready)
+    fitted = Pipeline(stages=stages).fit(ready)
+    without_summary(fitted.stages[-1])
+    return fitted
 
 
 def classify_text(df: DataFrame, model: PipelineModel, text: str, max_len: int | None = None) -> DataFrame:

@@ -39,8 +39,8 @@ SLICED_SQL = f"""
 """
 
 
-def _profile_sql(source: str = SLICED_SQL, columns=("value", "label", "event_type")) -> str:
-    numeric = """round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, min({c}) AS min, max({c}) AS max"""
+def _profile_sql(source: str = SLICED_SQL, columns=("value", "label", "event_type"), digits=(8, 6)) -> str:
+    numeric = f"""round(avg({{c}}), {digits[0]}) AS mean, round(stddev_samp({{c}}), {digits[1]}) AS stddev, min({{c}}) AS min, max({{c}}) AS max"""
     absent = "NULL::double AS mean, NULL::double AS stddev, NULL::double AS min, NULL::double AS max"
     return " UNION ALL ".join(
         f"""SELECT day, model_id, slice_key, slice_value, '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS n_null,
@@ -52,7 +52,7 @@ def _profile_sql(source: str = SLICED_SQL, columns=("value", "label", "event_typ
 
 def shown(profiles: DataFrame) -> DataFrame:
     df = profiles.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start")
-    return rounded(df, mean=6, stddev=6)
+    return rounded(df, mean=8, stddev=6)
 
 
 @query("profile_metrics", _profile_sql())
@@ -90,7 +90,7 @@ def profile_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "quality_by_window",
-    f"""SELECT day, event_type, {REGRESSION_SQL} FROM (SELECT day, event_type, label AS y, prediction AS p
+    f"""SELECT day, event_type, {REGRESSION_SQL.replace(', 2) AS mse', ', 8) AS mse').replace(', 4)', ', 8)')} FROM (SELECT day, event_type, label AS y, prediction AS p
         FROM ({INFERENCE_SQL}) WHERE label IS NOT NULL) GROUP BY 1, 2""",
 )
 def quality_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ def quality_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.merge_update("log", late_labels(spark, sf_dir), on="id", set_=["label"])
     df = quality(tables.read("log"), "timestamp", "1 day", "label", "prediction", by=["event_type"])
     df = df.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start")
-    return rounded(df, mse=2, rmse=4, mae=4, r2=6)
+    return rounded(df, mse=8, rmse=8, mae=8, r2=6)
 
 
 # -- drift -----------------------------------------------------------------------------------------
@@ -166,17 +166,16 @@ def numeric_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "drift_consecutive",
-    f"""WITH p AS ({_profile_sql()}), l AS (SELECT *, lag(day) OVER w AS previous, n - lag(n) OVER w AS n_delta, n_null - lag(n_null) OVER w AS n_null_delta,
-          round(mean - lag(mean) OVER w, 4) AS mean_delta, round(stddev - lag(stddev) OVER w, 4) AS stddev_delta FROM p
+    f"""WITH p AS ({_profile_sql(digits=(12, 12))}), l AS (SELECT *, lag(day) OVER w AS previous, n - lag(n) OVER w AS n_delta, n_null - lag(n_null) OVER w AS n_null_delta,
+          round(mean - lag(mean) OVER w, 8) AS mean_delta, round(stddev - lag(stddev) OVER w, 6) AS stddev_delta FROM p
           WINDOW w AS (PARTITION BY model_id, slice_key, slice_value, "column" ORDER BY day))
         SELECT day, previous, model_id, slice_key, slice_value, "column", n_delta, n_null_delta, mean_delta, stddev_delta
         FROM l WHERE previous IS NOT NULL""",
 )
 def drift_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profiles = rounded(profile(inference(spark, sf_dir), "timestamp", "1 day", **PROFILE_ARGS), mean=6, stddev=6)
-    df = drift_previous(profiles)
+    df = drift_previous(profile(inference(spark, sf_dir), "timestamp", "1 day", **PROFILE_ARGS))
     days = {"day": F.date_format("window_start", "yyyy-MM-dd"), "previous": F.date_format("previous_start", "yyyy-MM-dd")}
-    return rounded(df.withColumns(days).drop("window_start", "previous_start"), mean_delta=4, stddev_delta=4)
+    return rounded(df.withColumns(days).drop("window_start", "previous_start"), mean_delta=8, stddev_delta=6)
 
 
 CUSTOM = [

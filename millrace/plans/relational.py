@@ -130,7 +130,7 @@ def stats_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGRESSION_SQL = """count(*) AS n, round(avg((y - p) * (y - p)), 2) AS mse, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
-       round(avg(abs(y - p)), 4) AS mae, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2"""
+       round(avg(abs(y - p)), 4) AS mae, round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) AS r2"""
 
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
