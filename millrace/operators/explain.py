@@ -14,6 +14,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import spread
+
 
 def explain(
     df: DataFrame,
@@ -44,7 +46,7 @@ def explain(
     place = np.array([np.argsort(p) for p in orders])
     nb = len(rows)
 
-    expanded = df.select(
+    expanded = spread(df).select(
         F.col(key).alias("_key"),
         *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)],
         F.explode(F.sequence(F.lit(0), F.lit(len(orders) - 1))).alias("_p"),

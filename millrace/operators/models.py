@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.metrics import classification_metrics, corr_matrix, regression_metrics
 from millrace.operators.splits import split
+from millrace.session import spread
 
 
 @dataclass(frozen=True)
@@ -131,7 +132,7 @@ def fit_forest(
         seed=seed,
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, forest]).fit(df)
+    return Pipeline(stages=[assembler, forest]).fit(spread(df))
 
 
 def _candidates(task: str, label: str, width: int, seed: int) -> list[tuple[str, dict, object]]:
@@ -204,7 +205,7 @@ def auto_fit(
     metric = metric or ("rmse" if task == "regressor" else "f1")
     features = [f for f in features if f not in set(exclude) | {key, target}]
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
-    ready = assembler.transform(df).select(key, "features", F.col(target).cast("double").alias(target))
+    ready = assembler.transform(spread(df)).select(key, "features", F.col(target).cast("double").alias(target))
     # a seed of its own: the rows may already be one side of a split by the same key
     train, held = split(ready.dropna(subset=[target]), key, [1 - validation, validation], f"search-{seed}")
     train, held = train.persist(), held.persist()

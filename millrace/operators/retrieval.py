@@ -16,6 +16,7 @@ from millrace.functions.columns import fill_template
 from millrace.functions.hashing import hash32
 from millrace.functions.udfs import chat_udf, text_udf
 from millrace.operators.features import tokenize
+from millrace.session import spread
 
 QUERY_BLOCK_VALUES = 8_000_000  # numbers in one broadcast block of query vectors: 64 MB as doubles
 
@@ -38,14 +39,14 @@ def fit_encoder(df: DataFrame, text: str, dims: int = 256) -> PipelineModel:
     """TF-IDF over hashed tokens, scaled to unit length; fitting is one aggregation of size ``dims``."""
     counts = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=dims)
     stages = [counts, IDF(inputCol="tf", outputCol="tfidf"), Normalizer(inputCol="tfidf", outputCol="unit")]
-    return Pipeline(stages=stages).fit(tokenize(df, text, "tokens"))
+    return Pipeline(stages=stages).fit(tokenize(spread(df), text, "tokens"))
 
 
 def encode(df: DataFrame, text: str, encoder: PipelineModel | Callable, out: str = "vector") -> DataFrame:
     """Add ``array<float>``: by a fitted encoder, or by any column function of the text."""
     if not isinstance(encoder, PipelineModel):
         return df.withColumn(out, encoder(F.col(text)))
-    made = encoder.transform(tokenize(df, text, "tokens"))
+    made = encoder.transform(tokenize(spread(df), text, "tokens"))
     return made.withColumn(out, vector_to_array("unit", "float32")).drop("tokens", "tf", "tfidf", "unit")
 
 

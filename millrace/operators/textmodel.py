@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from millrace.operators.features import tokenize
 from millrace.operators.models import without_summary
+from millrace.session import spread
 
 
 def fit_text_classifier(
     df: DataFrame, text: str, label: str, dims: int = 4096, max_len: int | None = None, max_iter: int = 20, reg: float = 0.01
 ) -> PipelineModel:
-    ready = tokenize(df, text, "tokens", max_len).withColumn("_label", F.col(label).cast("double"))
+    ready = tokenize(spread(df), text, "tokens", max_len).withColumn("_label", F.col(label).cast("double"))
     stages = [
         HashingTF(inputCol="tokens", outputCol="_tf", numFeatures=dims),
         IDF(inputCol="_tf", outputCol="features"),
@@ -28,7 +29,7 @@ def fit_text_classifier(
 
 def classify_text(df: DataFrame, model: PipelineModel, text: str, max_len: int | None = None) -> DataFrame:
     """Rows with ``prediction`` and nothing else added."""
-    made = model.transform(tokenize(df, text, "tokens", max_len))
+    made = model.transform(tokenize(spread(df), text, "tokens", max_len))
     return made.select(*df.columns, "prediction")
 
 

@@ -62,6 +62,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out to all cores before costly per-row work.
+
+    A file or two with few row groups would otherwise keep most cores idle.  The optimizer's size
+    estimate decides: an input that cannot give every core one full file split is repartitioned, which
+    moves at most cores x split size; anything larger keeps the partitions of its scan, unshuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only when ``df`` is proven to hold at most ``max_rows`` rows.
 

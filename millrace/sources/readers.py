@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.session import spread
+
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """JSON lines.  Without a schema Spark scans the input once more to infer it."""
@@ -69,6 +71,6 @@ HTML_RULES = [
 
 def load_documents(pages: DataFrame, doc_id: str, html: str) -> DataFrame:
     """Paged documents as ``(doc_id, text)``; one projection, pages without visible text dropped."""
-    return pages.select(F.col(doc_id).alias("doc_id"), html_text(html).alias("text")).filter(
+    return spread(pages).select(F.col(doc_id).alias("doc_id"), html_text(html).alias("text")).filter(
         F.col("text") != ""
     )
