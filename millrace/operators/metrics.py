@@ -70,11 +70,18 @@ def to_class(col: str | Column) -> Column:
     return F.rint(col).cast("int")
 
 
+def _corr(a: str, b: str) -> Column:
+    """Correlation over the rows that have both values; NULL for a constant column, where the built-in
+    aggregate divides by zero under ANSI rules."""
+    x, y = (F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(c).cast("double")) for c in (a, b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Pearson correlation of every column pair as ``(col_a, col_b, corr)``, both triangles, one pass."""
     cols = list(cols)
     pairs = list(combinations_with_replacement(cols, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         for x, y in {(a, b), (b, a)}:

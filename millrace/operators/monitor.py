@@ -124,19 +124,29 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequen
     Values are counted first; running counts are formed over range partitions, so neither a frequent
     value nor a large group ends up in one task.
     """
-    by = list(by)
-    counts = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("c")
+    counts = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(_group(by).alias("_by"), F.col(column).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
-    cum = running_sums(counts, by, ["_v"], ["c"])
-    totals = counts.groupBy(*by).agg(F.sum("c").alias("n"))
-    ranked = cum.join(totals, by) if by else cum.join(F.broadcast(totals))
+    cum = running_sums(counts, ["_by"], ["_v"], ["_c"])
+    ranked = cum.join(counts.groupBy("_by").agg(F.sum("_c").alias("_n")), "_by")
     aggs = [
-        F.min(F.when(F.col("cum_c") >= F.greatest(F.ceil(F.lit(float(p)) * F.col("n")), F.lit(1)), F.col("_v"))).alias(f"q{i}")
+        F.min(F.when(F.col("cum__c") >= F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1)), F.col("_v"))).alias(f"q{i}")
         for i, p in enumerate(probs)
     ]
     cells = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(f"q{i}").alias("value")) for i, p in enumerate(probs)])
-    return ranked.groupBy(*by).agg(*aggs).select(*by, F.inline(cells))
+    return ranked.groupBy("_by").agg(*aggs).select(*_group_columns(by), F.inline(cells))
+
+
+def _group(by: Sequence[str]) -> Column:
+    """The group columns as one struct: a key that is never NULL itself, equal where its NULLs agree, and
+    whose field names cannot clash with columns made on the way."""
+    return F.struct(*([F.col(b) for b in by] or [F.lit(0).alias("_all")]))
+
+
+def _group_columns(by: Sequence[str]) -> list[Column]:
+    return [F.col("_by")[b].alias(b) for b in by]
 
 
 def quality(df: DataFrame, ts: str, granularity: str, y: str, p: str, by: Iterable[str] = ()) -> DataFrame:
@@ -149,9 +159,9 @@ def quality(df: DataFrame, ts: str, granularity: str, y: str, p: str, by: Iterab
 
 
 def _value_counts(df: DataFrame, by: Sequence[str], cols: Sequence[str], type_: str) -> DataFrame:
-    """``(by..., column, value, c)`` of all columns in one pass; NULL counts as a value of its own."""
+    """``(_by, column, value, c)`` of all columns in one pass; NULL counts as a value of its own."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(type_).alias("value")) for c in cols])
-    return df.select(*by, F.inline(cells)).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("c"))
+    return df.select(_group(by).alias("_by"), F.inline(cells)).groupBy("_by", "column", "value").agg(F.count(F.lit(1)).alias("c"))
 
 
 def drift_categorical(current: DataFrame, baseline: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -161,10 +171,9 @@ def drift_categorical(current: DataFrame, baseline: DataFrame, cols: Sequence[st
     Categories a group lacks enter through the baseline totals, so no group is paired with the whole
     list of baseline categories.
     """
-    by = list(by)
     cur = _value_counts(current, by, cols, "string").withColumn("value", F.coalesce("value", F.lit("\\N")))
     base = _value_counts(baseline, [], cols, "string").withColumn("value", F.coalesce("value", F.lit("\\N")))
-    sizes = cur.groupBy(*by, "column").agg(F.sum("c").alias("n"))
+    sizes = cur.groupBy("_by", "column").agg(F.sum("c").alias("n"))
     base_sizes = base.groupBy("column").agg(F.sum("c").alias("nb"))
     eps = F.lit(PSI_FLOOR)
     q = F.col("b") / F.col("nb")
@@ -173,7 +182,7 @@ def drift_categorical(current: DataFrame, baseline: DataFrame, cols: Sequence[st
     totals = base.groupBy("column").agg(F.sum("absent").alias("t_absent"))
 
     shares = (
-        cur.join(sizes, [*by, "column"])
+        cur.join(sizes, ["_by", "column"])
         .join(base.select("column", "value", "q", "absent"), ["column", "value"], "left")
         .withColumns({"p": F.col("c") / F.col("n"), "q": F.coalesce("q", F.lit(0.0)), "absent": F.coalesce("absent", F.lit(0.0))})
     )
@@ -182,7 +191,7 @@ def drift_categorical(current: DataFrame, baseline: DataFrame, cols: Sequence[st
     floor_p, floor_q = F.greatest(p, eps), F.greatest(q, eps)
     js = 0.5 * p * F.log2(p / mid) + F.when(q > 0, 0.5 * q * F.log2(q / mid)).otherwise(0.0)
     expected = q * F.col("n")
-    per = shares.groupBy(*by, "column").agg(
+    per = shares.groupBy("_by", "column").agg(
         F.max("n").alias("n"),
         F.sum(F.abs(p - q)).alias("tv"),
         F.sum((floor_p - floor_q) * F.log(floor_p / floor_q)).alias("psi"),
@@ -194,7 +203,7 @@ def drift_categorical(current: DataFrame, baseline: DataFrame, cols: Sequence[st
     )
     missing = F.greatest(1 - F.col("seen"), F.lit(0.0))
     return per.join(totals, "column").select(
-        *by,
+        *_group_columns(by),
         "column",
         ((F.col("tv") + missing) / 2).alias("total_variation"),
         (F.col("psi") + F.col("t_absent") - F.col("absent")).alias("psi"),
@@ -212,7 +221,6 @@ def drift_numeric(current: DataFrame, baseline: DataFrame, cols: Sequence[str],
     baseline's distribution: baseline counts and current values are merged, summed up in order over range
     partitions, and looked up by equality.
     """
-    by = list(by)
     cur, base = _value_counts(current, by, cols, "double"), _value_counts(baseline, [], cols, "double")
     have, x = F.col("value").isNotNull(), F.col("value") * F.col("c")
 
@@ -223,23 +231,23 @@ def drift_numeric(current: DataFrame, baseline: DataFrame, cols: Sequence[str],
             F.sum(x).alias(f"{tag}_sum"),
         )
 
-    cur_size, base_size = sizes(cur, by, "c"), sizes(base, [], "b")
+    cur_size, base_size = sizes(cur, ["_by"], "c"), sizes(base, [], "b")
     merged = (
         base.filter(have).select("column", "value", F.col("c").alias("b"))
         .unionByName(cur.filter(have).select("column", "value", F.lit(0).cast("bigint").alias("b")))
         .groupBy("column", "value").agg(F.sum("b").alias("b"))
     )
     base_cum = running_sums(merged, ["column"], ["value"], ["b"])
-    cur_cum = running_sums(cur.filter(have), [*by, "column"], ["value"], ["c"])
-    steps = cur_cum.join(base_cum, ["column", "value"]).join(cur_size, [*by, "column"]).join(base_size, "column")
+    cur_cum = running_sums(cur.filter(have), ["_by", "column"], ["value"], ["c"])
+    steps = cur_cum.join(base_cum, ["column", "value"]).join(cur_size, ["_by", "column"]).join(base_size, "column")
     at = F.abs(F.col("cum_c") / F.col("c_n") - F.col("cum_b") / F.col("b_n"))
     below = F.abs((F.col("cum_c") - F.col("c")) / F.col("c_n") - (F.col("cum_b") - F.col("b")) / F.col("b_n"))
-    ks = steps.groupBy(*by, "column").agg(F.max(F.greatest(at, below)).alias("ks"))
+    ks = steps.groupBy("_by", "column").agg(F.max(F.greatest(at, below)).alias("ks"))
     return (
         cur_size.join(base_size, "column")
-        .join(ks, [*by, "column"], "left")
+        .join(ks, ["_by", "column"], "left")
         .select(
-            *by,
+            *_group_columns(by),
             "column",
             (F.col("c_rows") - F.col("b_rows")).alias("count_delta"),
             ((F.col("c_rows") - F.col("c_n")) / F.col("c_rows") - (F.col("b_rows") - F.col("b_n")) / F.col("b_rows")).alias("null_share_delta"),
