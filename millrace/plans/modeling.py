@@ -342,14 +342,17 @@ def group_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # With one feature the elastic net has a closed form per ratio; the check computes all eleven.
-_ENET_SQL = """
+_ENET_BEST_SQL = """
   WITH m AS (SELECT (l_suppkey % 10)::int AS group_id, count(*) AS n_used, var_pop(l_quantity) AS q,
       covar_pop(l_extendedprice, l_quantity) AS c, var_pop(l_extendedprice) AS v, avg(l_quantity) AS mx, avg(l_extendedprice) AS my
       FROM lineitem GROUP BY 1),
   t AS (SELECT *, sign(c) * greatest(abs(c) - l1, 0) / (q + 1 - l1) AS w FROM m, (SELECT i / 10.0::double AS l1 FROM range(11) r(i))),
   e AS (SELECT *, v - 2 * w * c + w * w * q AS mse FROM t)
+  SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY mse, l1) = 1
+"""
+_ENET_SQL = f"""
   SELECT group_id, n_used, l1 AS l1_ratio, round(w, 6) AS coefficient, round(my - w * mx, 4) AS intercept, round(mse, 2) AS mse
-  FROM e QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY mse, l1) = 1
+  FROM ({_ENET_BEST_SQL})
 """
 
 
@@ -385,18 +388,21 @@ def group_forests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("group_id", "n_used", F.round(F.sqrt("mse"), 4).alias("rmse"))
 
 
-@query("group_workflow")
+@query(
+    "group_workflow",
+    f"SELECT group_id, 'enet-' || group_id AS run_id, n_used AS n, round(sqrt(mse), 4) AS rmse FROM ({_ENET_BEST_SQL})",
+)
 def group_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit per group, publish models and runs, read the latest runs back, predict every row, measure."""
     lines = grouped_lines(spark, sf_dir)
     tables = fresh_tables(spark, "groups")
-    tables.overwrite("group_models", fit_groups(lines, "group_id", GROUP_FEATURES, "label"))
+    tables.overwrite("group_models", fit_groups(lines, "group_id", ["l_quantity"], "label"))
     models = tables.read("group_models")
     log = RunLog(tables)
     log.append(group_run_rows(models, "group_id", "enet", "session"))
     latest = log.search(map_get("tags", "group").isNotNull() & (F.col("parent_run_id") == "session"), [F.col("end_time").desc()], 10)
     wanted = latest.select(map_get("tags", "group").cast("int").alias("group_id"), "run_id")
-    made = predict_groups(lines, models.join(wanted, "group_id"), "group_id", GROUP_FEATURES)
+    made = predict_groups(lines, models.join(wanted, "group_id"), "group_id", ["l_quantity"])
     quality = regression_metrics(made, "label", "prediction", by=["group_id"])
     return quality.join(wanted, "group_id").select("group_id", "run_id", "n", F.round("rmse", 4).alias("rmse"))
 

@@ -111,6 +111,9 @@ class Tables:
         obs = None
         if expects:
             df, obs = expect(df, expects)
+        if partition_by:
+            # few files per partition value; adaptive execution splits a value that holds much of the rows
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
