@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.hashing import hash32  # noqa: F401  (re-exported with the key helpers)
 
 
 def project(df: DataFrame, *cols: str) -> DataFrame:

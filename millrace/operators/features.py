@@ -3,12 +3,10 @@ expressions, so applying them costs no shuffle and no Python."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -127,7 +125,3 @@ def tokenize(df: DataFrame, text: str, out: str = "tokens", max_len: int | None
     """Token array; ``max_len`` truncates it as a model with a fixed input length does."""
     col = tokens(text)
     return df.withColumn(out, F.slice(col, 1, max_len) if max_len else col)
-
-
-def safe_name(text: str) -> str:
-    return re.sub(r"\W+", "_", text)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators.index import running_sums
 from millrace.operators.metrics import Metric, add_derived, custom_aggs, regression_aggs
-from millrace.operators.topk import top_n  # noqa: F401  (used by callers on metric tables)
 from millrace.sources.tables import Tables
 
 ALL = "all"

@@ -18,19 +18,29 @@ from millrace.functions.udfs import chat_udf, text_udf
 from millrace.operators.features import tokenize
 from millrace.session import spread
 
+CHUNKS_PER_SPAN = 256
 QUERY_BLOCK_VALUES = 8_000_000  # numbers in one broadcast block of query vectors: 64 MB as doubles
 
 
 def chunk(df: DataFrame, id_: str, text: str, size: int = 1000, overlap: int = 100) -> DataFrame:
     """``(id, chunk_no, text)``: windows of ``size`` characters that share ``overlap`` with the next, to
-    the end of the text; empty texts give no chunk.  A projection: no shuffle."""
+    the end of the text; empty texts give no chunk.  A projection: only small inputs are dealt out first."""
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
     step = size - overlap
     n = F.greatest(F.ceil((F.length(text) - overlap) / step), F.lit(1)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col(text), i * step + 1, F.lit(size)))
+    # finding a position scans a string from its start: cutting spans first and chunks from the spans
+    # keeps very long texts from costs that grow with the square of their length
+    spans = F.sequence(F.lit(0), F.ceil(n / CHUNKS_PER_SPAN).cast("int") - 1)
+
+    def cut(b):
+        span = F.substring(F.col(text), b * (CHUNKS_PER_SPAN * step) + 1, F.lit(CHUNKS_PER_SPAN * step + overlap))
+        inner = F.sequence(F.lit(0), F.least(F.lit(CHUNKS_PER_SPAN), n - b * CHUNKS_PER_SPAN) - 1)
+        return F.flatten(F.transform(F.array(span), lambda s: F.transform(inner, lambda i: F.substring(s, i * step + 1, F.lit(size)))))
+
+    pieces = F.flatten(F.transform(spans, cut))
     return (
-        df.filter(F.length(text) > 0)
+        spread(df.filter(F.length(text) > 0).select(id_, text))
         .select(id_, F.posexplode(pieces).alias("chunk_no", "text"))
     )
 

@@ -6,7 +6,6 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-from millrace.operators.quality import expect_counts
 from millrace.sources.tables import Tables
 
 
@@ -14,13 +13,12 @@ class Datasets:
     """``@ds.dataset("name", expects={...}, expects_or_fail={...})`` declares, ``ds.read`` uses.
 
     Reading a dataset materializes it once per ``refresh`` round; upstream datasets follow by plain
-    function calls.  Kept violations are reported in ``ds.report``, failing ones raise before the new
-    version of the table becomes visible.
+    function calls.  Violations of ``expects`` are counted while the table is written and kept with its
+    version (``ds.report``), those of ``expects_or_fail`` raise before the new version becomes visible.
     """
 
     def __init__(self, tables: Tables):
         self.tables = tables
-        self.report: dict[str, DataFrame] = {}
         self._made: dict[str, tuple[Callable[[], DataFrame], str | None, dict, dict]] = {}
         self._fresh: set[str] = set()
 
@@ -48,7 +46,9 @@ class Datasets:
 
     def _publish(self, name: str) -> None:
         fn, comment, kept, failing = self._made[name]
-        self.tables.overwrite(name, fn(), comment=comment, expects=failing or None)
+        self.tables.overwrite(name, fn(), comment=comment, expects=failing, watch=kept)
         self._fresh.add(name)
-        if kept:
-            self.report[name] = expect_counts(self.tables.read(name), kept)
+
+    def report(self, name: str) -> dict[str, int]:
+        """Violations counted when the current version of a dataset was written."""
+        return self.tables.violations(name)

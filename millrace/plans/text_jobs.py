@@ -152,13 +152,16 @@ def batch_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("batch_qa")
 def batch_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retrieval question answering: pages and documents -> chunks -> vectors, stored; every benchmark
-    text is a question, answered from its two nearest chunks."""
+    """Retrieval question answering: pages and documents -> chunks, stored -> vectors, stored; every
+    benchmark text is a question, answered from its two nearest chunks."""
     docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
     pages = load_documents(table(spark, sf_dir, "pages"), "page_id", "html")
     pages = pages.withColumn("doc_id", F.concat(F.lit("p"), F.col("doc_id").cast("string")))
     pieces = chunk(docs.unionByName(pages), "doc_id", "text", SIZE, OVERLAP)
     pieces = pieces.select(F.concat_ws(":", "doc_id", F.col("chunk_no").cast("string")).alias("id"), "text")
+    chunks = shared_dir(spark, "qa-chunks")
+    pieces.write.parquet(chunks)  # fitting and encoding both read the chunks
+    pieces = spark.read.parquet(chunks)
     encoder = fit_encoder(pieces, "text")
     path = shared_dir(spark, "qa-vectors")
     save_vectors(encode(pieces, "text", encoder), path)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,13 +104,25 @@ class Tables:
     def comment(self, name: str) -> str | None:
         return self.manifest(name).get("comment")
 
+    def violations(self, name: str, version: int | None = None) -> dict[str, int]:
+        """Counts of the watched expectations of a version."""
+        return self.manifest(name, version).get("violations", {})
+
     # -- writes ------------------------------------------------------------------------------------
 
-    def _stage(self, name: str, df: DataFrame, partition_by: Iterable[str], expects: Mapping[str, str] | None) -> dict:
+    def _stage(
+        self,
+        name: str,
+        df: DataFrame,
+        partition_by: Iterable[str],
+        expects: Mapping[str, str] | None = None,
+        watch: Mapping[str, str] | None = None,
+    ) -> tuple[dict, dict[str, int]]:
+        """Write a part, counting violations in the same pass; returns it and the counts of ``watch``."""
         part = "p" + uuid.uuid4().hex
-        obs = None
-        if expects:
-            df, obs = expect(df, expects)
+        rules = {**(expects or {}), **(watch or {})}
+        if rules:
+            df, obs = expect(df, rules)
         if partition_by:
             # few files per partition value; adaptive execution splits a value that holds much of the rows
             df = df.hint("rebalance", *partition_by)
@@ -118,11 +130,11 @@ class Tables:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{name}/data/part={part}")
-        if obs is not None:
-            bad = {n: v for n, v in violations(obs, expects).items() if v}
-            if bad:  # staged rows stay unlisted, the published version is unchanged
-                raise ExpectationError(bad)
-        return {"id": part}
+        counts = violations(obs, rules) if rules else {}
+        bad = {n: counts[n] for n in expects or {} if counts[n]}
+        if bad:  # staged rows stay unlisted, the published version is unchanged
+            raise ExpectationError(bad)
+        return {"id": part}, {n: counts[n] for n in watch or {}}
 
     def overwrite(
         self,
@@ -132,14 +144,23 @@ class Tables:
         keys: Iterable[str] = (),
         partition_by: Iterable[str] = (),
         expects: Mapping[str, str] | None = None,
+        watch: Mapping[str, str] | None = None,
+        check: Callable[[DataFrame], None] | None = None,
     ) -> int:
-        """Replace rows and schema.  ``expects`` are checked on the staged rows before they show."""
+        """Replace rows and schema.
+
+        Violations of ``expects`` raise before the staged rows show, those of ``watch`` are counted and
+        kept with the version; both are counted while writing.  ``check`` may look at the staged rows and
+        raise, too."""
         partition_by = list(partition_by)
-        part = self._stage(name, df, partition_by, expects)
+        part, counts = self._stage(name, df, partition_by, expects, watch)
+        if check is not None:
+            check(self._scan(name, {"schema": _nullable(df.schema), "partition_by": partition_by}, [part]))
         return self._publish(
             name,
             {
                 "parts": [part],
+                "violations": counts,
                 "schema": _nullable(df.schema),
                 "comment": comment,
                 "keys": list(keys),
@@ -162,7 +183,7 @@ class Tables:
                 df = df.withColumn(f.name, F.col(f.name).cast(old[f.name].dataType))
         if lacking:
             df = df.withColumns({n: F.lit(None).cast(old[n].dataType) for n in lacking})
-        part = self._stage(name, df, m["partition_by"], expects)
+        part, _ = self._stage(name, df, m["partition_by"], expects)
         schema = StructType(old.fields + new)
         return self._publish(name, {**m, "parts": m["parts"] + [part], "schema": schema.jsonValue()})
 
@@ -171,7 +192,7 @@ class Tables:
         m = self.manifest(name)
         if not m["partition_by"]:
             raise ValueError(f"table {name!r} is not partitioned")
-        part = self._stage(name, df, m["partition_by"], None)
+        part, _ = self._stage(name, df, m["partition_by"])
         kept = [{**p, "without": p.get("without", []) + partitions} for p in m["parts"]]
         return self._publish(name, {**m, "parts": kept + [part]})
 
@@ -273,14 +294,18 @@ class Features:
         self.tables = tables
 
     def write(self, name: str, df: DataFrame, keys: Iterable[str], comment: str | None = None) -> int:
+        """Create or replace the table; the key is checked on the staged rows, which are computed once."""
         keys = list(keys)
-        no_key = F.lit(False)
-        for k in keys:
-            no_key = no_key | F.col(k).isNull()
-        bad = df.groupBy(*keys).count().filter((F.col("count") > 1) | no_key).limit(1).collect()
-        if bad:
-            raise ValueError(f"key {keys} of {name!r} is not unique and non-null, e.g. {bad[0].asDict()}")
-        return self.tables.overwrite(name, df, comment=comment, keys=keys)
+
+        def unique(staged: DataFrame) -> None:
+            no_key = F.lit(False)
+            for k in keys:
+                no_key = no_key | F.col(k).isNull()
+            bad = staged.groupBy(*keys).count().filter((F.col("count") > 1) | no_key).limit(1).collect()
+            if bad:
+                raise ValueError(f"key {keys} of {name!r} is not unique and non-null, e.g. {bad[0].asDict()}")
+
+        return self.tables.overwrite(name, df, comment=comment, keys=keys, check=unique)
 
     def read(self, name: str) -> DataFrame:
         return self.tables.read(name)

@@ -69,7 +69,7 @@ def test_lsh_recall(spark, vectors):
 
 @pytest.mark.parametrize("size,overlap", [(10, 3), (5, 0), (1000, 100)])
 def test_chunks_reassemble(spark, size, overlap):
-    texts = ["", "a", "é" * 23, "0123456789", "x" * 10 + "y" * 7, "abcdefghijklmnopqrstuvwxyz" * 3]
+    texts = ["", "é1" * 4000, "a", "é" * 23, "0123456789", "x" * 10 + "y" * 7, "abcdefghijklmnopqrstuvwxyz" * 3]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
     parts = {}
     for r in chunk(df, "k", "t", size, overlap).collect():

@@ -123,7 +123,7 @@ def test_pipeline_reports_and_fails(spark, folder):
     raw.write.json(f"{folder}/in")
     ds = pipeline(spark, f"{folder}/in", Tables(spark, f"{folder}/t"), page="p")
     assert [tuple(r) for r in ds.refresh("top_referrers").collect()] == [("c", 5), ("a", 3)]
-    assert [r["failed"] for r in ds.report["clickstream_prepared"].collect()] == [1]
+    assert ds.report("clickstream_prepared") == {"valid_current_page_title": 1}
     assert ds.tables.comment("clickstream_raw") == "Raw click pairs as ingested."
     spark.createDataFrame([("p", "d", "zero"), ("p", "e", "0")], RAW_SCHEMA).write.mode("append").json(f"{folder}/in")
     with pytest.raises(ExpectationError) as e:
