@@ -1,4 +1,4 @@
-"""Clickstream pipeline: raw JSON -> prepared with expectations -> top referrers of one page."""
+"""Clickstream datasets: raw JSON -> prepared with expectations -> top referrers of one page."""
 
 from __future__ import annotations
 
@@ -53,7 +53,7 @@ def top_referrers_of(prepared: DataFrame, page: str, n: int = 10) -> DataFrame:
     return top_n(hits.select("referrer", "click_count"), F.col("click_count").desc(), n, tie=["referrer"])
 
 
-def pipeline(spark: SparkSession, json_dir: str, tables: Tables, page: str = TARGET) -> Datasets:
+def clickstream_datasets(spark: SparkSession, json_dir: str, tables: Tables, page: str = TARGET) -> Datasets:
     ds = Datasets(tables)
 
     @ds.dataset("clickstream_raw", comment="Raw click pairs as ingested.")
@@ -85,5 +85,5 @@ def pipeline(spark: SparkSession, json_dir: str, tables: Tables, page: str = TAR
 def top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_dir = shared_dir(spark, "clickstream-json")
     clicks(spark, sf_dir).write.json(raw_dir)
-    ds = pipeline(spark, raw_dir, Tables(spark, shared_dir(spark, "clickstream")))
+    ds = clickstream_datasets(spark, raw_dir, Tables(spark, shared_dir(spark, "clickstream")))
     return ds.refresh("top_referrers")

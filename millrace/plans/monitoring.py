@@ -178,6 +178,7 @@ def drift_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(df.withColumns(days).drop("window_start", "previous_start"), mean_delta=8, stddev_delta=6)
 
 
+# The metric definitions whose results must agree.
 CUSTOM = [
     Metric("aggregate", "log_avg", ("price",), "avg(log(abs(`{{input_column}}`)+1))"),
     Metric("derived", "exp_log", ("price",), "exp(log_avg)"),

@@ -95,19 +95,19 @@ def knn_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(knn_lsh(centroids(corpus), corpus, 4, bucket_length=0.1, tables=4), distance=5)
 
 
-@query("tfidf_encode")
+@query(
+    "tfidf_encode",
+    r"""SELECT doc_id, CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0 ELSE 0.0 END::double AS length FROM documents""",
+)
 def tfidf_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded documents: unit length (or zero for a text without tokens) and number of non-zero places."""
+    """Length of every encoded document: one, or zero for a text without tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = encode(docs, "text", fit_encoder(docs, "text"))
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return made.select("doc_id", F.round(F.sqrt(square), 4).alias("length"), F.size(F.filter("vector", lambda x: x != 0)).alias("filled"))
+    return made.select("doc_id", F.round(F.sqrt(square), 4).alias("length"))
 
 
-PROMPT = (
-    "Use only the following paragraphs to answer the question at the end. If you do not know, say that you do not know.\n\n"
-    "{context}\n\nQuestion: {question}\n\nResponse:\n"
-)
+PROMPT = "Answer from these passages alone and say so if they hold no answer.\n\n{context}\n\nQuestion: {question}\n\nAnswer:\n"
 
 
 @query(
@@ -116,8 +116,8 @@ PROMPT = (
           WHERE role <> 'system'),
         c AS (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM r WHERE rank <= 3 GROUP BY 1),
         q AS (SELECT conv_id, first(text ORDER BY turn) AS question FROM conversations WHERE role = 'user' GROUP BY 1)
-        SELECT conv_id, question, replace('{PROMPT.split('{context}')[0]}', chr(92) || 'n', chr(10)) || context ||
-          chr(10) || chr(10) || 'Question: ' || question || chr(10) || chr(10) || 'Response:' || chr(10) AS prompt
+        SELECT conv_id, question, '{PROMPT.split('{context}')[0]}' || context ||
+          chr(10) || chr(10) || 'Question: ' || question || chr(10) || chr(10) || 'Answer:' || chr(10) AS prompt
         FROM c JOIN q USING (conv_id)""",
 )
 def prompt_build(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import ExpectationError, expect, expect_counts, expect_or_fail, failing_rows, violations
-from millrace.plans.clickstream import RAW_SCHEMA, pipeline
+from millrace.plans.clickstream import RAW_SCHEMA, clickstream_datasets
 from millrace.sources.readers import from_pandas, from_rows, read_csv, read_external, read_json
 from millrace.sources.tables import Features, Tables, append_frames, diff
 
@@ -118,10 +118,10 @@ def test_expectations(spark, folder):
     assert t.versions("x") == [1] and t.read("x").count() == 2
 
 
-def test_pipeline_reports_and_fails(spark, folder):
+def test_datasets_report_and_fails(spark, folder):
     raw = spark.createDataFrame([("p", "a", "3"), (None, "b", "2"), ("p", "c", "5")], RAW_SCHEMA)
     raw.write.json(f"{folder}/in")
-    ds = pipeline(spark, f"{folder}/in", Tables(spark, f"{folder}/t"), page="p")
+    ds = clickstream_datasets(spark, f"{folder}/in", Tables(spark, f"{folder}/t"), page="p")
     assert [tuple(r) for r in ds.refresh("top_referrers").collect()] == [("c", 5), ("a", 3)]
     assert ds.report("clickstream_prepared") == {"valid_current_page_title": 1}
     assert ds.tables.comment("clickstream_raw") == "Raw click pairs as ingested."
