@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blocknames, lines, secrets
+from millrace.llm import blocknames, lines, secrets, simhash, topk
 from millrace.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -26,6 +26,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, sf_dir))
+
+
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20, every=20, scale=64)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocknames.exact_groups(documents(spark, sf_dir)).drop("copy")
 
@@ -37,6 +45,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_exact_topk": op3_exact_topk,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
 }
