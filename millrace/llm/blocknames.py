@@ -96,7 +96,7 @@ def exact_groups(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copy (``copy`` 0) is kept.  An empty table gives no rows; other columns are not read.
     """
     rows_of = identities(rows, id_col, text_col, block_bytes)
-    groups = rows_of.groupBy("level", "name").agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size"))
+    groups = staged(rows_of.groupBy("level", "name").agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size")), "text-groups")
     return (
         rows_of.join(groups, ["level", "name"])
         .select("id", "keep_id", "group_size", F.lower(F.hex("sha")).alias("text_sha256"), F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("copy"))

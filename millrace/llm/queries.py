@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blocknames, lines, secrets, simhash, topk
+from millrace.llm import blocknames, bpe, langid, lines, mixing, secrets, simhash, topk
 from millrace.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -17,6 +17,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary() -> str:
+    """The public byte-level vocabulary, as the driver sees it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     findings, _ = secrets.scan_secrets(documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -34,10 +41,24 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20, every=20, scale=64)
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_counts(documents(spark, sf_dir), mixing.Target(entropy=0.5, budget=1.0))
+    return mixed.withColumn("weight", F.round("weight", 6))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), vocabulary())
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocknames.exact_groups(documents(spark, sf_dir)).drop("copy")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(docs))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(documents(spark, sf_dir), min_docs=10, min_chars=1)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -47,6 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_exact_topk": op3_exact_topk,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
 }

@@ -40,6 +40,31 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
+""",
+    "op5_source_mixing": r"""
+WITH RECURSIVE t AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens,
+  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3) AS INTEGER) AS cell FROM documents),
+s AS (SELECT source, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS own FROM t GROUP BY source),
+total AS (SELECT CAST(sum(own) AS BIGINT) AS n FROM s),
+p AS (SELECT source, own / CAST(n AS DOUBLE) AS share FROM s, total WHERE own > 0),
+h AS (SELECT sum(-share * ln(share)) AS found, ln(count(*)) AS most FROM p),
+b(low, high) AS (SELECT 0, 2097152 UNION ALL
+  SELECT CASE WHEN ok THEN mid ELSE low END, CASE WHEN ok THEN high ELSE mid END FROM (
+    SELECT low, high, mid, ln(sum(pow(share, mid / 2097152.0::DOUBLE))) - mid / 2097152.0::DOUBLE * sum(pow(share, mid / 2097152.0::DOUBLE) * ln(share))
+      / sum(pow(share, mid / 2097152.0::DOUBLE)) >= any_value(found + 0.5 * (most - found)) AS ok
+    FROM (SELECT low, high, (low + high) // 2 AS mid, share, found, most FROM b, p, h WHERE high - low > 1) GROUP BY low, high, mid)),
+e AS (SELECT max(low) / 2097152.0::DOUBLE AS a FROM b WHERE high - low = 1),
+w AS (SELECT source, pow(share, a) / sum(pow(share, a)) OVER () AS weight FROM p, e),
+k AS (SELECT s.source, own, coalesce(weight, 0.0) AS weight, CAST(floor(coalesce(weight, 0.0) * n + 1e-6) AS BIGINT) AS wanted,
+  CAST(least(4096, pow(2.0, ceil(log2(greatest(docs / 64.0::DOUBLE, 1.0))))) AS INTEGER) AS blocks FROM total, s LEFT JOIN w ON s.source IS NOT DISTINCT FROM w.source),
+q AS (SELECT *, CASE WHEN own > 0 THEN wanted // own ELSE 1 END AS passes, CASE WHEN own > 0 THEN wanted % own ELSE 0 END AS rest FROM k),
+d AS (SELECT t.*, q.* EXCLUDE (source), cell & (blocks - 1) AS block FROM t JOIN q ON t.source IS NOT DISTINCT FROM q.source),
+z AS (SELECT source, block, passes, rest, sum(tokens) AS size FROM d GROUP BY ALL),
+o AS (SELECT source, block, passes, rest, size, row_number() OVER v AS place, sum(size) OVER (v ROWS UNBOUNDED PRECEDING) AS upto FROM z
+  WINDOW v AS (PARTITION BY source ORDER BY md5('1:' || passes || ':' || coalesce(source, '') || ':' || block), block))
+SELECT doc_id, d.source, tokens AS n_tokens, round(weight, 6) AS weight, d.block, place,
+  d.passes + CAST(2 * upto - size <= 2 * d.rest AND d.rest > 0 AS BIGINT) AS n_copies
+FROM d JOIN o ON d.source IS NOT DISTINCT FROM o.source AND d.block = o.block
 """,
     "op7_exact_dedup": """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
