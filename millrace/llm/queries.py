@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blocknames, bpe, langid, lines, mixing, secrets, simhash, topk
+from millrace.llm import blocknames, bpe, langid, lines, mixing, secrets, simhash, substrings, topk
 from millrace.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -41,6 +41,11 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20, every=20, scale=64)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup_substrings(documents(spark, sf_dir), size=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_counts(documents(spark, sf_dir), mixing.Target(entropy=0.5, budget=1.0))
     return mixed.withColumn("weight", F.round("weight", 6))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_exact_topk": op3_exact_topk,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,

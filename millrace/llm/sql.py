@@ -40,6 +40,17 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
+""",
+    "op4_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY win) AS n FROM p) WHERE n > 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+f AS (SELECT k.doc_id, count(g.j) AS n_removed, string_agg(word, ' ' ORDER BY k.j) FILTER (g.j IS NULL) AS kept
+  FROM k LEFT JOIN g ON k.doc_id = g.doc_id AND k.j = g.j GROUP BY k.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN f ON d.doc_id = f.doc_id
 """,
     "op5_source_mixing": r"""
 WITH RECURSIVE t AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens,
