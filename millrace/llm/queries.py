@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blocknames, bpe, langid, lines, mixing, secrets, simhash, substrings, topk
+from millrace.llm import blocknames, bpe, chat, langid, lines, mixing, secrets, simhash, substrings, topk
 from millrace.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -69,6 +69,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return turns.select("conv_id", "turn", "role", "new_role", "action", "inserted", "cost", F.sha2("fragment", 256).alias("fragment_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -79,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
+    "op10_chat_format": op10_chat_format,
 }
