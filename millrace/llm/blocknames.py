@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ascii_lower, staged, text_of
+from millrace.llm.common import ascii_lower, packed, row_key, staged, text_of
 
 
 def _hash(c: Column, seed: int) -> Column:
@@ -112,11 +112,7 @@ def drop_copies(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     If several rows carry that id and the same normalised text, one of them stays.
     """
-    kept = exact_groups(rows, id_col, text_col, block_bytes).filter("kept").select(
-        F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha")
-    )
-    packed = rows.select(
-        F.col(id_col).alias("_id"), F.unhex(F.sha2(ascii_lower(text_of(text_col)), 256)).alias("_sha"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row")
-    )
-    same = packed["_id"].eqNullSafe(kept["_id"]) & (packed["_sha"] == kept["_sha"])
-    return packed.join(kept, same, "left_semi").dropDuplicates(["_id", "_sha"]).select("_row.*")
+    kept = exact_groups(rows, id_col, text_col, block_bytes).filter("kept")
+    kept = kept.select(row_key(F.col(id_col), F.col("text_sha256")).alias("_key"))
+    own = row_key(F.col(id_col), F.sha2(ascii_lower(text_of(text_col)), 256)).alias("_key")
+    return rows.select(own, packed(rows)).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

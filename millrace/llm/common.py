@@ -31,6 +31,16 @@ def hash128(c: Column) -> list[Column]:
     return [F.xxhash64(F.lit(1), c).alias("h1"), F.xxhash64(F.lit(2), c).alias("h2")]
 
 
+def row_key(id_col: Column, digest: Column) -> Column:
+    """A text that is equal exactly for equal (id, digest), with NULL ids equal to each other."""
+    return F.concat_ws(":", F.when(id_col.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), id_col.cast("string"))), digest.cast("string"))
+
+
+def packed(rows: DataFrame) -> Column:
+    """The whole row as one struct ``_row``, so that its column names meet no others."""
+    return F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row")
+
+
 @contextmanager
 def _shuffles_dropped(spark: SparkSession):
     """Let Spark remove a job's shuffle files as soon as its result is stored."""

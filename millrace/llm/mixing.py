@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged, text_of
+from millrace.llm.common import packed, staged, text_of
 
 CELLS = 4096
 STEPS = 21  # the exponent is a multiple of 2**-STEPS
@@ -154,8 +154,6 @@ def mix(rows: DataFrame, target: Target, id_col: str = "doc_id", text_col: str =
     """``rows`` with all its columns, each row as often as the mixture reads it."""
     counts = staged(token_counts(rows, id_col, text_col, source_col).select("source", "cell", "tokens"), "mix-tokens")
     made = plan(counts, target).filter("copies > 0").select(F.col("source").alias("_s"), F.col("cell").alias("_c"), F.col("copies").cast("int").alias("_n"))
-    packed = rows.select(
-        F.col(source_col).cast("string").alias("_source"), cell_of(F.col(id_col)).alias("_cell"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row")
-    )
-    joined = packed.join(made, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_cell") == F.col("_c")))
+    own = rows.select(F.col(source_col).cast("string").alias("_source"), cell_of(F.col(id_col)).alias("_cell"), packed(rows))
+    joined = own.join(made, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_cell") == F.col("_c")))
     return joined.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged, word_pieces
+from millrace.llm.common import packed, row_key, staged, word_pieces
 from millrace.llm.components import components
 
 RADIUS = 2
@@ -65,8 +65,8 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.fromiter((fingerprint(t.as_py(), size) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["id", "fp"])
+        prints = np.fromiter((fingerprint(t.as_py(), size) for t in batch.column(2)), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints.view(np.int64))], names=["id", "k", "fp"])
 
 
 class _Forest:
@@ -207,6 +207,20 @@ def _buckets(split: int, prints: DataFrame) -> DataFrame:
     return small.unionByName(large)
 
 
+def _rooted(rows: DataFrame, id_col: str, text_col: str, size: int, split: int) -> DataFrame:
+    """(id, k, fp, root) of every row: k is a hash of the text, root the least fingerprint of its component."""
+    docs = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    docs = docs.select("id", F.xxhash64("t").alias("k"), "t")
+    kind = docs.schema["id"].dataType.simpleString()
+    prints = staged(docs.mapInArrow(lambda b: _fingerprints(b, size), f"id {kind}, k long, fp long"), "fingerprints")
+    distinct = staged(prints.select("fp").distinct(), "distinct-fingerprints")
+    order = ["t", "key", "s", "sub"]
+    edges = _buckets(split, distinct).repartition(*order).sortWithinPartitions(*order, "fp").mapInArrow(_linked, "a long, b long")
+    roots = staged(components(staged(edges, "near-links")), "near-roots")
+    rooted = prints.join(roots, prints["fp"] == roots["node"], "left")
+    return staged(rooted.select("id", "k", "fp", F.coalesce("root", "fp").alias("root")), "near-rooted")
+
+
 def near_groups(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, split: int = 4096) -> DataFrame:
     """One row per input row: id, fingerprint (16 hexadecimal digits), component_id.
 
@@ -214,30 +228,20 @@ def near_groups(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     count; NULL if there is no other).  NULL text has no words, and texts without words have fingerprint zero, linked like
     any other.  Repeated rows come back as often as they were; an empty table gives no rows; other columns are not read.
     """
-    docs = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    kind = docs.schema["id"].dataType.simpleString()
-    prints = staged(docs.mapInArrow(lambda b: _fingerprints(b, size), f"id {kind}, fp long"), "fingerprints")
-    distinct = staged(prints.select("fp").distinct(), "distinct-fingerprints")
-    order = ["t", "key", "s", "sub"]
-    edges = _buckets(split, distinct).repartition(*order).sortWithinPartitions(*order, "fp").mapInArrow(_linked, "a long, b long")
-    roots = staged(components(staged(edges, "near-links")), "near-roots")
-    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select("id", "fp", F.coalesce("root", "fp").alias("root"))
-    rooted = staged(rooted, "near-rooted")
+    rooted = _rooted(rows, id_col, text_col, size, split)
     least = staged(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "near-least")
     return rooted.join(least, "root").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def drop_near_copies(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+def drop_near_copies(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, split: int = 4096) -> DataFrame:
     """``rows`` with all its columns, one row of each component: the one with the least id.
 
-    Rows that repeat that id are told apart by their text; of equal ones one stays.  A component of NULL ids keeps one row.
+    NULL ids come last.  If several rows of a component have that id, the text with the least hash decides; of rows that agree
+    in id and text one stays.
     """
-    packed = rows.select(
-        F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row")
-    )
-    groups = near_groups(rows, id_col, text_col, size)
-    kept = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id")).distinct()
-    stay = packed.join(kept, packed["_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return stay.dropDuplicates(["_id"]).select("_row.*")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("x")
+    kept = _rooted(rows, id_col, text_col, size, split).groupBy("root").agg(first).select(row_key(F.col("x.id"), F.col("x.k")).alias("_key"))
+    own = row_key(F.col(id_col), F.xxhash64(F.col(text_col).cast("string"))).alias("_key")
+    return rows.select(own, packed(rows)).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
