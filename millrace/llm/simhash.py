@@ -94,15 +94,31 @@ class _Forest:
 
 
 def _planes(block: np.ndarray) -> np.ndarray:
-    """(64, blocks) bit planes of fingerprints (blocks, 64)."""
+    """(64, blocks) bit planes of fingerprint words (blocks, 64)."""
     bits = np.unpackbits(block.view(np.uint8).reshape(len(block), 64, 8), axis=2, bitorder="little")  # block, member, bit
     return np.ascontiguousarray(np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")).view(np.uint64)[:, :, 0]
 
 
-def _compare(prints: np.ndarray, bucket: np.ndarray, chunk: int = 1 << 10) -> _Forest:
-    """Link all fingerprints of the same bucket at two or fewer differing bits; buckets are runs of equal numbers."""
-    n = len(prints)
-    forest = _Forest(n)
+def _beyond(counter: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """Lanes whose vertical counter is above ``radius``, or ran over."""
+    above, equal = over.copy(), np.full(len(over), _ALL)
+    for i in reversed(range(len(counter))):
+        if radius >> i & 1:
+            equal &= counter[i]
+        else:
+            above |= equal & counter[i]
+            equal &= ~counter[i]
+    return above
+
+
+def _compare(prints: np.ndarray, bucket: np.ndarray, radius: int = RADIUS, forest: _Forest | None = None) -> _Forest:
+    """Link all fingerprints of the same bucket at ``radius`` or fewer differing bits; buckets are runs of equal numbers.
+
+    ``prints`` has one 64-bit word per fingerprint or several (a row each).  Links are added to ``forest``.
+    """
+    words = prints.reshape(len(prints), -1)
+    n = len(words)
+    forest = forest or _Forest(n)
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     sizes = np.diff(np.r_[first, n])
     blocks_of = -(-sizes // 64)
@@ -113,73 +129,76 @@ def _compare(prints: np.ndarray, bucket: np.ndarray, chunk: int = 1 << 10) -> _F
     members = np.full((int(blocks_of.sum()), 64), -1, np.int64)
     members[at_block, place % 64] = np.arange(n)
     filled = np.packbits(members >= 0, axis=1, bitorder="little").view(np.uint64)[:, 0]
-    planes = _planes(np.where(members >= 0, prints[np.maximum(members, 0)], np.uint64(0)))
+    planes = [_planes(np.where(members >= 0, w[np.maximum(members, 0)], np.uint64(0))) for w in words.T]
     # query x block: each member meets its own block and those before it
     each = at_block - block0[run] + 1
-    begin, done = np.cumsum(each) - each, 0
+    begin, done, chunk = np.cumsum(each) - each, 0, 1 << 10
     while done < n:
         stop = max(done + 1, int(np.searchsorted(begin, begin[done] + chunk)))
         many = each[done:stop]
         query = np.repeat(np.arange(done, stop), many)
         block = block0[run[query]] + np.arange(len(query)) - np.repeat(np.cumsum(many) - many, many)
-        done = stop
-        chunk = min(2 * chunk, 1 << 15)
+        done, chunk = stop, min(2 * chunk, 1 << 15)
         low, high = block.min(), block.max() + 1
         label = np.where(members[low:high] >= 0, forest.label[members[low:high]], -1)
         apart = (label != label[:, :1]) & (label >= 0)  # blocks that are one component already, the query's, have no news
         news = apart.any(axis=1)[block - low] | (label[block - low, 0] != forest.label[query])
         query, block = query[news], block[news]
+        counter = [np.zeros(len(query), np.uint64) for _ in range((radius + 1).bit_length())]
+        over = ~filled[block]
+        for b in range(64 * len(planes)):
+            if not len(query):
+                break
+            flip = (-((words[query, b // 64] >> np.uint64(b % 64)) & np.uint64(1)).view(np.int64)).view(np.uint64)
+            carry = planes[b // 64][b % 64, block] ^ flip
+            for c in counter:
+                carry, c[:] = c & carry, c ^ carry
+            over |= carry
+            if b % 8 == 7 and not (live := _beyond(counter, over, radius) != _ALL).all():
+                query, block, over, *counter = (x[live] for x in (query, block, over, *counter))
         if not len(query):
             continue
-        ones, twos, over = (np.zeros(len(query), np.uint64) for _ in range(3))
-        over |= ~filled[block]
-        for b in range(64):
-            differ = planes[b, block] ^ (-((prints[query] >> np.uint64(b)) & np.uint64(1)).view(np.int64)).view(np.uint64)
-            carry = ones & differ
-            ones ^= differ
-            over |= twos & carry
-            twos ^= carry
-            if b % 8 == 7:
-                gone = over | (twos & ones)
-                if not (live := gone != _ALL).all():
-                    query, block, ones, twos, over = (x[live] for x in (query, block, ones, twos, over))
-                    if not len(query):
-                        break
-        if not len(query):
-            continue
-        near = ~(over | (twos & ones)) & filled[block]
+        near = ~_beyond(counter, over, radius)
         hit = np.unpackbits(near.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
         pair, lane = np.nonzero(hit)
         forest.add(query[pair], members[block[pair], lane])
     return forest
 
 
-def _linked(batches: Iterator[pa.RecordBatch], full: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    """Sorted (t, key, s, sub, fp) to edges (a, b); a bucket may run over batches."""
-
-    def edges(cols: list[np.ndarray]) -> pa.RecordBatch:
-        change = np.zeros(len(cols[0]), bool)
-        for c in cols[:4]:
-            change[1:] |= c[1:] != c[:-1]
-        prints = cols[4].view(np.uint64)
-        found = _compare(prints, np.cumsum(change)).edges
-        a, b = (np.concatenate([e[i] for e in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(cols[4][a]), pa.array(cols[4][b])], names=["a", "b"])
-
+def _whole_buckets(batches: Iterator[pa.RecordBatch], keys: int, full: int = 1 << 16) -> Iterator[list[np.ndarray]]:
+    """Columns of about ``full`` rows or more, sorted by their first ``keys`` columns, that cut no bucket in two."""
     held: list[np.ndarray] | None = None
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
         if len(held[0]) >= full:
             same = np.ones(len(held[0]), bool)
-            for c in held[:4]:
+            for c in held[:keys]:
                 same &= c == c[-1]
             cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
             if cut:
-                yield edges([c[:cut] for c in held])
+                yield [c[:cut] for c in held]
                 held = [c[cut:] for c in held]
     if held is not None and len(held[0]):
-        yield edges(held)
+        yield held
+
+
+def _bucket_numbers(keys: list[np.ndarray]) -> np.ndarray:
+    change = np.zeros(len(keys[0]), bool)
+    for c in keys:
+        change[1:] |= c[1:] != c[:-1]
+    return np.cumsum(change)
+
+
+def _edge_rows(forest: _Forest, ids: np.ndarray) -> pa.RecordBatch:
+    a, b = (np.concatenate([e[i] for e in forest.edges]) if forest.edges else np.zeros(0, np.int64) for i in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (t, key, s, sub, fp) to edges (a, b)."""
+    for cols in _whole_buckets(batches, 4):
+        yield _edge_rows(_compare(cols[4].view(np.uint64), _bucket_numbers(cols[:4])), cols[4])
 
 
 def _part(fp: Column, i: int, bits: int) -> Column:
