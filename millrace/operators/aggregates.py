@@ -21,7 +21,7 @@ def group_stats(df: DataFrame, key: str, cols: Iterable[str] = ()) -> DataFrame:
 
 
 def concat_text(
-    df: DataFrame, key: str, order: str, text: str, start: int = 0, per_part: int = 256, sep: str = ""
+    df: DataFrame, key: str, order: str, text: str, start: int = 0, *, per_part: int, sep: str = ""
 ) -> DataFrame:
     """Texts of each key joined in order, from position ``start`` on, as ``(key, part_no, text, n_chars)``.
 
@@ -44,12 +44,13 @@ def text_length(df: DataFrame, key: str, order: str, text: str, start: int = 0)
 
 
 def to_messages(
-    df: DataFrame, key: str, turn: str, role: str, text: str, per_segment: int = 64
+    df: DataFrame, key: str, turn: str, role: str, text: str, per_segment: int
 ) -> DataFrame:
     """Chats as ``(key, segment, messages array<struct<role,content>>)`` in turn order.
 
-    A segment holds ``per_segment`` turns, the unit a chat model is asked about; a chat longer than that
-    spreads over several segments, all of them kept.
+    A storage form: a segment holds the turns of ``per_segment`` turn numbers, so a chat of any length is
+    many rows in many tasks, none of them cut.  A segment is no chat of its own; whoever answers has to
+    take all segments of a key, or aggregate over its turns.
     """
     item = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
     return (

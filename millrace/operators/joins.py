@@ -15,10 +15,10 @@ def join_truth(pred: DataFrame, truth: DataFrame, key: str) -> DataFrame:
     return pred.join(truth, key)
 
 
-def attach_groups(df: DataFrame, groups: DataFrame, key: str, max_rows: int = 100_000) -> DataFrame:
-    """Left join of one-row-per-group results.  A published group table below ``max_rows`` is sent to
-    the rows, so a group that holds a third of them is not shuffled to one task."""
-    return df.join(sized_broadcast(groups, max_rows), key, "left")
+def attach_groups(df: DataFrame, groups: DataFrame, key: str, max_bytes: int = 64 << 20) -> DataFrame:
+    """Left join of one-row-per-group results.  The group table is computed once and stored; below
+    ``max_bytes`` it is sent to the rows, so a group that holds a third of them is not shuffled to one task."""
+    return df.join(sized_broadcast(groups, max_bytes), key, "left")
 
 
 @dataclass(frozen=True)

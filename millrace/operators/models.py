@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,16 +198,22 @@ def auto_fit(
 ) -> SearchResult:
     """Try model families on a train/validation split by key digest and keep the best.
 
+    A missing feature is filled with its mean over the labelled rows, in training and in the returned
+    models alike, so a searched model scores every row it is given.
+
     The budget is a number of trials.  Each trial is a Spark ML fit over the whole training split,
     which is read from the cached split, not from the source, and all validation metrics of a trial
     come from one aggregation.
     """
     metric = metric or ("rmse" if task == "regressor" else "f1")
     features = [f for f in features if f not in set(exclude) | {key, target}]
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
-    ready = assembler.transform(spread(df)).select(key, "features", F.col(target).cast("double").alias(target))
+    known = spread(df).dropna(subset=[target])
+    filled = [f"_filled_{f}" for f in features]
+    imputer = Imputer(inputCols=features, outputCols=filled, strategy="mean").fit(known)
+    assembler = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep")
+    ready = assembler.transform(imputer.transform(known)).select(key, "features", F.col(target).cast("double").alias(target))
     # a seed of its own: the rows may already be one side of a split by the same key
-    train, held = split(ready.dropna(subset=[target]), key, [1 - validation, validation], f"search-{seed}")
+    train, held = split(ready, key, [1 - validation, validation], f"search-{seed}")
     train, held = train.persist(), held.persist()
     measure = regression_metrics if task == "regressor" else classification_metrics
     trials, best, models = [], None, {}
@@ -219,7 +225,7 @@ def auto_fit(
             run = {"run_id": f"trial-{i:03d}", "family": family, "params": {"regressor": family, **{k: str(v) for k, v in params.items()}},
                    "metrics": metrics, "end_time": time.time()}
             trials.append(run)
-            models[run["run_id"]] = PipelineModel(stages=[assembler, fitted])
+            models[run["run_id"]] = PipelineModel(stages=[imputer, assembler, fitted])
             score = metrics.get(metric)
             if score is None:
                 continue

@@ -11,15 +11,14 @@ from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Norm
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.functions.columns import fill_template
-from millrace.functions.hashing import hash32
-from millrace.functions.udfs import chat_udf, text_udf
 from millrace.operators.features import tokenize
-from millrace.session import spread
+from millrace.session import cut_lineage, sized_broadcast, spread
 
 CHUNKS_PER_SPAN = 256
-QUERY_BLOCK_VALUES = 8_000_000  # numbers in one broadcast block of query vectors: 64 MB as doubles
+TILE_CELLS = 1 << 21  # distances a task holds at once: 16 MB as doubles
 
 
 def chunk(df: DataFrame, id_: str, text: str, size: int = 1000, overlap: int = 100) -> DataFrame:
@@ -77,47 +76,79 @@ def _top_k(q: np.ndarray, d: np.ndarray, ids: np.ndarray, k: int):
     return q[keep], d[keep], ids[keep]
 
 
-def _search(queries: np.ndarray, metric: str, k: int):
-    """Arrow batches ``(id, vector)`` -> the k best ``(query position, id, distance)`` of the task."""
-    queries = np.asarray(queries, dtype=float)
-    if metric == "cosine":
-        queries = queries / np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-300)
-    elif metric != "l2":
-        raise ValueError(f"unknown metric {metric!r}")
-    norms = (queries**2).sum(axis=1)
+class _Rows:
+    """The corpus rows of one group."""
+
+    def __init__(self, ids: list, vectors: list[np.ndarray], metric: str):
+        order = sorted(range(len(ids)), key=ids.__getitem__)
+        self.ids = np.empty(len(ids), object)
+        self.ids[:] = [ids[i] for i in order]
+        self.x = _scaled(np.array([vectors[i] for i in order], dtype=float), metric)
+        self.norms = (self.x**2).sum(axis=1)
+
+
+def _scaled(x: np.ndarray, metric: str) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
+
+
+def _search(metric: str, k: int, id_type: pa.DataType, q_type: pa.DataType):
+    """Arrow batches ``(grp, query, id, qid, v)`` sorted by group, corpus rows first -> the k best
+    ``(qid, id, distance)`` of every query in every group.  Queries are measured tile by tile."""
+
+    def measured(rows: _Rows, tile: list) -> pa.RecordBatch:
+        queries = _scaled(np.array([v for _, v in tile], dtype=float), metric)
+        norms = (queries**2).sum(axis=1)
+        # products find the candidates, rounding allowed for; their distances are then taken exactly
+        approx = norms[:, None] - 2 * queries @ rows.x.T + rows.norms[None, :]
+        at = min(k, approx.shape[1]) - 1
+        edge = np.partition(approx, at, axis=1)[:, at]
+        slack = 1e-9 * (1 + np.abs(norms) + np.abs(edge))
+        qi, ri = np.nonzero(approx <= (edge + slack)[:, None])
+        gap = queries[qi] - rows.x[ri]
+        dist = (gap * gap).sum(axis=1)
+        qi, dist, ri = _top_k(qi, dist / 2 if metric == "cosine" else np.sqrt(dist), ri, k)  # rows stand by id
+        return pa.RecordBatch.from_arrays(
+            [pa.array([tile[i][0] for i in qi], q_type), pa.array(list(rows.ids[ri]), id_type), pa.array(dist)],
+            names=["_qid", "_id", "distance"],
+        )
 
     def run(batches):
-        best, id_type = None, None
+        group, rows, ids, vectors, tile = None, None, [], [], []
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            id_type = batch.column(0).type
-            vectors = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
-            if metric == "cosine":
-                vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
-            ids = np.asarray(batch.column(0).to_pylist())
-            # products find the candidates, rounding allowed for; their distances are then taken exactly
-            approx = norms[:, None] - 2 * queries @ vectors.T + (vectors**2).sum(axis=1)[None, :]
-            edge = np.partition(approx, min(k, approx.shape[1]) - 1, axis=1)[:, min(k, approx.shape[1]) - 1]
-            slack = 1e-9 * (1 + np.abs(norms) + np.abs(edge))
-            qi, ri = np.nonzero(approx <= (edge + slack)[:, None])
-            gap = queries[qi] - vectors[ri]
-            dist = (gap * gap).sum(axis=1)
-            dist = dist / 2 if metric == "cosine" else np.sqrt(dist)
-            part = (qi, dist, ids[ri])
-            if best is not None:
-                part = tuple(np.concatenate(x) for x in zip(best, part))
-            best = _top_k(*part, k)
-        if best is not None:
-            q, d, ids = best
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q.astype("int64")), pa.array(ids.tolist(), type=id_type), pa.array(d)],
-                names=["_q", "_id", "distance"],
-            )
+            flat, ends = batch.column(4).flatten().to_numpy(zero_copy_only=False), batch.column(4).offsets.to_numpy()
+            ends = ends - ends[0]
+            for i, (g, asks, id_, qid) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)))):
+                if g != group:
+                    if tile and rows is not None:
+                        yield measured(rows, tile)
+                    group, rows, ids, vectors, tile = g, None, [], [], []
+                v = flat[ends[i] : ends[i + 1]]
+                if not asks:
+                    ids.append(id_)
+                    vectors.append(v)
+                    continue
+                if rows is None and ids:
+                    rows, vectors = _Rows(ids, vectors, metric), []
+                if rows is not None:
+                    tile.append((qid, v))
+                    if len(tile) * len(ids) >= TILE_CELLS:
+                        yield measured(rows, tile)
+                        tile = []
+        if tile and rows is not None:
+            yield measured(rows, tile)
 
     return run
 
 
+def _ranked(found: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame:
+    w = Window.partitionBy("_qid").orderBy("distance", "_id")
+    return (
+        found.withColumn("rank", F.row_number().over(w))
+        .filter(F.col("rank") <= k)
+        .select(F.col("_qid").alias(query_id), F.col("_id").alias(corpus_id), "distance", "rank")
+    )
+
+
 def knn(
     queries: DataFrame,
     corpus: DataFrame,
@@ -126,41 +157,35 @@ def knn(
     query_id: str = "query_id",
     corpus_id: str = "id",
     vector: str = "vector",
+    groups: int = 64,
 ) -> DataFrame:
     """Exact ``k`` nearest corpus rows of every query: ``(query_id, id, distance, rank)``, ties by id.
 
-    The corpus is never shuffled or paired up: each task scans its vectors once against a block of
-    queries and keeps k rows per query; only those meet in the final ranking.  A block holds at most
-    ``QUERY_BLOCK_VALUES`` numbers, checked before it is sent; a larger query table is cut into as many
-    blocks as that takes, each with a scan of its own, so every query is answered in full.
+    Corpus rows are dealt to ``groups`` by a digest of their id, and every query goes to every group.  A
+    task holds one group's vectors and streams the queries past in tiles of ``TILE_CELLS`` distances, so
+    memory depends on neither table's size but on the group's: choose ``groups`` so that a group's
+    vectors fit a task.  k rows per query and group meet in the ranking; the driver sees two numbers.
     """
-    spark = corpus.sparkSession
-    queries = queries.select(F.col(query_id).alias("_qid"), F.col(vector).cast("array<double>").alias("_qv")).filter("_qv IS NOT NULL")
-    shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_qv")).alias("d"), F.min(F.size("_qv")).alias("lo")).first()
-    if shape["n"] and shape["d"] != shape["lo"]:
+    if metric not in ("l2", "cosine"):
+        raise ValueError(f"unknown metric {metric!r}")
+    queries = queries.select(F.col(query_id).alias("_qid"), F.col(vector).cast("array<double>").alias("_v")).filter("_v IS NOT NULL")
+    shape = queries.agg(F.max(F.size("_v")).alias("d"), F.min(F.size("_v")).alias("lo")).first()
+    if shape["d"] != shape["lo"]:
         raise ValueError("query vectors differ in length")
-    per_block = max(1, QUERY_BLOCK_VALUES // max(1, shape["d"] or 1))
-    blocks = max(1, -(-shape["n"] * 5 // (per_block * 4)))  # a fifth of head room for uneven digests
-    base = corpus.select(F.col(corpus_id).alias("_id"), F.col(vector).cast("array<float>").alias("_v")).filter("_v IS NOT NULL")
-    id_type, q_type = base.schema["_id"].dataType.simpleString(), queries.schema["_qid"].dataType.simpleString()
-    found = None
-    for b in range(blocks):
-        block = queries if blocks == 1 else queries.filter(hash32("_qid", "knn") % blocks == b)
-        rows = block.collect()  # at most one block of the size checked above
-        if not rows:
-            continue
-        kernel = _search(np.array([r["_qv"] for r in rows]), metric, k)
-        names = spark.createDataFrame([(i, r["_qid"]) for i, r in enumerate(rows)], f"_q bigint, _qid {q_type}")
-        part = base.mapInArrow(kernel, f"_q bigint, _id {id_type}, distance double").join(F.broadcast(names), "_q")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], f"{query_id} {q_type}, {corpus_id} {id_type}, distance double, rank int")
-    w = Window.partitionBy("_qid").orderBy("distance", "_id")
-    return (
-        found.withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= k)
-        .select(F.col("_qid").alias(query_id), F.col("_id").alias(corpus_id), "distance", "rank")
+    base = corpus.select(F.col(corpus_id).alias("_id"), F.col(vector).cast("array<double>").alias("_v")).filter("_v IS NOT NULL")
+    id_type, q_type = base.schema["_id"].dataType, queries.schema["_qid"].dataType
+    rows = base.select(
+        F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int").alias("_g"), F.lit(False).alias("_asks"), "_id", F.lit(None).cast(q_type).alias("_qid"), "_v"
+    )
+    asked = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"), F.lit(True).alias("_asks"), F.lit(None).cast(id_type).alias("_id"), "_qid", "_v"
     )
+    kernel = _search(metric, k, to_arrow_type(id_type), to_arrow_type(q_type))
+    found = (
+        rows.unionByName(asked).repartitionById(groups, F.col("_g")).sortWithinPartitions("_g", "_asks")
+        .mapInArrow(kernel, f"_qid {q_type.simpleString()}, _id {id_type.simpleString()}, distance double")
+    )
+    return _ranked(found, k, query_id, corpus_id)
 
 
 def knn_lsh(
@@ -173,26 +198,32 @@ def knn_lsh(
     query_id: str = "query_id",
     corpus_id: str = "id",
     vector: str = "vector",
-    max_buckets: int = 100_000,
+    salts: int = 8,
 ) -> DataFrame:
-    """Approximate search: only corpus rows that share a random-projection bucket with some query are
-    measured.  The bucket test is a filter in the scan, so a crowded bucket is just more rows that pass,
-    not a group in one task; what passes is searched exactly as in ``knn``."""
+    """Approximate search: a query is measured against the corpus rows that share a random-projection
+    bucket with it.  Corpus rows of a bucket are dealt to ``salts`` parts and its queries copied to each,
+    so a crowded bucket is several groups.  Queries whose buckets hold fewer than ``k`` rows are answered
+    exactly by ``knn``, so every query gets k rows if the corpus has them."""
     lsh = BucketedRandomProjectionLSH(inputCol="_vec", outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=seed)
-    q = queries.withColumn("_vec", array_to_vector(F.col(vector).cast("array<double>")))
-    c = corpus.withColumn("_vec", array_to_vector(F.col(vector).cast("array<double>")))
+    with_vec = lambda df: df.withColumn("_vec", array_to_vector(F.col("_v")))
+    q = with_vec(queries.select(F.col(query_id).alias("_qid"), F.col(vector).cast("array<double>").alias("_v")).filter("_v IS NOT NULL"))
+    c = with_vec(corpus.select(F.col(corpus_id).alias("_id"), F.col(vector).cast("array<double>").alias("_v")).filter("_v IS NOT NULL"))
+    if q.isEmpty():
+        return knn(queries, corpus, k, "l2", query_id, corpus_id, vector)
     model = lsh.fit(q)
 
-    def buckets(df: DataFrame) -> DataFrame:
-        return model.transform(df).withColumn(
-            "_buckets", F.transform("_hash", lambda h, i: F.concat_ws(":", i.cast("string"), vector_to_array(h)[0].cast("bigint").cast("string")))
-        )
+    def buckets(df: DataFrame, salt) -> DataFrame:
+        places = F.transform("_hash", lambda h, i: F.struct(i.alias("table"), vector_to_array(h)[0].cast("bigint").alias("bucket")))
+        return model.transform(df).drop("_vec").withColumn("_b", F.explode(places)).select(*[x for x in df.columns if x != "_vec"], "_b", salt.alias("_salt"))
 
-    hit = [r[0] for r in buckets(q).select(F.explode("_buckets")).distinct().limit(max_buckets + 1).collect()]
-    if len(hit) > max_buckets:  # too many to filter by: the exact search answers the same question
-        return knn(queries, corpus, k, "l2", query_id, corpus_id, vector)
-    near = buckets(c).filter(F.arrays_overlap("_buckets", F.array(*[F.lit(h) for h in hit])))
-    return knn(queries, near.select(corpus_id, vector), k, "l2", query_id, corpus_id, vector)
+    rows = buckets(c, F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
+    asked = buckets(q, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("_v", "_qv")
+    gap = F.zip_with("_qv", "_v", lambda a, b: (a - b) * (a - b))
+    met = asked.join(rows, ["_b", "_salt"]).select("_qid", "_id", F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)).alias("distance"))
+    near = cut_lineage(_ranked(met.distinct(), k, query_id, corpus_id))
+    full = near.groupBy(query_id).count().filter(F.col("count") >= k)
+    rest = queries.join(full, query_id, "left_anti")
+    return near.join(full.select(query_id), query_id, "left_semi").unionByName(knn(rest, corpus, k, "l2", query_id, corpus_id, vector))
 
 
 def stuff_prompt(hits: DataFrame, question_id: str, question: str, template: str, text: str = "text", out: str = "prompt") -> DataFrame:
@@ -204,31 +235,28 @@ def stuff_prompt(hits: DataFrame, question_id: str, question: str, template: str
     return fill_template(packed, template, {"context": "context", "question": question}, out).drop("_l", "context")
 
 
-def generate(df: DataFrame, text: str, generator, out: str = "generated_text") -> DataFrame:
-    return df.withColumn(out, text_udf(generator)(text))
-
-
-def generate_chat(df: DataFrame, messages: str, generator, out: str = "generated_text") -> DataFrame:
-    return df.withColumn(out, chat_udf(generator)(messages))
+def generate(df: DataFrame, text: str, generator: Callable, out: str = "generated_text") -> DataFrame:
+    """Add what ``generator``, a column function, makes of the text; ``text_udf`` and ``chat_udf`` wrap a
+    batch function of your own model as one."""
+    return df.withColumn(out, generator(F.col(text)))
 
 
-def answer(
+def passage_prompts(
     questions: DataFrame,
     corpus: DataFrame,
     encoder: PipelineModel | Callable,
     k: int,
     template: str,
-    generator,
     question_id: str = "question_id",
     question: str = "question",
     metric: str = "l2",
 ) -> DataFrame:
-    """Answers for a table of questions: encode, search, assemble, generate, as one job.
+    """Prompts for a table of questions: encode, search, assemble, as one job: ``(question_id, question,
+    prompt)``.  Apply ``generate`` with your model to the prompts.
 
-    ``corpus`` holds ``(id, text, vector)``; search reads ids and vectors, the texts are joined for the
-    hits only."""
+    ``corpus`` holds ``(id, text, vector)``; search reads ids and vectors.  The hits, k per question, are
+    stored, and sent to the scan of the texts if they are proven small."""
     asked = encode(questions.select(question_id, question), question, encoder)
-    hits = knn(asked, corpus, k, metric, query_id=question_id)
-    passages = hits.join(corpus.select("id", "text"), "id").join(questions.select(question_id, question), question_id)
-    prompts = stuff_prompt(passages, question_id, question, template)
-    return generate(prompts, "prompt", generator, "answer").select(question_id, question, "prompt", "answer")
+    hits = sized_broadcast(knn(asked, corpus, k, metric, query_id=question_id))
+    passages = corpus.select("id", "text").join(hits, "id").join(questions.select(question_id, question), question_id)
+    return stuff_prompt(passages, question_id, question, template).select(question_id, question, "prompt")

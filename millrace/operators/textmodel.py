@@ -14,9 +14,9 @@ from millrace.session import spread
 
 
 def fit_text_classifier(
-    df: DataFrame, text: str, label: str, dims: int = 4096, max_len: int | None = None, max_iter: int = 20, reg: float = 0.01
+    df: DataFrame, text: str, label: str, dims: int = 4096, max_iter: int = 20, reg: float = 0.01
 ) -> PipelineModel:
-    ready = tokenize(spread(df), text, "tokens", max_len).withColumn("_label", F.col(label).cast("double"))
+    ready = tokenize(spread(df), text, "tokens").withColumn("_label", F.col(label).cast("double"))
     stages = [
         HashingTF(inputCol="tokens", outputCol="_tf", numFeatures=dims),
         IDF(inputCol="_tf", outputCol="features"),
@@ -27,13 +27,13 @@ def fit_text_classifier(
     return fitted
 
 
-def classify_text(df: DataFrame, model: PipelineModel, text: str, max_len: int | None = None) -> DataFrame:
+def classify_text(df: DataFrame, model: PipelineModel, text: str) -> DataFrame:
     """Rows with ``prediction`` and nothing else added."""
-    made = model.transform(tokenize(spread(df), text, "tokens", max_len))
+    made = model.transform(tokenize(spread(df), text, "tokens"))
     return made.select(*df.columns, "prediction")
 
 
-def label_text(df: DataFrame, model: PipelineModel, text: str, out: str = "sentiment", max_len: int | None = None) -> DataFrame:
+def label_text(df: DataFrame, model: PipelineModel, text: str, out: str = "sentiment") -> DataFrame:
     """Class 1 is Positive, class 0 Negative."""
-    made = classify_text(df, model, text, max_len)
+    made = classify_text(df, model, text)
     return made.withColumn(out, F.when(F.col("prediction") == 1, "Positive").otherwise("Negative")).drop("prediction")

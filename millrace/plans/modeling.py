@@ -400,7 +400,7 @@ def group_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = tables.read("group_models")
     log = RunLog(tables)
     log.append(group_run_rows(models, "group_id", "enet", "session"))
-    latest = log.search(map_get("tags", "group").isNotNull() & (F.col("parent_run_id") == "session"), [F.col("end_time").desc()], 10)
+    latest = log.search(map_get("tags", "group").isNotNull() & (F.col("parent_run_id") == "session"))
     wanted = latest.select(map_get("tags", "group").cast("int").alias("group_id"), "run_id")
     made = predict_groups(lines, models.join(wanted, "group_id"), "group_id", ["l_quantity"])
     quality = regression_metrics(made, "label", "prediction", by=["group_id"])

@@ -200,7 +200,7 @@ def length_of_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS chat FROM conversations GROUP BY 1, 2""",
 )
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chats = to_messages(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    chats = to_messages(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", per_segment=64)
     line = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
     return chats.select("conv_id", "segment", F.size("messages").alias("turns"), F.array_join(line, "\n").alias("chat"))
 

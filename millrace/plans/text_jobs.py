@@ -7,20 +7,17 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.generators import closing_reply, extractive_answer, first_sentence
-from millrace.operators.aggregates import to_messages
 from millrace.operators.metrics import classification_metrics
 from millrace.operators.retrieval import (
-    answer,
     chunk,
     encode,
     fit_encoder,
     generate,
-    generate_chat,
     knn,
     knn_lsh,
     load_vectors,
     save_vectors,
+    passage_prompts,
     stuff_prompt,
 )
 from millrace.operators.splits import split
@@ -31,6 +28,7 @@ from millrace.session import shared_dir
 from millrace.sources.readers import load_documents
 
 SIZE, OVERLAP = 1000, 100
+SENTENCE = "^[^.!?]*[.!?]?"
 
 
 @query(
@@ -137,7 +135,9 @@ def prompt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("batch_generate", "SELECT doc_id, regexp_extract(text, '^[^.!?]*[.!?]?') AS generated_text FROM documents")
 def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generate(table(spark, sf_dir, "documents"), "text", first_sentence).select("doc_id", "generated_text")
+    """The hook for a text model, with a column function in its place: the first sentence."""
+    first = lambda c: F.regexp_extract(c, SENTENCE, 0)
+    return generate(table(spark, sf_dir, "documents"), "text", first).select("doc_id", "generated_text")
 
 
 @query(
@@ -146,14 +146,16 @@ def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM conversations GROUP BY 1""",
 )
 def batch_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chats = to_messages(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
-    return generate_chat(chats, "messages", closing_reply).select("conv_id", "generated_text")
+    """One line per conversation of any length, from an aggregate over its turns."""
+    chats = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.max_by("text", "turn").alias("last"))
+    line = F.concat(F.col("n").cast("string"), F.lit(" messages, last: "), F.regexp_extract("last", SENTENCE, 0))
+    return chats.select("conv_id", line.alias("generated_text"))
 
 
 @query("batch_qa")
 def batch_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retrieval question answering: pages and documents -> chunks, stored -> vectors, stored; every
-    benchmark text is a question, answered from its two nearest chunks."""
+    """Retrieval question answering up to the prompt: pages and documents -> chunks, stored -> vectors,
+    stored; every benchmark text is a question, and its two nearest chunks are the passages of its prompt."""
     docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
     pages = load_documents(table(spark, sf_dir, "pages"), "page_id", "html")
     pages = pages.withColumn("doc_id", F.concat(F.lit("p"), F.col("doc_id").cast("string")))
@@ -166,7 +168,7 @@ def batch_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "qa-vectors")
     save_vectors(encode(pieces, "text", encoder), path)
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
-    return answer(questions, load_vectors(spark, path), encoder, 2, PROMPT, extractive_answer).select("question_id", "question", "answer")
+    return passage_prompts(questions, load_vectors(spark, path), encoder, 2, PROMPT)
 
 
 def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,9 +179,9 @@ def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("text_classifier")
 def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = split(labelled_text(spark, sf_dir), "doc_id", [0.8, 0.2])
-    model = fit_text_classifier(train, "text", "label", max_len=512)
+    model = fit_text_classifier(train, "text", "label")
     return rounded(
-        classification_metrics(classify_text(test, model, "text", max_len=512), "label", "prediction"),
+        classification_metrics(classify_text(test, model, "text"), "label", "prediction"),
         accuracy=4, precision=4, recall=4, f1=4,
     )
 
@@ -187,5 +189,5 @@ def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("text_labels")
 def text_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document labelled by a classifier trained on the labelled ones."""
-    model = fit_text_classifier(labelled_text(spark, sf_dir), "text", "label", max_len=512)
-    return label_text(table(spark, sf_dir, "documents").select("doc_id", "text"), model, "text", max_len=512).select("doc_id", "sentiment")
+    model = fit_text_classifier(labelled_text(spark, sf_dir), "text", "label")
+    return label_text(table(spark, sf_dir, "documents").select("doc_id", "text"), model, "text").select("doc_id", "sentiment")

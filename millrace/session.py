@@ -62,25 +62,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out to all cores before costly per-row work.
+def spread(df: DataFrame, partitions: int = 32, small_bytes: int = 1 << 30) -> DataFrame:
+    """Deal a small input out to ``partitions`` tasks before costly per-row work.
 
     A file or two with few row groups would otherwise keep most cores idle.  The optimizer's size
-    estimate decides: an input that cannot give every core one full file split is repartitioned, which
-    moves at most cores x split size; anything larger keeps the partitions of its scan, unshuffled.
+    estimate decides: an input below ``small_bytes`` is repartitioned; anything larger keeps the
+    partitions of its scan, unshuffled.  Neither number depends on the cluster or its settings, so a
+    seeded model is the same on any number of cores.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
+    return df.repartition(partitions) if size < small_bytes else df
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when ``df`` is proven to hold at most ``max_rows`` rows.
+def sized_broadcast(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only for a frame that is stored and proven to take at most ``max_bytes``.
 
-    The check reads no more than ``max_rows + 1`` rows.  Above the limit the frame is returned as it
-    is and the join stays a shuffle join that adaptive execution may still re-plan or de-skew.
+    The rows are written once and read back, so the work behind them is done once, and the check reads
+    a file size, not the rows.  Parquet is compressed, so a quarter of the limit is allowed on disk.
+    Above it the join stays a shuffle join that adaptive execution may still re-plan or de-skew.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    spark = df.sparkSession
+    path = shared_dir(spark, "small-side")
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(stored) if size <= max_bytes // 4 else stored

@@ -3,9 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import millrace.operators.retrieval as R
-from millrace.functions.generators import closing_reply, extractive_answer, first_sentence
 from millrace.functions.udfs import chat_udf, text_udf
-from millrace.operators.retrieval import answer, chunk, encode, fit_encoder, generate, knn, knn_lsh, stuff_prompt
+from millrace.operators.retrieval import chunk, encode, fit_encoder, generate, knn, knn_lsh, passage_prompts, stuff_prompt
 from millrace.sources.readers import html_text
 
 
@@ -29,14 +28,14 @@ def brute(x, q, k, metric):
 
 
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
-@pytest.mark.parametrize("limit", [None, 200])
+@pytest.mark.parametrize("limit", [None, 700])
 def test_knn_is_exact(spark, vectors, metric, limit, monkeypatch):
     x, corpus = vectors
-    if limit:  # force several query blocks
-        monkeypatch.setattr(R, "QUERY_BLOCK_VALUES", limit)
+    if limit:  # force several tiles
+        monkeypatch.setattr(R, "TILE_CELLS", limit)
     queries = corpus.filter("id < 60").withColumnRenamed("id", "query_id")
     got = {}
-    for r in knn(queries, corpus, 4, metric).collect():
+    for r in knn(queries, corpus, 4, metric, groups=3).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["id"], r["distance"])
     assert set(got) == set(range(60))
     for q, hits in got.items():
@@ -63,8 +62,18 @@ def test_lsh_recall(spark, vectors):
     exact = {(r["query_id"], r["id"]) for r in knn(queries, corpus, 3).collect()}
     found = {(r["query_id"], r["id"]) for r in knn_lsh(queries, corpus, 3, bucket_length=1.0, tables=6).collect()}
     assert len(exact & found) / len(exact) >= 0.8
-    same = {(r["query_id"], r["id"]) for r in knn_lsh(queries, corpus, 3, max_buckets=1).collect()}
-    assert same == exact
+    thin = knn_lsh(queries, corpus, 3, bucket_length=1e-6, tables=1)  # no neighbour shares a bucket
+    assert {(r["query_id"], r["id"]) for r in thin.collect()} == exact
+    assert knn_lsh(queries.limit(0), corpus, 3).count() == 0
+
+
+def test_many_queries_need_no_driver_and_little_memory(spark, vectors):
+    _, corpus = vectors
+    asked = spark.range(100_000).select(F.col("id").alias("query_id"), F.array(*[(F.col("id") % (7 + i)).cast("double") for i in range(8)]).alias("vector"))
+    got = knn(asked, corpus, 2, groups=2)
+    assert got.count() == 200_000
+    few = knn(asked.filter("query_id < 50"), corpus, 2)
+    assert got.filter("query_id < 50").exceptAll(few).count() == 0
 
 
 @pytest.mark.parametrize("size,overlap", [(10, 3), (5, 0), (1000, 100)])
@@ -91,14 +100,14 @@ def test_encoder(spark):
     assert [r["v"] for r in own] == [[16.0], [5.0], [0.0]]
 
 
-def test_prompt_and_answers(spark):
+def test_prompts(spark):
     docs = ["Paris is the capital of France. It is large.", "Rome is the capital of Italy. It is old.", "Bread needs flour. And water."]
     corpus = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "id int, text string")
     enc = fit_encoder(corpus, "text", 512)
     questions = spark.createDataFrame([(1, "capital of Italy"), (2, "flour for bread")], "question_id int, question string")
-    made = {r["question_id"]: r for r in answer(questions, encode(corpus, "text", enc), enc, 2, "{context}\n\nQuestion: {question}", extractive_answer).collect()}
-    assert made[1]["answer"] == "Rome is the capital of Italy." and made[2]["answer"] == "Bread needs flour."
-    assert made[1]["prompt"].startswith(docs[1] + "\n\n" + docs[0]) and made[1]["prompt"].endswith("Question: capital of Italy")
+    made = {r["question_id"]: r["prompt"] for r in passage_prompts(questions, encode(corpus, "text", enc), enc, 2, "{context}\n\nQuestion: {question}").collect()}
+    assert made[1].startswith(docs[1] + "\n\n" + docs[0]) and made[1].endswith("Question: capital of Italy")
+    assert made[2].startswith(docs[2])
 
 
 def test_stuff_prompt_orders_by_rank(spark):
@@ -106,13 +115,17 @@ def test_stuff_prompt_orders_by_rank(spark):
     assert stuff_prompt(hits, "k", "question", "{context}|{question}").first()["prompt"] == "first\n\nsecond|q"
 
 
-def test_generators_keep_null(spark):
+def test_own_functions_keep_null(spark):
+    def first(texts):
+        return [t.split(".")[0] for t in texts]
+
+    def closing(chats):
+        return [f"{len(c)}: {c[-1]['content']}" for c in chats]
+
     df = spark.createDataFrame([(1, "One. Two."), (2, None)], "k int, t string")
-    assert [r["generated_text"] for r in generate(df, "t", first_sentence).orderBy("k").collect()] == ["One.", None]
+    assert [r["generated_text"] for r in generate(df, "t", text_udf(first)).orderBy("k").collect()] == ["One", None]
     chats = spark.createDataFrame([([("user", "Hi. There")],), (None,)], "m array<struct<role:string,content:string>>")
-    assert [r[0] for r in chats.select(chat_udf(closing_reply)("m")).collect()] == ["1 messages, last: Hi.", None]
-    assert df.filter("k = 2").select(text_udf(first_sentence)("t")).first()[0] is None
-    assert extractive_answer(["Nothing here. Question: zebra"]) == ["I do not know."]
+    assert [r[0] for r in chats.select(chat_udf(closing)("m")).collect()] == ["1: Hi. There", None]
 
 
 def test_html(spark):
