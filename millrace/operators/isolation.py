@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.hashing import hash32, uniform
+from millrace.functions.hashing import uniform
 from millrace.functions.udfs import apply_groups
 from millrace.session import spread
 
@@ -107,19 +107,12 @@ def fit_isolation_forest(
     n = ready.count()
     if n == 0:
         raise ValueError("no complete row to fit on")
-    wanted = trees * sample * _SPARE
-    if n <= wanted:
-        # few rows: every (row, tree) pair is drawn on its own; at most `wanted` rows times `trees`
-        rate = min(1.0, sample * _SPARE / n)
-        pair = ready.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        drawn = pair.withColumn("_u", uniform(F.concat_ws("/", "_key", F.col("tree").cast("string")), seed)).filter(F.col("_u") < rate)
-    else:
-        # many rows: a row is drawn for at most one tree, one digest per row decides
-        drawn = (
-            ready.withColumn("_u", uniform("_key", seed))
-            .filter(F.col("_u") < wanted / n)
-            .withColumn("tree", (hash32("_key", f"{seed}-tree") % trees).cast("int"))
-        )
+    # per row: in how many trees it is, then which, in the order of digests of row and tree
+    rate = min(float(trees), trees * sample * _SPARE / n)
+    whole = int(rate)
+    times = F.lit(whole) + (uniform("_key", seed) < rate - whole).cast("int")
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(F.lit(seed), "_key", t).alias("_u"), t.alias("tree"))))
+    drawn = ready.withColumn("_n", times).filter("_n > 0").select("_key", *features, F.inline(F.slice(ranked, 1, F.col("_n"))))
     limit = math.ceil(math.log2(max(min(sample, n), 2)))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -53,17 +53,18 @@ def profile(
     optional quantiles (sketches); custom metrics are repeated on the rows of their input column.
 
     Columns are aggregated side by side and turned into rows afterwards, so the data is multiplied by
-    the number of slices only.  ``exact`` counts distinct values by a further shuffle.
+    the number of slices only.  Distinct values of numeric columns are counted by a sketch; ``exact``
+    counts those of categorical columns by their sets, which merge like any other partial result.
     """
     sliced = with_slices(_windowed(df, ts, granularity), slices)
     keys = ["window_start", F.col(model_id).cast("string").alias("model_id"), "slice_key", "slice_value"]
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    distinct = {c: F.size(F.collect_set(c)).cast("bigint") if exact and c in categorical else F.approx_count_distinct(c) for c in [*numeric, *categorical]}
     aggs = []
     for c in [*numeric, *categorical]:
         aggs += [
             F.count(F.col(c)).alias(f"{c}__n"),
             F.count_if(F.col(c).isNull()).alias(f"{c}__null"),
-            distinct(F.col(c)).alias(f"{c}__distinct"),
+            distinct[c].alias(f"{c}__distinct"),
         ]
     for c in numeric:
         x = F.col(c).cast("double")

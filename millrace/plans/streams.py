@@ -17,6 +17,7 @@ from millrace.streaming.files import (
     stream_files,
     stream_profile,
     stream_table,
+    violations_table,
 )
 
 
@@ -75,3 +76,22 @@ def stream_daily_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_table(made, sink, shared_dir(spark, "state-profile"))
     out = read_stream_sink(spark, sink).withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
     return rounded(out.drop("window_start", "window_end"), value_mean=6)
+
+
+STREAM_RULES = {"dear": "value > 20", "known user": "user_id IS NOT NULL", "no error": "event_type <> 'error'"}
+
+
+@query(
+    "stream_expectations",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS expectation, count(*) AS n_rows, count(*) FILTER (NOT coalesce({c}, false)) AS n_failed FROM events" for n, c in STREAM_RULES.items()
+    ),
+)
+def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations of a stream's expectations as a table, over all its micro-batches."""
+    source, sink = shared_dir(spark, "expect-in"), shared_dir(spark, "expect-out")
+    log = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    log.repartition(6, "event_id").write.parquet(source)
+    stream = stream_expect(stream_files(spark, source, "parquet", log.schema, max_files=1), STREAM_RULES)
+    done = stream_table(stream, sink, shared_dir(spark, "expect-state"))
+    return violations_table(spark, done, STREAM_RULES)

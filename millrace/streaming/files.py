@@ -8,6 +8,7 @@ Checkpoint and sink folders must be shared storage on a cluster.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.quality import passed
 
+_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
 
 def stream_files(spark: SparkSession, path: str, fmt: str, schema: StructType | str, max_files: int | None = None) -> DataFrame:
     """New files of a folder as a stream, at most ``max_files`` per micro-batch."""
@@ -26,19 +29,34 @@ def stream_files(spark: SparkSession, path: str, fmt: str, schema: StructType |
 
 
 def stream_table(df: DataFrame, path: str, checkpoint: str, partition_by: Iterable[str] = ()) -> StreamingQuery:
-    """Append a stream to a parquet table and wait until the present input is written."""
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*partition_by)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
+    """Append a stream to a parquet table and wait until the present input is written.
+
+    The query keeps the progress of all its micro-batches (Spark drops all but 100 unless told), so
+    counts taken from it afterwards are complete."""
+    with _all_progress(df.sparkSession):
+        query = (
+            df.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .partitionBy(*partition_by)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+        query.awaitTermination()
     return query
 
 
+@contextmanager
+def _all_progress(spark: SparkSession):
+    """Streams that run inside keep every progress report."""
+    before = spark.conf.get(_KEPT, None)
+    spark.conf.set(_KEPT, 2**31 - 1)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_KEPT) if before is None else spark.conf.set(_KEPT, before)
+
+
 def read_stream_sink(spark: SparkSession, path: str) -> DataFrame:
     """Batch snapshot of a table a stream writes; files of unfinished batches are not part of it."""
     return spark.read.parquet(path)
@@ -51,8 +69,7 @@ def stream_expect(df: DataFrame, expectations: Mapping[str, str], name: str = "e
 
 
 def stream_violations(query: StreamingQuery, expectations: Mapping[str, str], name: str = "expectations") -> dict[str, int]:
-    """Violations over the micro-batches whose progress the query still holds
-    (``spark.sql.streaming.numRecentProgressUpdates``, 100 unless set)."""
+    """Violations over all micro-batches of a query that ``stream_table`` ran."""
     out = dict.fromkeys(expectations, 0)
     for progress in query.recentProgress:
         row = progress.observedMetrics.get(name)
@@ -62,6 +79,13 @@ def stream_violations(query: StreamingQuery, expectations: Mapping[str, str], na
     return out
 
 
+def violations_table(spark: SparkSession, query: StreamingQuery, expectations: Mapping[str, str], name: str = "expectations") -> DataFrame:
+    """``(expectation, n_rows, n_failed)`` of a finished stream, one row per expectation."""
+    seen = sum(int(p.observedMetrics[name]["rows"] or 0) for p in query.recentProgress if p.observedMetrics.get(name) is not None)
+    rows = [(n, seen, failed) for n, failed in stream_violations(query, expectations, name).items()]
+    return spark.createDataFrame(rows, "expectation string, n_rows bigint, n_failed bigint")
+
+
 def stream_expect_or_fail(df: DataFrame, expectations: Mapping[str, str]) -> DataFrame:
     """Stop the stream at the first violating row: the task raises, so the batch that holds it is not
     committed and earlier batches stay."""
@@ -103,5 +127,5 @@ def _names(numeric: Sequence[str]) -> list[str]:
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Late rows dropped by the watermark over the progress the query still holds."""
+    """Late rows dropped by the watermark over all micro-batches of a query that ``stream_table`` ran."""
     return sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)

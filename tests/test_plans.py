@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators.index import with_dense_index
 from millrace.operators.metrics import regression_metrics
-from millrace.operators.monitor import profile
 from millrace.operators.topk import best_per, top_n
 from millrace.plans import all_queries, all_sql
+from millrace.plans.monitoring import drift_consecutive, profile_metrics
 from millrace.plans.registry import table
 from millrace.plans.table_jobs import inference
 from millrace.sources.tables import Tables
@@ -49,8 +49,9 @@ def test_best_per_aggregates_before_the_shuffle(spark, sf_dir):
 
 
 def test_profile_multiplies_by_slices_only(spark, sf_dir):
-    text = plan(profile(inference(spark, sf_dir), "timestamp", "1 day", ["value", "prediction"], ["event_type"], ["event_type"]))
-    assert text.count("Scan parquet") == 2 and "Expand" not in text
+    for text in (plan(profile_metrics(spark, sf_dir)), plan(drift_consecutive(spark, sf_dir))):
+        assert text.count("Scan parquet") == 2 and "Expand" not in text
+        assert all("value" not in keys.replace("slice_value", "") and "label" not in keys for keys in re.findall(r"hashpartitioning\((.*?)\)", text))
 
 
 def test_dense_index_has_no_single_partition(spark):

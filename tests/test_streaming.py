@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from millrace.streaming.files import (
-    dropped_rows, read_stream_sink, stream_expect, stream_expect_or_fail, stream_files, stream_profile, stream_table, stream_violations,
+    dropped_rows, read_stream_sink, stream_expect, stream_expect_or_fail, stream_files, stream_profile, stream_table, stream_violations, violations_table,
 )
 
 SCHEMA = "k int, v double"
@@ -29,6 +29,14 @@ def test_expectations_are_counted(spark, folder):
     assert read_stream_sink(spark, f"{folder}/out").count() == 3
 
 
+def test_violations_of_more_batches_than_spark_keeps(spark, folder):
+    spark.createDataFrame([(None, float(i)) for i in range(101)], SCHEMA).repartition(101).write.option("maxRecordsPerFile", 1).json(f"{folder}/in")
+    rules = {"key": "k IS NOT NULL"}
+    q = stream_table(stream_expect(stream_files(spark, f"{folder}/in", "json", SCHEMA, 1), rules), f"{folder}/out", f"{folder}/state")
+    assert stream_violations(q, rules) == {"key": 101}
+    assert [tuple(r) for r in violations_table(spark, q, rules).collect()] == [("key", 101, 101)]
+
+
 def test_failing_expectation_keeps_earlier_batches(spark, folder):
     def run():
         s = stream_files(spark, f"{folder}/in", "json", SCHEMA, 1)
