@@ -135,7 +135,7 @@ def fit_forest(
     return Pipeline(stages=[assembler, forest]).fit(spread(df))
 
 
-def _candidates(task: str, label: str, width: int, seed: int) -> list[tuple[str, dict, object]]:
+def candidates(task: str, label: str, width: int, seed: int = 42) -> list[tuple[str, dict, object]]:
     """Trials in the order they are tried: every family once before a second setting of any."""
     common = {"featuresCol": "features", "labelCol": label}
     if task == "regressor":
@@ -218,7 +218,7 @@ def auto_fit(
     measure = regression_metrics if task == "regressor" else classification_metrics
     trials, best, models = [], None, {}
     try:
-        for i, (family, params, estimator) in enumerate(_candidates(task, target, len(features), seed)[:max_trials]):
+        for i, (family, params, estimator) in enumerate(candidates(task, target, len(features), seed)[:max_trials]):
             fitted = without_summary(estimator.fit(train))
             row = measure(fitted.transform(held), target, "prediction").first().asDict()
             metrics = {k: float(v) for k, v in row.items() if v is not None}

@@ -7,6 +7,7 @@ import importlib
 _MODULES = (
     "clickstream",
     "table_jobs",
+    "preparation",
     "relational",
     "modeling",
     "monitoring",

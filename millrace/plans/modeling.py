@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import map_get, where_like
+from millrace.functions.hashing import sql_bucket
 from millrace.functions.udfs import model_udf, register_model
 from millrace.operators.gates import Threshold, champion, gate
-from millrace.operators.groups import fit_group_forests, fit_groups, fit_groups_ols, group_run_rows, predict_groups
+from millrace.operators.groups import fit_group_forests, fit_groups, fit_groups_ols, group_run_rows, predict_group_forests, predict_groups
 from millrace.operators.joins import Lookup, score_lookup
 from millrace.operators.metrics import evaluate, regression_metrics
-from millrace.operators.models import LinearModel, auto_fit, fit_forest, fit_linear, fit_mean, least_correlated, vote
+from millrace.operators.models import LinearModel, auto_fit, candidates, fit_forest, fit_linear, fit_mean, least_correlated, vote
 from millrace.operators.runlog import Models, RunLog, dataset_digest
 from millrace.operators.splits import split
 from millrace.plans.registry import query, table
@@ -381,11 +382,25 @@ def group_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(made.select("l_orderkey", "l_linenumber", "prediction"), prediction=3)
 
 
-@query("group_forests")
+# Labels with a rule of their own in every group.
+GROUP_LABEL = "l_quantity * (1000 + 100 * (l_suppkey % 10)) * (1 - l_discount)"
+
+
+@query(
+    "group_forests",
+    f"""WITH g AS (SELECT (l_suppkey % 10)::int AS group_id, {GROUP_LABEL} AS y FROM lineitem)
+        SELECT group_id, count(*) AS n_used, count(*) AS n_scored, round(stddev_pop(y), 2) AS spread, true AS good FROM g GROUP BY 1""",
+)
 def group_forests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = grouped_lines(spark, sf_dir)
-    made = fit_group_forests(lines, "group_id", GROUP_FEATURES, "label", shared_dir(spark, "group-forests"), num_trees=5)
-    return made.select("group_id", "n_used", F.round(F.sqrt("mse"), 4).alias("rmse"))
+    """One forest per group, saved; every row scored by its own group's saved forest."""
+    lines = grouped_lines(spark, sf_dir).withColumn("label", F.expr(GROUP_LABEL.replace("(l_suppkey % 10)", "group_id")))
+    made = fit_group_forests(lines, "group_id", GROUP_FEATURES, "label", shared_dir(spark, "group-forests"), num_trees=100)
+    scored = predict_group_forests(lines, made, "group_id")
+    error = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))
+    found = scored.groupBy("group_id").agg(
+        F.count("prediction").alias("n_scored"), F.stddev_pop("label").alias("spread"), (error <= 0.3 * F.stddev_pop("label")).alias("good")
+    )
+    return rounded(found.join(made.select("group_id", "n_used"), "group_id"), spread=2)
 
 
 @query(
@@ -410,27 +425,65 @@ def group_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- fitted and searched models --------------------------------------------------------------------
 
 
+# A label that depends on its features: quantity at a fixed unit price, less discount, plus tax.
+LINE_PRICE = "l_quantity * 1000 * (1 - l_discount) * (1 + l_tax)"
+LINE_ID = "(l_orderkey * 100 + l_linenumber)"
+LINES_TEST_SQL = f"(SELECT {LINE_ID} AS id, {LINE_PRICE} AS price FROM lineitem WHERE {sql_bucket(LINE_ID, 42, 10000)} >= 8000)"
+DEAR = 25_000
+
+
 def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with a unique key for splitting."""
     return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"), *GROUP_FEATURES, F.col("l_extendedprice").alias("price")
+        F.expr(LINE_ID).alias("id"), *GROUP_FEATURES, F.expr(LINE_PRICE).alias("price")
     )
 
 
-@query("forest_regression")
+def better_than_mean(scored: DataFrame, y: str, prediction: str, share: float) -> DataFrame:
+    """``(n, spread, good)``: rows, error of their mean as prediction, and whether the model's error is at most
+    ``share`` of it."""
+    error = F.sqrt(F.avg(F.pow(F.col(prediction) - F.col(y), 2)))
+    spread_ = F.stddev_pop(F.col(y).cast("double"))
+    made = scored.agg(F.count(F.lit(1)).alias("n"), spread_.alias("spread"), (error <= share * spread_).alias("good"))
+    return rounded(made, spread=2)
+
+
+def better_than_base(scored: DataFrame, y: str, prediction: str, margin: float) -> DataFrame:
+    """``(n, base, good)``: rows, share of the larger class, and whether accuracy is at least ``margin`` above it."""
+    one = F.avg(F.col(y).cast("double"))
+    base, right = F.greatest(one, 1 - one), F.avg((F.col(y) == F.col(prediction)).cast("double"))
+    return rounded(scored.agg(F.count(F.lit(1)).alias("n"), base.alias("base"), (right >= base + margin).alias("good")), base=6)
+
+
+MEAN_SQL = f"SELECT count(*) AS n, round(stddev_pop(price), 2) AS spread, true AS good FROM {LINES_TEST_SQL}"
+BASE_SQL = f"""SELECT count(*) AS n, round(greatest(avg((price > {DEAR})::int), 1 - avg((price > {DEAR})::int)), 6) AS base, true AS good
+  FROM {LINES_TEST_SQL}"""
+
+
+@query("forest_regression", MEAN_SQL)
 def forest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small forest's error on held-out lines is at most half that of the mean."""
     train, test = split(line_features(spark, sf_dir), "id", [0.8, 0.2])
-    model = fit_forest(train, GROUP_FEATURES, "price", max_depth=3, num_trees=20, min_leaf_fraction=0.1, feature_fraction=0.5)
-    return regression_metrics(model.transform(test), "price", "prediction")
+    model = fit_forest(train, GROUP_FEATURES, "price", max_depth=3, num_trees=20, min_leaf_fraction=0.1, feature_fraction=0.67)
+    return better_than_mean(model.transform(test), "price", "prediction", 0.5)
+
+
+def _trials_sql(task: str) -> str:
+    rows = ", ".join(f"('trial-{i:03d}', '{family}', true)" for i, (family, *_) in enumerate(candidates(task, "y", 3)))
+    return f"SELECT * FROM (VALUES {rows}) v(run_id, family, good)"
 
 
-@query("auto_regress")
+@query("auto_regress", _trials_sql("regressor"))
 def auto_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trial's validation error is at most half the spread of the label."""
     df = line_features(spark, sf_dir)
-    return auto_fit(df, "id", GROUP_FEATURES, "price", "regressor", "rmse", max_trials=3).leaderboard(spark)
+    board = auto_fit(df, "id", GROUP_FEATURES, "price", "regressor", "rmse").leaderboard(spark)
+    spread_ = df.agg(F.stddev_pop("price")).first()[0]
+    return board.select("run_id", "family", (F.col("score") <= 0.5 * spread_).alias("good"))
 
 
-@query("auto_classify")
+@query("auto_classify", _trials_sql("classifier"))
 def auto_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = line_features(spark, sf_dir).withColumn("dear", (F.col("price") > 40000).cast("int")).drop("price")
-    return auto_fit(df, "id", GROUP_FEATURES, "dear", "classifier", "f1", max_trials=4).leaderboard(spark)
+    df = line_features(spark, sf_dir).withColumn("dear", (F.col("price") > DEAR).cast("int")).drop("price")
+    board = auto_fit(df, "id", GROUP_FEATURES, "dear", "classifier", "f1").leaderboard(spark)
+    return board.select("run_id", "family", (F.col("score") >= 0.8).alias("good"))

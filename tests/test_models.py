@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.udfs import model_udf, register_model
 from millrace.operators.explain import explain, summary
 from millrace.operators.features import assemble
-from millrace.operators.groups import elastic_net, fit_group_forests, fit_groups, group_run_rows, predict_groups
+from millrace.operators.groups import elastic_net, fit_group_forests, fit_groups, group_run_rows, predict_group_forests, predict_groups
 from millrace.operators.isolation import build_tree, fit_isolation_forest, mean_path, score_isolation_forest
 from millrace.operators.joins import Lookup, attach_groups, lookup, same_rows, score_lookup
 from millrace.operators.metrics import classification_metrics, regression_metrics
@@ -110,8 +110,12 @@ def test_group_forests(spark, synth, folder):
     assert {g: r["n_used"] for g, r in got.items()} == {0: 300, 1: 300}
     model = load_model(got[0]["model_path"])
     assert regression_metrics(model.transform(two.filter("group_id = 0")), "label", "prediction").first()["mse"] == pytest.approx(got[0]["mse"])
-    with pytest.raises(ValueError):
-        fit_group_forests(synth, "group_id", FEATURES, "label", folder + "x", max_groups=3)
+    rows = synth.filter("group_id < 3")
+    scored = {r["record_id"]: r for r in predict_group_forests(rows, made, "group_id").collect()}
+    own = {g: {r["record_id"]: r["prediction"] for r in load_model(got[g]["model_path"]).transform(two.filter(F.col("group_id") == g)).collect()} for g in (0, 1)}
+    assert len(scored) == rows.count()
+    for r in scored.values():
+        assert r["prediction"] == (own[r["group_id"]][r["record_id"]] if r["group_id"] < 2 else None)
 
 
 def test_forest_beats_mean_and_reloads(spark, synth, folder):
@@ -162,7 +166,7 @@ def test_lookup_keeps_unmatched(spark):
     assert lookup(left, [Lookup(feats, "k")], label="y", exclude=["k"]).columns == ["y", "f", "s"]
     m = LinearModel(("f",), (1.0,), 0.0)
     assert {r["k"]: r["prediction"] for r in score_lookup(left, [Lookup(feats, "k", ("f",))], m.transform).collect()} == {1: 5.0, 9: None}
-    assert attach_groups(left, feats, "k", max_rows=0).count() == 2
+    assert attach_groups(left, feats, "k", max_bytes=0).count() == 2
 
 
 def test_models_and_aliases(spark, folder):
@@ -189,7 +193,7 @@ def test_digest(spark):
 
 
 def test_network_is_independent_of_partitions(spark, synth):
-    args = dict(key="record_id", features=FEATURES, label="label", hidden=(8, 4), dropout=(0.5,), epochs=4, steps=2, learning_rate=0.01)
+    args = dict(key="record_id", features=FEATURES, label="label", hidden=(8, 4), dropout=(0.5,), epochs=4, steps=2, learning_rate=0.01, batch=None)
     one = fit_network(synth.coalesce(1), num_partitions=1, **args)
     many = fit_network(synth.repartition(9), num_partitions=3, **args)
     assert np.allclose(one.weights, many.weights, atol=1e-9)
@@ -198,7 +202,7 @@ def test_network_is_independent_of_partitions(spark, synth):
 
 def test_network_gradient(spark):
     """The first Adam step follows the numerical gradient's signs."""
-    from millrace.operators.network import _forward, _gradient_task, _loss_and_delta, _unpack
+    from millrace.operators.network import _forward, _loss_and_delta, _task, _unpack
     import pyarrow as pa
 
     rng = np.random.default_rng(0)
@@ -210,7 +214,7 @@ def test_network_gradient(spark):
         names=["_k", "_train", "_y", "a", "b", "c"],
     )
     for classifier in (False, True):
-        out = next(_gradient_task(flat, layers, classifier, (), 1)(iter([batch])))
+        out = next(_task(flat, layers, classifier, (), 1, None, 0.1)(iter([batch])))
         grad = np.concatenate([np.array(g) for g in out.column(1).to_pylist()])[: len(flat)]
 
         def loss(w):
@@ -230,6 +234,31 @@ def test_network_learns(spark, synth):
         fit_network(df.limit(0), "record_id", FEATURES, "big", "classifier")
 
 
+def test_small_batches_learn_in_few_passes(spark, synth):
+    m = fit_network(synth, "record_id", FEATURES, "label", hidden=(16, 8), dropout=(), epochs=6, learning_rate=0.01, num_partitions=2)
+    got = regression_metrics(m.transform(synth), "label", "prediction").first()
+    assert got["r2"] > 0.9
+    again = fit_network(synth.repartition(5), "record_id", FEATURES, "label", hidden=(16, 8), dropout=(), epochs=6, learning_rate=0.01, num_partitions=2)
+    assert np.allclose(m.weights, again.weights, atol=1e-9)
+
+
+def test_stopping_on_accuracy_waits_for_its_first_epoch(spark, synth):
+    df = synth.withColumn("big", (F.col("label") > 3.5).cast("int"))
+    args = dict(hidden=(4,), dropout=(), epochs=12, learning_rate=0.01, patience=1, monitor="accuracy", start_from_epoch=5)
+    m = fit_network(df, "record_id", FEATURES, "big", "classifier", **args)
+    assert 7 <= len(m.history) <= 12 and m.history[-1]["val_accuracy"] > 0.5
+    with pytest.raises(ValueError):
+        fit_network(df, "record_id", FEATURES, "label", monitor="accuracy")
+
+
+def test_searched_model_keeps_rows_with_gaps(spark, synth):
+    gaps = synth.withColumn(FEATURES[0], F.when(F.col("record_id") % 5 != 0, F.col(FEATURES[0])))
+    found = auto_fit(gaps, "record_id", FEATURES, "label", "regressor")
+    assert len(found.trials) == 6
+    scored = found.best.transform(gaps)
+    assert scored.count() == gaps.count() and scored.filter("prediction IS NULL OR isnan(prediction)").count() == 0
+
+
 def test_early_stopping_restores_best(spark, synth):
     m = fit_network(synth, "record_id", FEATURES, "label", hidden=(4,), dropout=(), epochs=30, learning_rate=2.0, patience=2)
     losses = [h["val_loss"] for h in m.history]
