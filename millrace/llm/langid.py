@@ -77,8 +77,12 @@ def features(text: str, buckets: int) -> np.ndarray:
 def _sample(docs: DataFrame, s: Settings) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, the sample's features and the numbers of their languages; rows in the order of language and digest."""
     ids = docs.filter(F.col("lang").isNotNull() & ~F.col("held")).select("lang", "id").distinct()
-    langs = ids.select(F.count_distinct("lang")).first()[0]
-    each = max(1, min(s.per_lang, s.most_rows // max(1, langs)))
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("many")).orderBy(F.col("many").desc(), "lang").limit(s.most_rows)
+    sizes = staged(sizes, "language-sizes")  # at most most_rows rows, by the limit
+    each = max(1, min(s.per_lang, s.most_rows // max(1, sizes.count())))
+    # only about four times the sample meets in the window, however common a language is
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    ids = ids.join(F.broadcast(sizes), "lang").filter(share * F.col("many") < 4.0 * each + 100).select("lang", "id")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     picked = staged(ids.withColumn("n", place).filter(F.col("n") <= each).orderBy("n", "lang").limit(s.most_rows), "language-sample")
     # at most most_rows rows, by the limit
