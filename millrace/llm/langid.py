@@ -40,7 +40,7 @@ class Settings:
     batch: int = 32
     seed: int = 7
     lose: float = 0.001
-    most_limit: float = 0.5
+    most_limit: float = 0.4
 
 
 @dataclass(frozen=True)
