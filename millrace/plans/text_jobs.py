@@ -24,7 +24,7 @@ from millrace.operators.splits import split
 from millrace.operators.textmodel import classify_text, fit_text_classifier, label_text
 from millrace.plans.registry import query, table
 from millrace.plans.relational import rounded
-from millrace.session import shared_dir
+from millrace.session import cut_lineage, shared_dir
 from millrace.sources.readers import load_documents
 
 SIZE, OVERLAP = 1000, 100
@@ -87,10 +87,15 @@ def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(l2.unionByName(cosine), distance=5)
 
 
-@query("knn_lsh")
+@query("knn_lsh", "SELECT label AS query_id, 4::bigint AS n, true AS recalled FROM embeddings GROUP BY 1")
 def knn_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows found for every label's mean vector, and whether four fifths of all are those of the exact search."""
     corpus = vectors(spark, sf_dir)
-    return rounded(knn_lsh(centroids(corpus), corpus, 4, bucket_length=0.1, tables=4), distance=5)
+    asked = centroids(corpus)
+    found = cut_lineage(knn_lsh(asked, corpus, 4, bucket_length=0.5, tables=6))
+    exact = knn(asked, corpus, 4).select("query_id", "id", F.lit(1).alias("hit"))
+    share = found.join(exact, ["query_id", "id"], "left").agg(F.sum("hit") / F.count(F.lit(1))).first()[0]
+    return found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).withColumn("recalled", F.lit((share or 0.0) >= 0.8))
 
 
 @query(
@@ -152,7 +157,7 @@ def batch_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.select("conv_id", line.alias("generated_text"))
 
 
-@query("batch_qa")
+@query("batch_qa", "SELECT item_id AS question_id, text AS question, true AS framed FROM benchmark")
 def batch_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieval question answering up to the prompt: pages and documents -> chunks, stored -> vectors,
     stored; every benchmark text is a question, and its two nearest chunks are the passages of its prompt."""
@@ -168,7 +173,11 @@ def batch_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "qa-vectors")
     save_vectors(encode(pieces, "text", encoder), path)
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
-    return passage_prompts(questions, load_vectors(spark, path), encoder, 2, PROMPT)
+    made = passage_prompts(questions, load_vectors(spark, path), encoder, 2, PROMPT)
+    start, end = PROMPT.split("{context}")
+    frame = F.startswith("prompt", F.lit(start)) & F.endswith("prompt", F.concat(F.lit(end.split("{question}")[0]), "question", F.lit(end.split("{question}")[1])))
+    longer = F.length("prompt") > len(start) + len(end) + F.length("question")  # passages were found
+    return made.select("question_id", "question", (frame & longer).alias("framed"))
 
 
 def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
