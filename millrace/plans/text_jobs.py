@@ -7,7 +7,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.metrics import classification_metrics
+from millrace.functions.hashing import sql_bucket
 from millrace.operators.retrieval import (
     chunk,
     encode,
@@ -22,6 +22,7 @@ from millrace.operators.retrieval import (
 )
 from millrace.operators.splits import split
 from millrace.operators.textmodel import classify_text, fit_text_classifier, label_text
+from millrace.plans.modeling import better_than_base
 from millrace.plans.registry import query, table
 from millrace.plans.relational import rounded
 from millrace.session import cut_lineage, shared_dir
@@ -181,22 +182,27 @@ def batch_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    """Documents with a label their text explains: whether they are in English."""
+    docs = table(spark, sf_dir, "documents").filter(F.col("lang").isNotNull())
+    return docs.select("doc_id", "text", (F.col("lang") == "en").cast("int").alias("label"))
 
 
-@query("text_classifier")
+@query(
+    "text_classifier",
+    f"""SELECT count(*) AS n, round(greatest(avg((lang = 'en')::int), 1 - avg((lang = 'en')::int)), 6) AS base, true AS good FROM documents
+        WHERE lang IS NOT NULL AND {sql_bucket('doc_id', 42, 10000)} >= 8000""",
+)
 def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy on held-out whole texts is at least 0.2 above that of the larger class."""
     train, test = split(labelled_text(spark, sf_dir), "doc_id", [0.8, 0.2])
-    model = fit_text_classifier(train, "text", "label")
-    return rounded(
-        classification_metrics(classify_text(test, model, "text"), "label", "prediction"),
-        accuracy=4, precision=4, recall=4, f1=4,
-    )
+    return better_than_base(classify_text(test, fit_text_classifier(train, "text", "label"), "text"), "label", "prediction", 0.2)
 
 
-@query("text_labels")
+@query("text_labels", "SELECT doc_id, true AS labelled, true AS good FROM documents WHERE lang IS NOT NULL")
 def text_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document labelled by a classifier trained on the labelled ones."""
-    model = fit_text_classifier(labelled_text(spark, sf_dir), "text", "label")
-    return label_text(table(spark, sf_dir, "documents").select("doc_id", "text"), model, "text").select("doc_id", "sentiment")
+    """Every document labelled by a classifier trained on four fifths of them; nineteen of twenty labels are right."""
+    docs = labelled_text(spark, sf_dir)
+    train, _ = split(docs, "doc_id", [0.8, 0.2])
+    made = cut_lineage(label_text(docs, fit_text_classifier(train, "text", "label"), "text").select("doc_id", "label", "sentiment"))
+    right = made.agg(F.avg(((F.col("sentiment") == "Positive") == (F.col("label") == 1)).cast("double"))).first()[0]
+    return made.select("doc_id", F.col("sentiment").isin("Positive", "Negative").alias("labelled"), F.lit((right or 0.0) >= 0.95).alias("good"))
