@@ -12,7 +12,7 @@ from millrace.operators.gates import Threshold, champion, gate
 from millrace.operators.groups import fit_group_forests, fit_groups, fit_groups_ols, group_run_rows, predict_group_forests, predict_groups
 from millrace.operators.joins import Lookup, score_lookup
 from millrace.operators.metrics import evaluate, regression_metrics
-from millrace.operators.models import LinearModel, auto_fit, candidates, fit_forest, fit_linear, fit_mean, least_correlated, vote
+from millrace.operators.models import LinearModel, auto_fit, fit_forest, fit_linear, fit_mean, least_correlated, vote
 from millrace.operators.runlog import Models, RunLog, dataset_digest
 from millrace.operators.splits import split
 from millrace.plans.registry import query, table
@@ -468,12 +468,17 @@ def forest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return better_than_mean(model.transform(test), "price", "prediction", 0.5)
 
 
-def _trials_sql(task: str) -> str:
-    rows = ", ".join(f"('trial-{i:03d}', '{family}', true)" for i, (family, *_) in enumerate(candidates(task, "y", 3)))
+# Families in the order they are tried.
+REGRESSORS = ["LinearRegression", "RandomForestRegressor", "GBTRegressor"] * 2
+CLASSIFIERS = ["LogisticRegression", "RandomForestClassifier", "GBTClassifier", "MultilayerPerceptronClassifier", "LogisticRegression", "RandomForestClassifier"]
+
+
+def _trials_sql(families: list[str]) -> str:
+    rows = ", ".join(f"('trial-{i:03d}', '{family}', true)" for i, family in enumerate(families))
     return f"SELECT * FROM (VALUES {rows}) v(run_id, family, good)"
 
 
-@query("auto_regress", _trials_sql("regressor"))
+@query("auto_regress", _trials_sql(REGRESSORS))
 def auto_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every trial's validation error is at most half the spread of the label."""
     df = line_features(spark, sf_dir)
@@ -482,7 +487,7 @@ def auto_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.select("run_id", "family", (F.col("score") <= 0.5 * spread_).alias("good"))
 
 
-@query("auto_classify", _trials_sql("classifier"))
+@query("auto_classify", _trials_sql(CLASSIFIERS))
 def auto_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = line_features(spark, sf_dir).withColumn("dear", (F.col("price") > DEAR).cast("int")).drop("price")
     board = auto_fit(df, "id", GROUP_FEATURES, "dear", "classifier", "f1").leaderboard(spark)
