@@ -62,7 +62,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, partitions: int = 32, small_bytes: int = 1 << 30) -> DataFrame:
+def spread(df: DataFrame, partitions: int = 8, small_bytes: int = 1 << 30) -> DataFrame:
     """Deal a small input out to ``partitions`` tasks before costly per-row work.
 
     A file or two with few row groups would otherwise keep most cores idle.  The optimizer's size
