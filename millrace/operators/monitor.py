@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.index import running_sums
 from millrace.operators.metrics import Metric, add_derived, custom_aggs, regression_aggs
+from millrace.session import cut_lineage
 from millrace.sources.tables import Tables
 
 ALL = "all"
@@ -129,6 +130,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequen
         .groupBy(_group(by).alias("_by"), F.col(column).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    counts = cut_lineage(counts)  # the running sums and the totals both start from the counts
     cum = running_sums(counts, ["_by"], ["_v"], ["_c"])
     ranked = cum.join(counts.groupBy("_by").agg(F.sum("_c").alias("_n")), "_by")
     aggs = [
@@ -221,7 +223,8 @@ def drift_numeric(current: DataFrame, baseline: DataFrame, cols: Sequence[str],
     baseline's distribution: baseline counts and current values are merged, summed up in order over range
     partitions, and looked up by equality.
     """
-    cur, base = _value_counts(current, by, cols, "double"), _value_counts(baseline, [], cols, "double")
+    # stored once each: sizes, the merge and the running sums all start from the counts, not from the rows
+    cur, base = (cut_lineage(_value_counts(df, keys, cols, "double")) for df, keys in ((current, by), (baseline, [])))
     have, x = F.col("value").isNotNull(), F.col("value") * F.col("c")
 
     def sizes(counts: DataFrame, keys: list[str], tag: str) -> DataFrame:

@@ -12,7 +12,7 @@ from millrace.operators.index import with_dense_index
 from millrace.operators.metrics import regression_metrics
 from millrace.operators.topk import best_per, top_n
 from millrace.plans import all_queries, all_sql
-from millrace.plans.monitoring import drift_consecutive, profile_metrics
+from millrace.plans.monitoring import drift_consecutive, numeric_drift, profile_metrics, profile_quantiles
 from millrace.plans.registry import table
 from millrace.plans.table_jobs import inference
 from millrace.sources.tables import Tables
@@ -54,6 +54,12 @@ def test_profile_multiplies_by_slices_only(spark, sf_dir):
         assert all("value" not in keys.replace("slice_value", "") and "label" not in keys for keys in re.findall(r"hashpartitioning\((.*?)\)", text))
 
 
+def test_drift_and_quantiles_read_their_rows_once(spark, sf_dir):
+    """What is left to run starts from stored value counts."""
+    for made in (numeric_drift(spark, sf_dir), profile_quantiles(spark, sf_dir)):
+        assert "Scan parquet" not in plan(made)
+
+
 def test_dense_index_has_no_single_partition(spark):
     text = plan(with_dense_index(spark.range(100), "i", ["id"]))
     assert "SinglePartition" not in text
