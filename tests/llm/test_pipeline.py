@@ -77,6 +77,20 @@ def test_a_large_group_of_near_copies_is_one_group(spark, tile):
     assert sorted(map(tuple, similar.similar_groups(df, tile=tile).collect()), key=str) == similar_groups(docs)
 
 
+@pytest.mark.parametrize("tile", [1 << 14, 50])
+def test_a_star_of_copies_linked_only_to_their_base_is_one_group(spark, tile):
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(300)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 401):  # six edits each: about 0.82 to the base, 0.67 to each other
+        words = list(base)
+        for at in rng.choice(58, 6, replace=False) * 5 + rng.integers(0, 5):
+            words[at] = f"x{rng.integers(1e9)}"
+        docs.append((i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, similar.similar_groups(df, tile=tile).collect()), key=str) == similar_groups(docs)
+
+
 def test_sketch_of_pieces_and_short_texts():
     assert len(similar.shingles("", 5)) == 0 and len(similar.shingles("a b", 5)) == 1 and len(similar.shingles(None, 5)) == 0
     text = " ".join(f"w{i}" for i in range(400_000))
