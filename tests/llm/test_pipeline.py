@@ -91,6 +91,18 @@ def test_a_star_of_copies_linked_only_to_their_base_is_one_group(spark, tile):
     assert sorted(map(tuple, similar.similar_groups(df, tile=tile).collect()), key=str) == similar_groups(docs)
 
 
+def test_short_texts_at_the_limit_are_all_linked(spark):
+    """Four shingles against five, the similarity exactly 0.8: their fingerprints differ too much in one pair of eleven."""
+    docs = []
+    for i in range(300):
+        text = " ".join(f"u{i}x{j}" for j in range(8))
+        docs += [(2 * i, text), (2 * i + 1, f"{text} more{i}")]
+    want = similar_groups(docs)
+    assert len({c for _, c in want}) == 300
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, similar.similar_groups(df).collect()), key=str) == want
+
+
 def test_sketch_of_pieces_and_short_texts():
     assert len(similar.shingles("", 5)) == 0 and len(similar.shingles("a b", 5)) == 1 and len(similar.shingles(None, 5)) == 0
     text = " ".join(f"w{i}" for i in range(400_000))
