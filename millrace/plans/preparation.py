@@ -28,7 +28,9 @@ def pandas_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pandas frame of a few rows, joined to a table."""
     import pandas as pd
 
-    rows = table(spark, sf_dir, "region").select("r_regionkey", "r_name").limit(1000).collect()
+    rows = table(spark, sf_dir, "region").select("r_regionkey", "r_name").limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError("region has more than 1000 rows")
     frame = pd.DataFrame([r.asDict() for r in rows], columns=["r_regionkey", "r_name"])
     regions = from_pandas(spark, frame, "r_regionkey bigint, r_name string")
     return regions.join(table(spark, sf_dir, "nation"), F.col("r_regionkey") == F.col("n_regionkey")).select("r_regionkey", "r_name", "n_nationkey")

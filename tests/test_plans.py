@@ -84,3 +84,12 @@ def test_no_query_runs_on_literal_rows_only():
     assert len(all_queries()) >= 100 and len(all_sql()) >= 80
     for name in all_queries():
         assert re.fullmatch(r"[a-z][a-z0-9_]*", name)
+
+
+def test_pandas_rows_takes_no_part_of_a_longer_region(spark, sf_dir, monkeypatch):
+    from millrace.plans import preparation
+
+    long = spark.range(1001).select(F.col("id").alias("r_regionkey"), F.lit("x").alias("r_name"))
+    monkeypatch.setattr(preparation, "table", lambda s, d, name: long if name == "region" else table(s, d, name))
+    with pytest.raises(ValueError, match="1000"):
+        preparation.pandas_rows(spark, sf_dir)
