@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blocknames, bpe, chat, langid, lines, mixing, secrets, simhash, substrings, topk
+from millrace.llm import blocknames, bpe, chat, langid, lexical, lines, mixing, phrases, pieces, secrets, simhash, substrings, topk
 from millrace.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -24,6 +24,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model() -> str:
+    """The public merge-type piece model, as the driver sees it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     findings, _ = secrets.scan_secrets(documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -74,6 +81,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", "role", "new_role", "action", "inserted", "cost", F.sha2("fragment", 256).alias("fragment_sha256"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(documents(spark, sf_dir), piece_model())
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir), least=30, limit=2000)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -85,4 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_ranked_search": op13_ranked_search,
 }

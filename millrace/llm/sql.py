@@ -91,5 +91,38 @@ f AS (SELECT k.*, often.key IS NOT NULL AS gone FROM k LEFT JOIN often ON k.key
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM f GROUP BY doc_id
+""",
+    "op12_phrase_mining": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d)),
+g AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS size))),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND f >= 30),
+k AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+s AS (SELECT k.lang, k.phrase, a, k, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (x.f + y.f) AS BIGINT) AS score
+  FROM k JOIN f x ON k.lang = x.lang AND k.x = x.phrase JOIN f y ON k.lang = y.lang AND k.y = y.phrase),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, inside, max(a) AS longest FROM (
+  SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS inside
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM c JOIN (SELECT unnest([2, 3]) AS m) ON m < size)) GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b JOIN n ON b.lang = n.lang LEFT JOIN i ON b.lang = i.lang AND b.phrase = i.inside
+WHERE longest IS NULL OR 100 * longest < 80 * a QUALIFY rank <= 2000
+""",
+    "op13_ranked_search": r"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS doc,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT item_id, item, unnest(list_distinct(w)) AS term FROM (SELECT item_id, row_number() OVER () AS item,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark)),
+c AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS nt FROM t WHERE len(w) > 0),
+p AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM t) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+v AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, c GROUP BY term),
+m AS (SELECT doc, doc_id, 50 + (50 * CAST(len(w) AS BIGINT) * nd) // nt AS m FROM t, c WHERE len(w) > 0),
+s AS (SELECT item, item_id, doc, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN v USING (term) JOIN p USING (term) JOIN m USING (doc) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50
 """,
 }
