@@ -20,11 +20,11 @@ from millrace.llm.common import slots, staged
 
 
 class _Block:
-    """Posting lists of one group of candidates, in the order of their ids."""
+    """Posting lists of one group of candidates, in the order of their ids; ``numbers`` tell rows of one id apart."""
 
-    def __init__(self, ids: np.ndarray, rows: list[np.ndarray]):
+    def __init__(self, ids: np.ndarray, numbers: np.ndarray, rows: list[np.ndarray]):
         order = np.argsort(ids, kind="stable")
-        self.ids = ids[order]
+        self.ids, self.numbers = ids[order], numbers[order]
         width = max(map(len, rows))
         dense = np.zeros((width, len(ids)), np.int64)
         for at, i in enumerate(order):
@@ -61,19 +61,19 @@ class _Block:
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int, cells: int) -> Iterator[pa.RecordBatch]:
-    """Sorted (grp, query, id, v): of each group the candidates, then the queries."""
-    group, block, ids, rows, tile = None, None, [], [], []
+    """Sorted (grp, query, id, number, v): of each group the candidates, then the queries."""
+    group, block, ids, numbers, rows, tile = None, None, [], [], [], []
 
     def answers() -> Iterator[pa.RecordBatch]:
         if not tile or block is None:
             return
-        width = max(len(v) for _, v in tile)
+        width = max(len(v) for _, _, v in tile)
         queries = np.zeros((len(tile), width), np.int64)
-        for i, (_, v) in enumerate(tile):
+        for i, (_, _, v) in enumerate(tile):
             queries[i, : len(v)] = v
-        got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for (q, _), score in zip(tile, block.scores(queries)):
-            others = np.flatnonzero(block.ids != q)
+        got: list[tuple[np.ndarray, ...]] = []
+        for (q, number, _), score in zip(tile, block.scores(queries)):
+            others = np.flatnonzero(block.numbers != number)
             score = score[others].astype(np.int64)
             if len(score) > k:
                 least = np.partition(score, len(score) - k)[len(score) - k]
@@ -81,26 +81,27 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, cells: int) -> Iterator[p
                 best = np.r_[better, np.flatnonzero(score == least)[: k - len(better)]]  # ids ascend: ties to the smaller
             else:
                 best = np.arange(len(score))
-            got.append((np.full(len(best), q), block.ids[others[best]], score[best]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], names=["query_id", "vec_id", "score"])
+            got.append((np.full(len(best), number), np.full(len(best), q), block.ids[others[best]], score[best]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], names=["number", "query_id", "vec_id", "score"])
 
     for batch in batches:
-        values = batch.column(3)
+        values = batch.column(4)
         flat, offsets = values.flatten().to_numpy(zero_copy_only=False), values.offsets.to_numpy()
         offsets = offsets - offsets[0]
-        for i, (g, is_query, vec) in enumerate(zip(*(batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in range(3)))):
+        for i, (g, is_query, vec, number) in enumerate(zip(*(batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in range(4)))):
             v = flat[offsets[i] : offsets[i + 1]].astype(np.int64)
             if g != group:
                 yield from answers()
-                group, block, ids, rows, tile = g, None, [], [], []
+                group, block, ids, numbers, rows, tile = g, None, [], [], [], []
             if not is_query:
                 ids.append(vec)
+                numbers.append(number)
                 rows.append(v)
                 continue
             if block is None and ids:
-                block, rows = _Block(np.array(ids), rows), []
+                block, rows = _Block(np.array(ids), np.array(numbers), rows), []
             if block is not None:
-                tile.append((vec, v))
+                tile.append((vec, number, v))
                 if len(tile) * len(ids) >= cells:
                     yield from answers()
                     tile = []
@@ -113,9 +114,9 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, <id>, score): the ``k`` best of every query, all if there are fewer; ties to the smaller id.
 
-    Components become floor(scale * x).  Queries are the rows whose id is divisible by ``every``; candidates are all rows with
-    another id.  Vectors that are NULL, or hold NULL or non-finite components, and rows with a NULL id take no part.  Equal rows
-    count once; of different vectors with the same id each is a candidate, and as queries they share their results, best first.
+    Components become floor(scale * x).  Queries are the rows whose id is divisible by ``every``; candidates are all rows but
+    the query's own.  Vectors that are NULL, or hold NULL or non-finite components, and rows with a NULL id take no part.  Every
+    row counts: repeated ones are candidates as often as they occur, and each of them as a query has a list of its own.
     Shorter vectors count as zero beyond their end; an empty vector scores 0.  Scores are exact within 64 bits.
     """
     spark = rows.sparkSession
@@ -124,21 +125,20 @@ def top_k(
     vecs = (
         rows.select(F.col(id_col).cast("long").alias("id"), x.alias("x"))
         .filter(F.col("id").isNotNull() & F.col("x").isNotNull() & ~F.exists("x", bad))
-        .select("id", F.transform("x", lambda e: F.floor(e * scale).cast("long")).alias("v"))
-        .distinct()
+        .select("id", F.monotonically_increasing_id().alias("number"), F.transform("x", lambda e: F.floor(e * scale).cast("long")).alias("v"))
     )
-    vecs = staged(vecs, "vectors")
+    vecs = staged(vecs, "vectors")  # with their numbers: from here on these are the same in every attempt
     groups = max(slots(spark), -(-vecs.count() // group_rows))
-    candidates = vecs.select(F.pmod(F.xxhash64("id", "v"), F.lit(groups)).cast("int").alias("grp"), F.lit(False).alias("query"), "id", "v")
+    candidates = vecs.select(F.pmod(F.xxhash64("number"), F.lit(groups)).cast("int").alias("grp"), F.lit(False).alias("query"), "id", "number", "v")
     queries = vecs.filter(F.col("id") % every == 0).select(
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), F.lit(True).alias("query"), "id", "v"
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), F.lit(True).alias("query"), "id", "number", "v"
     )
     found = (
         candidates.unionByName(queries)
         .repartitionById(groups, F.col("grp"))
         .sortWithinPartitions("grp", "query", "id")
-        .mapInArrow(lambda b: _search(b, k, tile_cells), "query_id long, vec_id long, score long")
+        .mapInArrow(lambda b: _search(b, k, tile_cells), "number long, query_id long, vec_id long, score long")
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    best = Window.partitionBy("number").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
