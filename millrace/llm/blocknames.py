@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ascii_lower, packed, row_key, staged, text_of
+from millrace.llm.common import ascii_lower, packed, row_key, scratch, staged, text_of
 
 
 def _hash(c: Column, seed: int) -> Column:
@@ -112,7 +112,8 @@ def drop_copies(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     If several rows carry that id and the same normalised text, one of them stays.
     """
-    kept = exact_groups(rows, id_col, text_col, block_bytes).filter("kept")
-    kept = kept.select(row_key(F.col(id_col), F.col("text_sha256")).alias("_key"))
+    with scratch(rows.sparkSession):
+        kept = exact_groups(rows, id_col, text_col, block_bytes).filter("kept")
+        kept = staged(kept.select(row_key(F.col(id_col), F.col("text_sha256")).alias("_key")), "kept-rows", outer=True)
     own = row_key(F.col(id_col), F.sha2(ascii_lower(text_of(text_col)), 256)).alias("_key")
     return rows.select(own, packed(rows)).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,15 +57,59 @@ def _shuffles_dropped(spark: SparkSession):
             spark.conf.set(_CLEAN_UP, before)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut, lost executors lose nothing."""
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged inside are removed at the end, but for those staged with ``outer``.
+
+    What is left must not read them: results are staged with ``outer`` before the end.
+    """
+    own: list[str] = []
+    token = _SCRATCH.set((*_SCRATCH.get(), own))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        conf = spark._jsc.hadoopConfiguration()
+        for path in own:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+def staged(df: DataFrame, label: str, outer: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage is cut, lost executors lose nothing.
+
+    With ``outer`` it outlives the innermost ``scratch`` and belongs to the one around it, if any.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, label)
+    scopes = _SCRATCH.get()[: -1 if outer else None]
+    if scopes:
+        scopes[-1].append(path)
     with _shuffles_dropped(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bitmap(hashes: DataFrame, bits: int = 24) -> np.ndarray:
+    """The set bits of a table of one 64-bit hash, by its leading bits: 2^bits bits however many rows there are."""
+    h = f"`{hashes.columns[0]}`"
+    place = f"shiftrightunsigned({h}, {64 - bits})"
+    one = hashes.select(F.expr(f"shiftright({place}, 6)").alias("slot"), F.expr(f"shiftleft(1L, CAST({place} & 63 AS INT))").alias("word"))
+    found = one.groupBy("slot").agg(F.bit_or("word").alias("word")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found["slot"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
+    return out.view(np.uint8)
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set; hashes that are not in the table meet a set bit by chance only."""
+    place = hashes.view(np.uint64) >> np.uint64(65 - (len(bits) * 8).bit_length())
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def slots(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

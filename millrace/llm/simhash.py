@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import packed, row_key, staged, word_pieces
+from millrace.llm.common import packed, row_key, scratch, staged, word_pieces
 from millrace.llm.components import components
 
 RADIUS = 2
@@ -261,6 +261,8 @@ def drop_near_copies(rows: DataFrame, id_col: str = "doc_id", text_col: str = "t
     in id and text one stays.
     """
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("x")
-    kept = _rooted(rows, id_col, text_col, size, split).groupBy("root").agg(first).select(row_key(F.col("x.id"), F.col("x.k")).alias("_key"))
+    with scratch(rows.sparkSession):
+        kept = _rooted(rows, id_col, text_col, size, split).groupBy("root").agg(first).select(row_key(F.col("x.id"), F.col("x.k")).alias("_key"))
+        kept = staged(kept, "kept-rows", outer=True)
     own = row_key(F.col(id_col), F.xxhash64(F.col(text_col).cast("string"))).alias("_key")
     return rows.select(own, packed(rows)).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

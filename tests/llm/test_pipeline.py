@@ -1,5 +1,6 @@
 """The pipeline's stages against plain Python, each on its own input."""
 
+import os
 import re
 import struct
 from collections import Counter, defaultdict
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from millrace.llm import langid, mixing, similar
 from millrace.llm.queries import vocabulary
+from millrace.session import shared_root
 from tests.llm.conftest import DOCS
 from tests.llm.test_native import low, mixed
 from tests.llm.test_python import near
@@ -103,6 +105,44 @@ def test_short_texts_at_the_limit_are_all_linked(spark):
     assert sorted(map(tuple, similar.similar_groups(df).collect()), key=str) == want
 
 
+@pytest.mark.parametrize("words,copies", [(300, 200), (2000, 400)])
+def test_a_star_of_copies_sends_few_pairs_to_be_verified(spark, words, copies):
+    """Each copy is at about 0.82 to the base and 0.67 to the others: parity as wide as the set tells these apart."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(words)]
+    docs = [(0, " ".join(base))]
+    edits = words // 50
+    for i in range(1, copies + 1):
+        own = list(base)
+        for at in rng.choice(words // 5 - 2, edits, replace=False) * 5 + rng.integers(0, 5):
+            own[at] = f"x{rng.integers(1e9)}"
+        docs.append((i, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("k"), F.col("text").alias("t"))
+    _, classes = similar._classes(df, 5, 0.8)
+    roots = spark.createDataFrame([], "node long, root long")
+    assert copies <= similar._left(classes, roots, 0.8, 1 << 11).count() <= 4 * copies
+
+
+def test_parity_differs_in_no_more_bits_than_the_sets_do():
+    rng = np.random.default_rng(2)
+    for n in (3, 200, 900, 5000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[n // 9 :], rng.integers(0, 2**63, n // 7).astype(np.uint64)]))
+        x, y = (np.frombuffer(similar._parity(h), np.uint8)[None, :] for h in (a, b))
+        least = 8 * min(x.shape[1], y.shape[1])
+        apart = int(np.bitwise_count(similar._folded(x, least) ^ similar._folded(y, least)).sum())
+        assert apart <= len(np.setxor1d(a, b)) and apart >= 0.5 * len(np.setxor1d(a, b))
+        assert np.array_equal(similar._folded(x, 256)[0], np.packbits(np.bincount((similar._mix(a) >> np.uint64(56)).astype(int), minlength=256) & 1, bitorder="little").astype(np.uint8))
+
+
+def test_what_is_staged_is_removed(spark, odd):
+    before = {os.path.join(d, n) for d, names, _ in os.walk(shared_root(spark)) for n in names}
+    kept = similar.drop_similar(odd)
+    new = {os.path.join(d, n) for d, names, _ in os.walk(shared_root(spark)) for n in names} - before
+    assert {os.path.basename(n).rsplit("-", 1)[0] for n in new if os.path.basename(os.path.dirname(n)) == "millrace"} == {"kept-rows"}
+    assert kept.count() > 0
+
+
 def test_sketch_of_pieces_and_short_texts():
     assert len(similar.shingles("", 5)) == 0 and len(similar.shingles("a b", 5)) == 1 and len(similar.shingles(None, 5)) == 0
     text = " ".join(f"w{i}" for i in range(400_000))
