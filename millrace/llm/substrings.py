@@ -1,21 +1,15 @@
-"""Substring dedup by Rabin-Karp hashes of every window of a fixed number of words.
-
-First pass: tasks hash each word, and each window by a polynomial over its word hashes (differences of prefix sums, modulo
-2^64, with a 16-bit remainder of a second polynomial as a check).  The windows of a chunk of documents are sorted by hash and
-dealt to buckets by the hash's leading bits, packed as byte planes: one row per chunk and bucket, not per window.  A hash
-that a chunk holds twice is already settled there; one representative is sent to settle other chunks, so a passage that a
-third of the documents share costs one entry per chunk.
-
-A bucket counts its hashes and answers each chunk with the windows whose hash was seen elsewhere.  The chunk's directory meets
-the answers and turns them into maximal intervals of words per document.  Second pass: texts meet their intervals.
-
-Buckets get equal shares of the windows whatever the texts repeat; ``buckets`` (the session's shuffle partitions if not given)
-sets how many windows one task holds: about 40 bytes of memory each.
+"""Substring dedup by Rabin-Karp hashes of every window of a fixed number of words, counted in Spark.
+
+Tasks hash each word, and each window by a polynomial over its word hashes (differences of prefix sums, modulo 2^64).  A first
+pass adds up the hashes of a chunk of documents and Spark groups and counts them.  Those found twice become a bitmap of fixed
+size.  A second pass counts the windows that meet it by two independent hashes, 128 bits together, which settles what is
+repeated; a third sends the places of these windows, one row per window and chunk, so that a passage that a third of the
+documents share stays as small as any.  Repeated windows are sorted by document and place and merge into maximal intervals of
+words, and texts meet their intervals.  No task holds more than a chunk, a document, or what Spark can spill.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -24,13 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slots, staged, word_pieces
+from millrace.llm.common import bitmap, in_bitmap, scratch, staged, word_pieces
 
 _BYTE_BASE, _WORD_BASE, _CHECK_BASE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xCA5A826395121157))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BUCKET = "kind int, bucket int, chunk long, n long, body binary"
-_DIRECTORY, _SINGLE, _MULTI = 0, 1, 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,167 +63,101 @@ def word_hashes(text: str) -> np.ndarray:
 
 
 def window_hashes(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, 16-bit check) of every window."""
+    """(hash, second hash) of every window."""
     starts = np.arange(max(0, len(words) - size + 1))
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
-    main = _mix(_spans_hash(words, starts, starts + size, _WORD_BASE))
-    return main, (_mix(_spans_hash(words, starts, starts + size, _CHECK_BASE)) >> np.uint64(48)).astype(np.uint16)
-
-
-def _pack(x: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of each number, one plane after the other."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _unpack(data: memoryview, n: int, width: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8, n * width).reshape(width, n).T
-    return out.view("<u8")[:, 0]
-
-
-def _width(x: np.ndarray) -> int:
-    return max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
-
-
-def _body(hashes: np.ndarray, checks: np.ndarray, places: np.ndarray | None) -> bytes:
-    """Sorted hashes as differences, checks, and the windows' places in the chunk."""
-    steps = np.diff(hashes, prepend=np.uint64(0))
-    steps[0] = 0
-    wide, far = _width(steps), 0 if places is None else _width(places)
-    head = np.array([hashes[0], wide, far], "<u8").tobytes()
-    return head + _pack(steps, wide) + checks.astype("<u2").tobytes() + (_pack(places, far) if far else b"")
-
-
-def _read_body(body: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    data = memoryview(body)
-    first, wide, far = np.frombuffer(data[:24], "<u8").tolist()
-    steps = _unpack(data[24:], n, wide)
-    steps[0] = first
-    at = 24 + n * wide
-    checks = np.frombuffer(data[at : at + 2 * n], "<u2")
-    return np.cumsum(steps, dtype=np.uint64), checks, _unpack(data[at + 2 * n :], n, far) if far else None
-
-
-def _again(hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order that brings equal windows together, and whether each (in that order) equals the one before."""
-    order = np.argsort(hashes, kind="stable")
-    h, c = hashes[order], checks[order]
-    same = np.r_[False, h[1:] == h[:-1]]
-    if (same[1:] & (c[1:] != c[:-1])).any():  # one hash, two windows
-        order = np.lexsort((checks, hashes))
-        h, c = hashes[order], checks[order]
-        same = np.r_[False, (h[1:] == h[:-1]) & (c[1:] == c[:-1])]
-    return order, same
-
-
-def _chunk_rows(docs: list[tuple[int, int, np.ndarray]], size: int, buckets: int) -> pa.RecordBatch:
-    """Rows of one chunk: documents are (row key, number of words, word hashes)."""
-    pairs = [window_hashes(w, size) for _, _, w in docs]
-    counts = np.array([len(h) for h, _ in pairs], "<i8")
-    keys = np.array([k for k, _, _ in docs], "<i8")
-    hashes, checks = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
-    key = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
-    order, same = _again(hashes, checks)
-    head = ~same
-    twice = head & np.r_[same[1:], False]
-    repeated = same | twice
-    local = np.zeros(len(hashes), bool)
-    local[order[repeated]] = True
-    directory = b"".join((counts.tobytes(), keys.tobytes(), np.packbits(local).tobytes()))
-    rows = [(_DIRECTORY, key % buckets, key, len(docs), directory)]
-    for kind, chosen in ((_SINGLE, ~repeated), (_MULTI, twice)):
-        at = order[chosen]
-        h = hashes[at]
-        bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
-        for b in np.flatnonzero(np.diff(cuts)):
-            part = slice(cuts[b], cuts[b + 1])
-            places = at[part].astype(np.uint64) if kind == _SINGLE else None
-            rows.append((kind, int(b), key, int(cuts[b + 1] - cuts[b]), _body(h[part], checks[at[part]], places)))
-    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["kind", "bucket", "chunk", "n", "body"])
-
-
-def _windows(batches: Iterator[pa.RecordBatch], size: int, buckets: int, chunk_words: int) -> Iterator[pa.RecordBatch]:
-    """(key, text) to bucket rows; documents without a window have no part."""
-    docs, held = [], 0
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return tuple(_mix(_spans_hash(words, starts, starts + size, base)) for base in (_WORD_BASE, _CHECK_BASE))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int, chunk_words: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(k1, k2, t) to (keys, document, place, hash, check) of the windows of some documents at a time."""
+
+    def chunk() -> tuple[np.ndarray, ...]:
+        counts = [len(w) - size + 1 for w in words]
+        pairs = [window_hashes(w, size) for w in words]
+        place = np.concatenate([np.arange(n) for n in counts])
+        return np.array(keys, np.int64), np.repeat(np.arange(len(counts)), counts), place, *(np.concatenate(p) for p in zip(*pairs))
+
+    keys, words, held = [], [], 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            words = word_hashes(text.as_py() or "")
-            if len(words) < size:
+        for k1, k2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            found = word_hashes(text.as_py() or "")
+            if len(found) < size:
                 continue
-            docs.append((key, len(words), words))
-            held += len(words)
+            keys.append((k1, k2))
+            words.append(found)
+            held += len(found)
             if held >= chunk_words:
-                yield _chunk_rows(docs, size, buckets)
-                docs, held = [], 0
-    if docs:
-        yield _chunk_rows(docs, size, buckets)
-
-
-def _count(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """One bucket's rows to answers: per chunk the places of windows that were seen elsewhere.  Directories pass through."""
-    chunks, bodies, multi = [], [], []
-    out = lambda kind, chunk, n, body: pa.RecordBatch.from_arrays(
-        [pa.array([x], t) for x, t in zip((kind, chunk % groups, chunk, n, body), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
-        names=["kind", "bucket", "chunk", "n", "body"],
-    )
-    for batch in batches:
-        for kind, _, chunk, n, body in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4)):
-            if kind == _DIRECTORY:
-                yield out(kind, chunk, n, body.as_py())
-                continue
-            chunks.append(chunk)
-            multi.append(kind == _MULTI)
-            bodies.append(_read_body(body.as_py(), n))
-    if not bodies:
-        return
-    sizes = [len(b[0]) for b in bodies]
-    hashes, checks = (np.concatenate([b[i] for b in bodies]) for i in (0, 1))
-    order, same = _again(hashes, checks)
-    # seen elsewhere: equal to the one before or to the one after
-    repeated = np.zeros(len(hashes), bool)
-    repeated[order] = same | np.r_[same[1:], False]
-    ends = np.cumsum(sizes)
-    for chunk, many, body, end, n in zip(chunks, multi, bodies, ends, sizes):
-        if not many and len(places := body[2][repeated[end - n : end]]):
-            wide = _width(places)
-            yield out(_SINGLE, chunk, len(places), bytes([wide]) + _pack(np.sort(places), wide))
+                yield chunk()
+                keys, words, held = [], [], 0
+    if keys:
+        yield chunk()
+
+
+def _runs(*sorted_cols: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin, and the end."""
+    n = len(sorted_cols[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in sorted_cols:
+        new[1:] |= c[1:] != c[:-1]
+    return np.r_[np.flatnonzero(new), n]
+
+
+def _window_counts(batches: Iterator[pa.RecordBatch], size: int, chunk_words: int) -> Iterator[pa.RecordBatch]:
+    """(h, n): each hash of a chunk once, with how often it occurs there."""
+    for *_, hashes, _ in _chunks(batches, size, chunk_words):
+        hashes = np.sort(hashes)
+        at = _runs(hashes)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[at[:-1]].view(np.int64)), pa.array(np.diff(at).astype(np.int32))], names=["h", "n"])
+
+
+def _again(batches: Iterator[pa.RecordBatch], size: int, chunk_words: int, bits: np.ndarray, places: bool) -> Iterator[pa.RecordBatch]:
+    """Windows whose hash meets the bitmap, each (h, c) of a chunk once: how often, or in which documents and where."""
+    for keys, doc, place, hashes, checks in _chunks(batches, size, chunk_words):
+        hit = np.flatnonzero(in_bitmap(bits, hashes))
+        hit = hit[np.lexsort((checks[hit], hashes[hit]))]
+        h, c = hashes[hit].view(np.int64), checks[hit].view(np.int64)
+        at = _runs(h, c)
+        first = at[:-1]
+        if not places:
+            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(c[first]), pa.array(np.diff(at).astype(np.int32))], names=["h", "c", "n"])
+            continue
+        for lo in range(0, len(first), 1 << 14):
+            hi = min(lo + (1 << 14), len(first))
+            some, offsets = hit[at[lo] : at[hi]], pa.array((at[lo : hi + 1] - at[lo]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (keys[doc[some], 0], keys[doc[some], 1], place[some].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(h[first[lo:hi]]), pa.array(c[first[lo:hi]]), *lists], names=["h", "c", "k1", "k2", "at"])
 
 
 def _intervals(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (chunk, kind): the directory, then the answers, to (key, starts, ends) of words to remove."""
-    chunk, docs, counts, keys, hit = None, 0, None, None, None
-
-    def found() -> pa.RecordBatch:
-        ends = np.cumsum(counts)
-        got = []
-        for key, end, n in zip(keys.tolist(), ends.tolist(), counts.tolist()):
-            at = np.flatnonzero(hit[end - n : end])
-            if len(at):
-                gap = np.flatnonzero(np.diff(at) > size)
-                got.append((key, at[np.r_[0, gap + 1]].tolist(), (at[np.r_[gap, len(at) - 1]] + size).tolist()))
-        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        cols = list(zip(*got)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=["key", "starts", "ends"])
+    """Rows sorted by (k1, k2, at) to (k1, k2, starts, ends): maximal intervals of words to remove."""
+    held: list[np.ndarray] | None = None
+
+    def found(cols: list[np.ndarray]) -> pa.RecordBatch:
+        k1, k2, at = cols
+        doc = _runs(k1, k2)
+        cut = np.zeros(len(at), bool)
+        cut[doc[:-1]] = True
+        cut[1:] |= np.diff(at) > size
+        begin = np.flatnonzero(cut)
+        end = np.r_[begin[1:], len(at)] - 1
+        offsets = pa.array(np.searchsorted(begin, doc).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (at[begin].astype(np.int64), at[end].astype(np.int64) + size)]
+        return pa.RecordBatch.from_arrays([pa.array(k1[doc[:-1]]), pa.array(k2[doc[:-1]]), *lists], names=["k1", "k2", "starts", "ends"])
 
     for batch in batches:
-        for kind, this, n, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "chunk", "n")), batch.column("body")):
-            data = body.as_py()
-            if kind == _DIRECTORY:
-                if this == chunk:  # repeated rows made the same chunk twice
-                    continue
-                if chunk is not None:
-                    yield found()
-                chunk, docs = this, n
-                counts, keys = np.frombuffer(data, "<i8", docs), np.frombuffer(data, "<i8", docs, 8 * docs)
-                total = int(counts.sum())
-                hit = np.unpackbits(np.frombuffer(data, np.uint8, -1, 16 * docs), count=total).astype(bool)
-            else:
-                hit[_unpack(memoryview(data)[1:], n, data[0]).astype(np.int64)] = True
-    if chunk is not None:
-        yield found()
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy() for c in batch.columns]
+        held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
+        last = int(_runs(held[0], held[1])[-2])  # the last document may go on
+        if last:
+            yield found([c[:last] for c in held])
+            held = [c[last:] for c in held]
+    if held is not None:
+        yield found(held)
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,27 +185,35 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup_substrings(
-    rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 35, buckets: int | None = None, chunk_words: int = 1 << 19
+    rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 35, chunk_words: int = 1 << 19, bits: int = 26
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_text (kept words joined by one blank).
 
     Words are runs of characters that are no white space.  Each word covered by a window of ``size`` words that also starts
-    elsewhere, in another document or in the same one, is removed; windows are judged on the input.  Equal windows are told by
-    80 bits of hash.  NULL text has no words; texts shorter than a window keep all words.  A repeated row is another document,
-    so rows that repeat a long text lose it.  An empty table gives no rows; other columns are not read.
+    elsewhere, in another document or in the same one, is removed; windows are judged on the input.  Equal windows, and rows
+    that agree in id and text, are told by 128 bits of hash.  NULL text has no words; texts shorter than a window keep all
+    words.  A repeated row is another document, so rows that repeat a long text lose it.  An empty table gives no rows; other
+    columns are not read.
     """
     spark = rows.sparkSession
-    buckets = buckets or slots(spark)
     docs = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    docs = docs.withColumn("key", F.xxhash64("id", "t"))
-    packed = docs.select("key", "t").mapInArrow(lambda b: _windows(b, size, buckets, chunk_words), _BUCKET)
-    answers = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(lambda b: _count(b, buckets), _BUCKET)
-    spans = (
-        answers.repartition("chunk")
-        .sortWithinPartitions("chunk", "kind")
-        .mapInArrow(lambda b: _intervals(b, size), "key long, starts array<long>, ends array<long>")
-    )
-    spans = staged(spans, "repeated-spans").dropDuplicates(["key"]).select(F.col("key").alias("_key"), "starts", "ends")
-    joined = docs.join(spans, F.col("key") == F.col("_key"), "left").select("id", "t", "starts", "ends")
+    docs = docs.select("id", F.xxhash64(F.lit(1), "id", "t").alias("k1"), F.xxhash64(F.lit(2), "id", "t").alias("k2"), "t")
+    texts = docs.select("k1", "k2", "t")
+    with scratch(spark):
+        counted = texts.mapInArrow(lambda b: _window_counts(b, size, chunk_words), "h long, n int")
+        # chunks are added up before the shuffle; what arrives is counted where it arrives, and spills if it must
+        often = staged(counted.repartition("h").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "repeated-hashes")
+        held = spark.sparkContext.broadcast(bitmap(often, bits))
+        again = lambda places, schema: texts.mapInArrow(lambda b: _again(b, size, chunk_words, held.value, places), schema)
+        twice = again(False, "h long, c long, n int").groupBy("h", "c").agg(F.sum("n").alias("n")).filter("n > 1").select("h", "c")
+        twice = staged(twice, "repeated-windows")
+        met = again(True, "h long, c long, k1 array<long>, k2 array<long>, at array<int>").join(twice, ["h", "c"], "left_semi")
+        each = met.select(F.explode(F.arrays_zip("k1", "k2", "at")).alias("x")).select("x.k1", "x.k2", "x.at")
+        spans = (
+            each.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "at")
+            .mapInArrow(lambda b: _intervals(b, size), "k1 long, k2 long, starts array<long>, ends array<long>")
+        )
+        spans = staged(spans, "repeated-spans", outer=True)
+    joined = docs.join(spans, ["k1", "k2"], "left").select("id", "t", "starts", "ends")
     kind = joined.schema["id"].dataType.simpleString()
     return joined.mapInArrow(_strip, f"id {kind}, n_words long, n_removed long, kept_text string").withColumnRenamed("id", id_col)

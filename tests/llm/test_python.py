@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -112,16 +113,17 @@ def test_top_k_with_ties_gaps_and_broken_vectors(spark, monkeypatch):
     rng = np.random.default_rng(1)
     vecs = [(i, [float(x) for x in rng.integers(-2, 3, 6) / 64]) for i in range(200)]
     vecs += [(200, [1.0, 2.0]), (220, []), (240, None), (260, [float("nan")] * 6), (280, [0.1, None]), (300, [float("inf")]), (None, [1.0])]
-    vecs += [(301, vecs[40][1]), (302, vecs[40][1]), vecs[40], (320, [0.03, 0.0, 0.0, 0.0, 0.0, -0.5]), (321, [1e6, -1e6])]
+    vecs += [(301, vecs[40][1]), (302, vecs[40][1]), vecs[40], vecs[40], vecs[41], vecs[41], vecs[41], (60, vecs[61][1]), (320, [0.03, 0.0, 0.0, 0.0, 0.0, -0.5]), (321, [1e6, -1e6])]
     df = spark.createDataFrame(vecs, "vec_id long, embedding array<float>").withColumn("rank", F.lit("clash")).withColumn("v", F.lit(1))
-    clean = {}
+    clean = []
     for i, v in vecs:
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            clean[i] = [int(np.floor(64 * float(np.float32(x)))) for x in v]
+            clean.append((i, [int(np.floor(64 * float(np.float32(x)))) for x in v]))
     want = []
-    for q in (i for i in clean if i % 20 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(clean[q], v)), c) for c, v in clean.items() if c != q)[:20]
-        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores)]
+    for at, (q, w) in enumerate(clean):  # every row counts, repeated ones too
+        if q % 20 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(w, v)), c) for n, (c, v) in enumerate(clean) if n != at)[:20]
+            want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores)]
     assert rows(topk.top_k(df)) == sorted(want, key=str)
     assert rows(topk.top_k(df, group_rows=7, tile_cells=10)) == sorted(want, key=str)
     assert topk.top_k(df.filter("vec_id = 0")).count() == 0 and topk.top_k(df.limit(0)).count() == 0
@@ -140,18 +142,39 @@ def removed(docs, size):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("size", "buckets", "chunk"), [(35, 3, 1 << 19), (2, 1, 10), (2, 7, 1000), (1, 2, 50)])
-def test_substrings(odd, none, size, buckets, chunk):
+@pytest.mark.parametrize(("size", "bits", "chunk"), [(35, 26, 1 << 19), (2, 26, 10), (2, 7, 1000), (1, 10, 50)])
+def test_substrings(odd, none, size, bits, chunk):
     small = odd if size == 35 else odd.filter("doc_id IS NULL OR doc_id NOT IN (6, 7)")
     docs = [(i, t) for i, t, *_ in DOCS if size == 35 or i not in (6, 7)]
-    assert rows(substrings.dedup_substrings(small, size=size, buckets=buckets, chunk_words=chunk)) == removed(docs, size)
+    assert rows(substrings.dedup_substrings(small, size=size, bits=bits, chunk_words=chunk)) == removed(docs, size)
     assert substrings.dedup_substrings(none, size=size).count() == 0
 
 
-def test_one_hash_for_two_windows_is_told_apart():
-    hashes, checks = np.array([5, 5, 5, 9, 5], np.uint64), np.array([1, 2, 1, 3, 2], np.uint16)
-    order, same = substrings._again(hashes, checks)
-    assert sorted(zip(hashes[order[same]].tolist(), checks[order[same]].tolist())) == [(5, 1), (5, 2)]
+def test_windows_that_share_their_first_hash_are_told_apart(spark, monkeypatch):
+    """The second hash decides: with a first one of four values almost every window looks repeated."""
+    real = substrings.window_hashes
+    monkeypatch.setattr(substrings, "window_hashes", lambda words, size: (real(words, size)[0] % np.uint64(4), real(words, size)[1]))
+    texts = ["a b c d e f", "x y z", "q b c d r", "same same same"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4), pa.int64()), pa.array(range(4), pa.int64()), pa.array(texts)], names=["k1", "k2", "t"])
+    every = np.full(1 << 3, 255, np.uint8)
+    seen = Counter()
+    for b in substrings._again(iter([batch]), 2, 5, every, False):
+        for h, c, n in zip(*(x.to_pylist() for x in b.columns)):
+            seen[h, c] += n
+    assert sorted(n for n in seen.values() if n > 1) == [2, 2, 2]  # "b c", "c d" and "same same"
+
+
+def test_many_windows_in_few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        rng = np.random.default_rng(6)
+        docs = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 2000))) for i in range(60)]
+        docs += [(100 + i, f"own{i} " + docs[0][1][:3000]) for i in range(40)]  # a passage that many share
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        assert rows(substrings.dedup_substrings(df, size=4, chunk_words=1000)) == removed(docs, 4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.fixture(scope="module")
