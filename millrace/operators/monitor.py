@@ -282,18 +282,17 @@ def alerts(metrics: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 # -- refresh ---------------------------------------------------------------------------------------
 
 
-def refresh(tables: Tables, log: str, profiles: str, v1: int, v2: int, key: str, ts: str, **profile_args) -> int:
-    """Bring a published daily profile from log version ``v1`` to ``v2``.
+def refresh(tables: Tables, before: str, log: str, profiles: str, key: str, ts: str, **profile_args) -> None:
+    """Bring a published daily profile from the snapshot ``before`` of a log to the log as it is now.
 
     The log is partitioned by ``day`` and so are the profiles.  Only days with a changed row are read
     again and only their profile rows are replaced.
     """
-    changed = tables.changes(log, v1, v2, [key]).select(F.col("day").cast("string")).distinct()
+    changed = tables.changes(before, log, [key]).select(F.col("day").cast("string")).distinct()
     days = [[r[0]] for r in changed.collect()]  # one row per changed day
-    if not days:
-        return tables.versions(profiles)[-1]
-    touched = tables.read(log, v2).filter(F.col("day").cast("string").isin([d[0] for d in days]))
-    return tables.replace_partitions(profiles, daily_profile(touched, ts, **profile_args), days)
+    if days:
+        touched = tables.read(log).filter(F.col("day").cast("string").isin([d[0] for d in days]))
+        tables.replace_partitions(profiles, daily_profile(touched, ts, **profile_args), days)
 
 
 def daily_profile(df: DataFrame, ts: str, **profile_args) -> DataFrame:

@@ -259,11 +259,13 @@ def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fresh_tables(spark, "refresh")
     publish_log(spark, sf_dir, tables)
     tables.overwrite("profiles", daily_profile(tables.read("log"), "timestamp", **args), partition_by=["day"])
+    tables.snapshot("log", "log_before")
     tables.merge_update("log", late_labels(spark, sf_dir), on="id", set_=["label"])
-    refresh(tables, "log", "profiles", 1, 2, "id", "timestamp", **args)
+    refresh(tables, "log_before", "log", "profiles", "id", "timestamp", **args)
+    tables.snapshot("log", "log_before")
     again = inference(spark, sf_dir).filter("day >= '2024-01-29'").withColumn("id", F.col("id") + 1000000)
     tables.append("log", again)
-    refresh(tables, "log", "profiles", 2, 3, "id", "timestamp", **args)
+    refresh(tables, "log_before", "log", "profiles", "id", "timestamp", **args)
     return shown(tables.read("profiles"))
 
 

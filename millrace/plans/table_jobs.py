@@ -122,7 +122,7 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT p_partkey, p_size::double AS size, upper(p_brand) AS brand, p_retailprice * 2 AS twice FROM part",
 )
 def table_overwrite_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The new version is computed from the version it replaces and has another schema."""
+    """The table is computed from the one it replaces and has another schema."""
     tables = fresh_tables(spark, "overwrite")
     tables.overwrite("parts", table(spark, sf_dir, "part"))
     old = tables.read("parts")
@@ -222,10 +222,13 @@ INFERENCE_SQL = f"""
 """
 
 
+BUCKETS = 8  # of the log, by its key
+
+
 def publish_log(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
-    """The log as scored: partitioned by day, no label known yet."""
+    """The log as scored: partitioned by day, bucketed by key, no label known yet."""
     df = inference(spark, sf_dir).withColumn("label", F.lit(None).cast("double"))
-    tables.overwrite("log", df, partition_by=["day"])
+    tables.overwrite("log", df, keys=["id"], partition_by=["day"], bucket_by=(BUCKETS, "id"))
 
 
 def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,13 +255,14 @@ def merge_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         GROUP BY 1""",
 )
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels merged into a log, then a batch appended: what changed between first and last version."""
+    """Labels merged into a log, then a batch appended: what changed from a snapshot taken before."""
     tables = fresh_tables(spark, "changes")
     publish_log(spark, sf_dir, tables)
+    tables.snapshot("log", "log_before")
     tables.merge_update("log", late_labels(spark, sf_dir), on="id", set_=["label"])
     more = inference(spark, sf_dir).filter("event_type = 'error'").withColumn("id", F.col("id") + 1000000)
     tables.append("log", more)
-    return tables.changes("log", 1, 3, ["id"]).groupBy("_change").agg(
+    return tables.changes("log_before", "log", ["id"]).groupBy("_change").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("id").alias("ids"),
         F.round(F.sum(F.coalesce("label", F.lit(0.0))), 4).alias("labels"),

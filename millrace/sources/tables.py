@@ -1,140 +1,80 @@
-"""Named, versioned parquet tables below one root folder.
+"""Named parquet tables in the session's catalog, written by Spark's own writers.
 
-A table is a set of *parts* (one folder per write, ``data/part=<id>``) and one small manifest per
-version that lists the parts in use.  A write stages a new part and publishes it by creating the next
-manifest, so a plan that reads version N keeps working while N+1 is written, and a failed write leaves
-the table as it was.  Append, merge and partition replacement add a part and re-list the others; they
-do not rewrite rows they do not touch.
+A ``Tables`` is a database of the catalog whose tables lie below one root folder.  Overwriting writes the rows into a new table
+first and then gives it the name, so a table may be computed from itself, rows that break an expectation never show, and a
+failed write leaves the table as it was.  Appends insert; merges and partition replacements use Spark's dynamic partition
+overwrite, which stages the new files of the partitions concerned and swaps them when the job is done.
 
-Limits: one writer per table; two writers racing for the same version are detected through the manifest
-that already exists, which is exact on local disks and HDFS but not on every object store.
+A table may be bucketed and sorted by its key: merges into it and differences between it and its clones then move no row of
+the table.  One writer per table at a time.  Folders of replaced tables stay, for readers that still use them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from millrace.operators.quality import ExpectationError, expect, violations
+from millrace.session import shared_dir
 
 
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = "t" + hashlib.md5(self.root.encode()).hexdigest()
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
 
-    # -- manifests ---------------------------------------------------------------------------------
+    def full(self, name: str) -> str:
+        """The table's name in the catalog, for SQL."""
+        return f"`{self.database}`.`{name}`"
 
-    def _path(self, text: str):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(text)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def versions(self, name: str) -> list[int]:
-        fs, path = self._path(f"{self.root}/{name}/versions")
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+    # -- reads -------------------------------------------------------------------------------------
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
+        return self.spark.catalog.tableExists(f"{self.database}.{name}")
 
-    def manifest(self, name: str, version: int | None = None) -> dict:
-        known = self.versions(name)
-        if not known:
+    def read(self, name: str) -> DataFrame:
+        if not self.exists(name):
             raise LookupError(f"no table {name!r} below {self.root}")
-        version = known[-1] if version is None else version
-        if version not in known:
-            raise LookupError(f"table {name!r} has no version {version}")
-        fs, path = self._path(f"{self.root}/{name}/versions/{version:010d}.json")
-        stream = fs.open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def _publish(self, name: str, manifest: dict) -> int:
-        known = self.versions(name)
-        version = (known[-1] if known else 0) + 1
-        manifest = {**manifest, "version": version}
-        fs, path = self._path(f"{self.root}/{name}/versions/{version:010d}.json")
-        out = fs.create(path, False)  # fails if another writer was first
-        try:
-            out.write(bytearray(json.dumps(manifest), "utf-8"))
-        finally:
-            out.close()
-        return version
+        return self.spark.table(self.full(name))
 
-    # -- reads -------------------------------------------------------------------------------------
+    def comment(self, name: str) -> str | None:
+        return self.spark.catalog.getTable(f"{self.database}.{name}").description
 
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        """The rows of a version; columns a part lacks are NULL."""
-        m = self.manifest(name, version)
-        return self._scan(name, m, m["parts"])
+    def property(self, name: str, key: str):
+        """A property kept with the table, None if it has none."""
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.full(name)}").filter(F.col("key") == key).first()
+        return json.loads(found["value"]) if found else None
 
-    def _scan(self, name: str, m: dict, parts: list[dict]) -> DataFrame:
-        schema = StructType.fromJson(m["schema"])
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        base = f"{self.root}/{name}/data"
-        df = (
-            self.spark.read.option("basePath", base)
-            .schema(schema)
-            .parquet(*[f"{base}/part={p['id']}" for p in parts])
-        )
-        keep = None
-        for p in parts:
-            if p.get("without"):
-                gone = (F.col("part") == p["id"]) & _any_of(m["partition_by"], p["without"])
-                keep = ~gone if keep is None else keep & ~gone
-            if p.get("only"):
-                held = (F.col("part") != p["id"]) | _any_of(m["partition_by"], p["only"])
-                keep = held if keep is None else keep & held
-        if keep is not None:  # partition columns only: resolved while listing files
-            df = df.filter(keep)
-        return df.select(*[f.name for f in schema.fields])
+    def keys(self, name: str) -> list[str]:
+        return self.property(name, "keys") or []
 
-    def comment(self, name: str) -> str | None:
-        return self.manifest(name).get("comment")
+    def violations(self, name: str) -> dict[str, int]:
+        """Counts of the watched expectations when the table was written."""
+        return self.property(name, "violations") or {}
+
+    def _columns(self, name: str) -> list:
+        return self.spark.catalog.listColumns(f"{self.database}.{name}")
+
+    def partition_by(self, name: str) -> list[str]:
+        return [c.name for c in self._columns(name) if c.isPartition]
 
-    def violations(self, name: str, version: int | None = None) -> dict[str, int]:
-        """Counts of the watched expectations of a version."""
-        return self.manifest(name, version).get("violations", {})
+    def bucket_by(self, name: str) -> tuple[int, str] | None:
+        rows = {r[0]: r[1] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full(name)}").collect()}
+        return (int(rows["Num Buckets"]), rows["Bucket Columns"].strip("[]`")) if "Num Buckets" in rows else None
 
     # -- writes ------------------------------------------------------------------------------------
 
-    def _stage(
-        self,
-        name: str,
-        df: DataFrame,
-        partition_by: Iterable[str],
-        expects: Mapping[str, str] | None = None,
-        watch: Mapping[str, str] | None = None,
-    ) -> tuple[dict, dict[str, int]]:
-        """Write a part, counting violations in the same pass; returns it and the counts of ``watch``."""
-        part = "p" + uuid.uuid4().hex
-        rules = {**(expects or {}), **(watch or {})}
-        if rules:
-            df, obs = expect(df, rules)
-        if partition_by:
-            # few files per partition value; adaptive execution splits a value that holds much of the rows
-            df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.root}/{name}/data/part={part}")
-        counts = violations(obs, rules) if rules else {}
-        bad = {n: counts[n] for n in expects or {} if counts[n]}
-        if bad:  # staged rows stay unlisted, the published version is unchanged
-            raise ExpectationError(bad)
-        return {"id": part}, {n: counts[n] for n in watch or {}}
+    def _set(self, table: str, **properties) -> None:
+        for key, value in properties.items():
+            text = json.dumps(value).replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{text}')")
 
     def overwrite(
         self,
@@ -143,113 +83,145 @@ class Tables:
         comment: str | None = None,
         keys: Iterable[str] = (),
         partition_by: Iterable[str] = (),
+        bucket_by: tuple[int, str] | None = None,
         expects: Mapping[str, str] | None = None,
         watch: Mapping[str, str] | None = None,
         check: Callable[[DataFrame], None] | None = None,
-    ) -> int:
+    ) -> None:
         """Replace rows and schema.
 
-        Violations of ``expects`` raise before the staged rows show, those of ``watch`` are counted and
-        kept with the version; both are counted while writing.  ``check`` may look at the staged rows and
-        raise, too."""
+        Violations of ``expects`` raise before the rows show, those of ``watch`` are counted and kept with the table; both are
+        counted while writing.  ``check`` may look at the written rows and raise, too."""
         partition_by = list(partition_by)
-        part, counts = self._stage(name, df, partition_by, expects, watch)
-        if check is not None:
-            check(self._scan(name, {"schema": _nullable(df.schema), "partition_by": partition_by}, [part]))
-        return self._publish(
-            name,
-            {
-                "parts": [part],
-                "violations": counts,
-                "schema": _nullable(df.schema),
-                "comment": comment,
-                "keys": list(keys),
-                "partition_by": partition_by,
-            },
-        )
-
-    def append(self, name: str, df: DataFrame, merge_schema: bool = True, expects: Mapping[str, str] | None = None) -> int:
-        """Add rows.  With ``merge_schema`` either side may lack columns of the other."""
+        new = f"{name}_{uuid.uuid4().hex}"
+        rules = {**(expects or {}), **(watch or {})}
+        if rules:
+            df, obs = expect(df, rules)
+        if bucket_by:
+            df = df.repartition(*bucket_by)  # a bucket is one file per partition
+        elif partition_by:
+            # few files per partition value; adaptive execution splits a value that holds much of the rows
+            df = df.hint("rebalance", *partition_by)
+        writer = df.write.format("parquet").option("path", f"{self.root}/{new}")
+        if partition_by:
+            # kept with the table: overwriting inserts replace the partitions they bring, no others
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        if bucket_by:
+            writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+        writer.saveAsTable(self.full(new))
+        try:
+            counts = violations(obs, rules) if rules else {}
+            if bad := {n: counts[n] for n in expects or {} if counts[n]}:
+                raise ExpectationError(bad)
+            if check is not None:
+                check(self.read(new))
+        except Exception:
+            self.spark.sql(f"DROP TABLE {self.full(new)}")
+            raise
+        self._set(self.full(new), keys=list(keys), violations={n: counts[n] for n in watch or {}})
+        if comment is not None:
+            text = comment.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"COMMENT ON TABLE {self.full(new)} IS '{text}'")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.full(name)}")
+        self.spark.sql(f"ALTER TABLE {self.full(new)} RENAME TO {self.full(name)}")
+
+    def append(self, name: str, df: DataFrame, merge_schema: bool = True, expects: Mapping[str, str] | None = None) -> None:
+        """Add rows, columns matched by name.  With ``merge_schema`` either side may lack columns of the other."""
         if not self.exists(name):
             return self.overwrite(name, df, expects=expects)
-        m = self.manifest(name)
-        old = StructType.fromJson(m["schema"])
-        new = [f for f in StructType.fromJson(_nullable(df.schema)).fields if f.name not in old.names]
+        old = self.read(name).schema
+        new = [f for f in df.schema.fields if f.name not in old.names]
         lacking = [n for n in old.names if n not in df.columns]
         if not merge_schema and (new or lacking):
             raise ValueError(f"schema differs: new {[f.name for f in new]}, missing {lacking}")
-        for f in df.schema.fields:
-            if f.name in old.names and f.dataType != old[f.name].dataType:
-                df = df.withColumn(f.name, F.col(f.name).cast(old[f.name].dataType))
-        if lacking:
-            df = df.withColumns({n: F.lit(None).cast(old[n].dataType) for n in lacking})
-        part, _ = self._stage(name, df, m["partition_by"], expects)
-        schema = StructType(old.fields + new)
-        return self._publish(name, {**m, "parts": m["parts"] + [part], "schema": schema.jsonValue()})
-
-    def replace_partitions(self, name: str, df: DataFrame, partitions: list[list[str]]) -> int:
+        if expects:  # rows that break a rule must not show: they are counted in a stored copy
+            watched, obs = expect(df, expects)
+            path = shared_dir(self.spark, "append")
+            watched.write.parquet(path)
+            if bad := {n: c for n, c in violations(obs, expects).items() if c}:
+                raise ExpectationError(bad)
+            df = self.spark.read.schema(df.schema).parquet(path)
+        if new:
+            added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {self.full(name)} ADD COLUMNS ({added})")
+        self._insert(name, df)
+
+    def _insert(self, name: str, df: DataFrame, overwrite: bool = False) -> None:
+        """Insert by name; with ``overwrite`` the partitions that occur in ``df`` are replaced."""
+        target = self.read(name).schema
+        cols = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields]
+        df.select(*cols).write.insertInto(self.full(name), overwrite=overwrite)
+
+    def replace_partitions(self, name: str, df: DataFrame, partitions: list[list[str]]) -> None:
         """Swap the rows of the listed partition values for ``df``; other partitions are not read."""
-        m = self.manifest(name)
-        if not m["partition_by"]:
+        parts = self.partition_by(name)
+        if not parts:
             raise ValueError(f"table {name!r} is not partitioned")
-        part, _ = self._stage(name, df, m["partition_by"])
-        kept = [{**p, "without": p.get("without", []) + partitions} for p in m["parts"]]
-        return self._publish(name, {**m, "parts": kept + [part]})
-
-    def ctas(self, name: str, sql: str, **kw) -> int:
+        path = shared_dir(self.spark, "partitions")
+        df.write.parquet(path)
+        df = self.spark.read.schema(df.schema).parquet(path)
+        self._insert(name, df.hint("rebalance", *parts), overwrite=True)
+        # one row per partition listed: those that have no rows any more
+        wanted = {tuple(_text(v) for v in r) for r in df.select(*parts).distinct().collect()}
+        for r in self.read(name).filter(_any_of(parts, partitions)).select(*parts).distinct().collect():
+            if tuple(_text(v) for v in r) not in wanted:
+                spec = ", ".join(f"`{c}` = " + ("NULL" if v is None else f"'{v}'") for c, v in zip(parts, r))
+                self.spark.sql(f"ALTER TABLE {self.full(name)} DROP PARTITION ({spec})")
+
+    def ctas(self, name: str, sql: str, **kw) -> None:
         """CREATE OR REPLACE TABLE name AS <sql>."""
-        return self.overwrite(name, self.spark.sql(sql), **kw)
+        self.overwrite(name, self.spark.sql(sql), **kw)
+
+    def clone(self, path: str, name: str, fmt: str = "parquet") -> None:
+        """Copy the rows and schema of a file table into a named table and compare row counts."""
+        self._copied(self.spark.read.format(fmt).load(path), name, comment=f"clone of {path}")
 
-    def clone(self, path: str, name: str, fmt: str = "parquet") -> int:
-        """Copy the rows and schema of a file table into a managed table and compare row counts."""
-        source = self.spark.read.format(fmt).load(path)
-        version = self.overwrite(name, source, comment=f"clone of {path}")
+    def snapshot(self, name: str, as_: str) -> None:
+        """Copy a table as it is now under another name, laid out in the same way."""
+        layout = {"keys": self.keys(name), "partition_by": self.partition_by(name), "bucket_by": self.bucket_by(name)}
+        self._copied(self.read(name), as_, comment=self.comment(name), **layout)
+
+    def _copied(self, source: DataFrame, name: str, **layout) -> None:
+        self.overwrite(name, source, **layout)
         want, got = source.count(), self.read(name).count()
         if want != got:
-            raise RuntimeError(f"clone of {path} wrote {got} of {want} rows")
-        return version
+            raise RuntimeError(f"copy {name!r} has {got} of {want} rows")
 
-    def merge_update(self, name: str, src: DataFrame, on: str, set_: Iterable[str]) -> int:
+    def merge_update(self, name: str, src: DataFrame, on: str, set_: Iterable[str]) -> None:
         """MERGE ... WHEN MATCHED THEN UPDATE SET: columns ``set_`` of rows whose key occurs in ``src``.
 
-        NULL keys match nothing and a key that occurs twice in ``src`` is an error.  Of a partitioned
-        table only the partitions that hold a matching key are rewritten.
+        NULL keys match nothing and a key that occurs twice in ``src`` is an error.  The source is computed once and stored.
+        Only the partitions of the table that hold a matching key are rewritten; no row of a table bucketed by the key moves.
         """
         set_ = list(set_)
+        path = shared_dir(self.spark, "merge-source")
         src = src.select(on, *set_).filter(F.col(on).isNotNull())
+        src.write.parquet(path)
+        src = self.spark.read.schema(src.schema).parquet(path)
         twice = src.groupBy(on).count().filter("count > 1").limit(1).collect()
         if twice:
             raise ValueError(f"merge source has key {on}={twice[0][0]!r} more than once")
-        m = self.manifest(name)
-        target = self.read(name)
-        touched = None
-        if m["partition_by"]:
-            hit = target.select(on, *m["partition_by"]).join(src.select(on), on, "left_semi")
+        target, parts = self.read(name), self.partition_by(name)
+        if parts:
+            hit = target.select(on, *parts).join(src.select(on), on, "left_semi")
             # one row per partition of the table, never per record
-            touched = [[_text(v) for v in r] for r in hit.select(*m["partition_by"]).distinct().collect()]
+            touched = [[_text(v) for v in r] for r in hit.select(*parts).distinct().collect()]
             if not touched:
-                return self.versions(name)[-1]
-            target = target.filter(_any_of(m["partition_by"], touched))
-        updates = src.select(
-            F.col(on).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in set_], F.lit(True).alias("_hit")
-        )
+                return
+            target = target.filter(_any_of(parts, touched))
+        updates = src.select(F.col(on).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in set_], F.lit(True).alias("_hit"))
         merged = (
             target.join(updates, target[on] == updates["_key"], "left")
             .withColumns({c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in set_})
             .select(*target.columns)
         )
-        if touched is not None:
-            return self.replace_partitions(name, merged, touched)
-        return self.overwrite(name, merged, comment=m["comment"], keys=m["keys"])
+        if parts:
+            return self._insert(name, merged if self.bucket_by(name) else merged.hint("rebalance", *parts), overwrite=True)
+        self.overwrite(name, merged, comment=self.comment(name), keys=self.keys(name), bucket_by=self.bucket_by(name))
 
-    def changes(self, name: str, v1: int, v2: int, keys: Iterable[str]) -> DataFrame:
-        """Change feed between two versions: ``insert``, ``delete`` and the pre and post image of every
-        updated row.  Parts both versions list in the same way are not read at all."""
-        keys = list(keys)
-        m1, m2 = self.manifest(name, v1), self.manifest(name, v2)
-        old = self._scan(name, m1, _not_shared(m1["parts"], m2["parts"]))
-        new = self._scan(name, m2, _not_shared(m2["parts"], m1["parts"]))
-        return diff(old, new, keys)
+    def changes(self, before: str, after: str, keys: Iterable[str]) -> DataFrame:
+        """Change feed from one snapshot to another: ``insert``, ``delete`` and the pre and post image of every updated row."""
+        return diff(self.read(before), self.read(after), list(keys))
 
 
 def diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -293,25 +265,25 @@ class Features:
     def __init__(self, tables: Tables):
         self.tables = tables
 
-    def write(self, name: str, df: DataFrame, keys: Iterable[str], comment: str | None = None) -> int:
-        """Create or replace the table; the key is checked on the staged rows, which are computed once."""
+    def write(self, name: str, df: DataFrame, keys: Iterable[str], comment: str | None = None) -> None:
+        """Create or replace the table; the key is checked on the written rows, which are computed once."""
         keys = list(keys)
 
-        def unique(staged: DataFrame) -> None:
+        def unique(written: DataFrame) -> None:
             no_key = F.lit(False)
             for k in keys:
                 no_key = no_key | F.col(k).isNull()
-            bad = staged.groupBy(*keys).count().filter((F.col("count") > 1) | no_key).limit(1).collect()
+            bad = written.groupBy(*keys).count().filter((F.col("count") > 1) | no_key).limit(1).collect()
             if bad:
                 raise ValueError(f"key {keys} of {name!r} is not unique and non-null, e.g. {bad[0].asDict()}")
 
-        return self.tables.overwrite(name, df, comment=comment, keys=keys, check=unique)
+        self.tables.overwrite(name, df, comment=comment, keys=keys, check=unique)
 
     def read(self, name: str) -> DataFrame:
         return self.tables.read(name)
 
     def keys(self, name: str) -> list[str]:
-        return self.tables.manifest(name)["keys"]
+        return self.tables.keys(name)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Iterable[str] = ()) -> None:
@@ -341,25 +313,3 @@ def _any_of(cols: list[str], values: list[list[str]]) -> Column:
             row = row & F.col(c).cast("string").eqNullSafe(F.lit(x))
         hit = hit | row
     return hit
-
-
-def _not_shared(mine: list[dict], theirs: list[dict]) -> list[dict]:
-    """Parts of one version that the other does not show in full, narrowed to the partitions that differ."""
-    other = {p["id"]: p for p in theirs}
-    out = []
-    for p in mine:
-        q = other.get(p["id"])
-        if q is None:
-            out.append(p)
-            continue
-        hidden = [v for v in q.get("without", []) if v not in p.get("without", [])]
-        if hidden:
-            out.append({**p, "only": hidden})
-    return out
-
-
-def _nullable(schema: StructType) -> dict:
-    made = schema.jsonValue()
-    for f in made["fields"]:
-        f["nullable"] = True
-    return made
