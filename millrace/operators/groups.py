@@ -1,15 +1,13 @@
 """One model per group, for any number and any size of groups.
 
 Elastic nets are fitted from per-group moments: one aggregation with partial sums reduces each group to
-a row of d² numbers, whatever its size, and only those rows go through Python.  Forests are fitted by
-Spark ML over each group's rows, so a large group is trained by all executors, not by the one that
-would receive it in a grouped map.
+a row of d² numbers, whatever its size, and only those rows go through Python.  Forests per group are in
+``forests``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -17,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.udfs import apply_groups
-from millrace.operators.metrics import regression_metrics
-from millrace.operators.models import centred, fit_forest, load_model, moments, save_model
+from millrace.operators.models import centred, moments
 from millrace.session import sized_broadcast
 
 L1_RATIOS = tuple(round(0.1 * i, 1) for i in range(11))
@@ -141,56 +138,3 @@ def predict_groups(df: DataFrame, models: DataFrame, key: str, features: Sequenc
     for i, f in enumerate(features):
         dot = dot + F.col(f).cast("double") * F.col("_w")[i]
     return df.join(small, key, "left").withColumn(out, dot).drop("_w", "_b")
-
-
-def fit_group_forests(
-    df: DataFrame,
-    key: str,
-    features: Sequence[str],
-    label: str,
-    path: str,
-    parallelism: int = 4,
-    num_trees: int = 100,
-    max_depth: int = 5,
-    seed: int = 42,
-) -> DataFrame:
-    """``(key, n_used, model_path, mse)``: one Spark ML forest per group, saved below ``path``.
-
-    The table is stored once partitioned by the key, so each fit reads only its group, and a group of any
-    size is trained by all executors.  One Spark job series per group: meant for large groups; for very many
-    small ones use ``fit_groups``.
-    """
-    spark = df.sparkSession
-    stored = f"{path}/rows"
-    placed = df.select(key, *features, label).withColumn("_group", F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    # few files per group; adaptive execution splits a group that holds much of the rows
-    placed.hint("rebalance", "_group").write.partitionBy("_group").parquet(stored)
-    rows = spark.read.parquet(stored)
-    groups = [r[0] for r in rows.select(key).distinct().toLocalIterator()]  # as many values as models to fit
-
-    def fit(group):
-        mine = rows.filter((F.col("_group") == F.lit("null" if group is None else str(group))) & F.col(key).eqNullSafe(F.lit(group)))
-        model = fit_forest(mine, features, label, max_depth, num_trees, seed=seed)
-        where = f"{path}/model-{group}"
-        save_model(model, where)
-        m = regression_metrics(model.transform(mine), label, "prediction").first()
-        return group, m["n"], where, m["mse"]
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        made = list(pool.map(fit, groups))
-    type_ = df.schema[key].dataType.simpleString()
-    return spark.createDataFrame(made, f"{key} {type_}, n_used bigint, model_path string, mse double")
-
-
-def predict_group_forests(df: DataFrame, fitted: DataFrame, key: str, out: str = "prediction") -> DataFrame:
-    """Every row scored by its own group's saved forest; NULL for a group without one.
-
-    One branch per model, each a filter and a transform of the scan: no row is shuffled, no group is held
-    by one task, and a group with a third of the rows is scored by a third of the work."""
-    models = fitted.select(key, "model_path").collect()  # one row per fitted model
-    none = df.join(F.broadcast(fitted.select(key)), key, "left_anti").withColumn(out, F.lit(None).cast("double"))
-    parts = [load_model(r["model_path"]).transform(df.filter(F.col(key).eqNullSafe(F.lit(r[key])))) for r in models]
-    made = none
-    for p in parts:
-        made = made.unionByName(p.select(*df.columns, F.col("prediction").alias(out)))
-    return made

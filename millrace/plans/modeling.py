@@ -9,7 +9,8 @@ from millrace.functions.columns import map_get, where_like
 from millrace.functions.hashing import sql_bucket
 from millrace.functions.udfs import model_udf, register_model
 from millrace.operators.gates import Threshold, champion, gate
-from millrace.operators.groups import fit_group_forests, fit_groups, fit_groups_ols, group_run_rows, predict_group_forests, predict_groups
+from millrace.operators.forests import fit_group_forests, predict_group_forests
+from millrace.operators.groups import fit_groups, fit_groups_ols, group_run_rows, predict_groups
 from millrace.operators.joins import Lookup, score_lookup
 from millrace.operators.metrics import evaluate, regression_metrics
 from millrace.operators.models import LinearModel, auto_fit, fit_forest, fit_linear, fit_mean, least_correlated, vote
@@ -392,9 +393,9 @@ GROUP_LABEL = "l_quantity * (1000 + 100 * (l_suppkey % 10)) * (1 - l_discount)"
         SELECT group_id, count(*) AS n_used, count(*) AS n_scored, round(stddev_pop(y), 2) AS spread, true AS good FROM g GROUP BY 1""",
 )
 def group_forests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One forest per group, saved; every row scored by its own group's saved forest."""
+    """One forest per group, grown together over all features, stored; every row scored by its group's forest in one scan."""
     lines = grouped_lines(spark, sf_dir).withColumn("label", F.expr(GROUP_LABEL.replace("(l_suppkey % 10)", "group_id")))
-    made = fit_group_forests(lines, "group_id", GROUP_FEATURES, "label", shared_dir(spark, "group-forests"), num_trees=100)
+    made = fit_group_forests(lines, "group_id", GROUP_FEATURES, "label", shared_dir(spark, "group-forests"), num_trees=100, feature_fraction=1.0)
     scored = predict_group_forests(lines, made, "group_id")
     error = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))
     found = scored.groupBy("group_id").agg(
