@@ -32,7 +32,7 @@ from millrace.plans.modeling import GROUP_FEATURES, LINE_PRICE, LINES_TEST_SQL,
 from millrace.plans.monitoring import CUSTOM
 from millrace.plans.registry import query, table
 from millrace.plans.relational import rounded
-from millrace.plans.table_jobs import NULL_LABEL_SQL, fresh_tables, null_label
+from millrace.plans.table_jobs import BUCKETS, NULL_LABEL_SQL, fresh_tables, null_label
 from millrace.session import cut_lineage, shared_dir
 from millrace.sources.readers import read_external
 
@@ -68,7 +68,7 @@ def price_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = [c for c in train.columns if c not in ("ID", "price")]
 
     stats = fit_minmax(train, features)
-    network = fit_network(apply_minmax(train, stats), "ID", features, "price", epochs=20, learning_rate=0.005, patience=5)
+    network = fit_network(apply_minmax(train, stats), "ID", features, "price", epochs=50, batch=16)
     searched = auto_fit(train, "ID", features, "price", "regressor", "rmse")
 
     def score(df: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def default_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = fit_minmax(train, features)
     network = fit_network(
         apply_minmax(train, stats), "c_custkey", features, "default_next", "classifier",
-        hidden=(64, 32, 16), dropout=(), epochs=100, learning_rate=0.005, monitor="accuracy", patience=15, start_from_epoch=30,
+        hidden=(64, 32, 16), epochs=100, batch=16, monitor="accuracy", patience=15, start_from_epoch=30,
     )
     searched = auto_fit(train, "c_custkey", features, "default_next", "classifier", "f1")
     base = network.transform(apply_minmax(test, stats), "p").select("c_custkey", to_class("p").alias("baseline"))
@@ -175,12 +175,12 @@ def monitor_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
         if tables.exists("log"):
             tables.append("log", scored)
         else:
-            tables.overwrite("log", scored, partition_by=["day"])
+            tables.overwrite("log", scored, partition_by=["day"], bucket_by=(BUCKETS, "ID"))
     args = dict(numeric=["k", "prediction", "price"], categorical=["event_type"], slices=["event_type", "k > 2"])
     tables.overwrite("profiles", daily_profile(tables.read("log"), "timestamp", **args), partition_by=["day"])
-    before = tables.versions("log")[-1]
+    tables.snapshot("log", "log_before")
     tables.merge_update("log", labels, on="ID", set_=["price"])
-    refresh(tables, "log", "profiles", before, tables.versions("log")[-1], "ID", "timestamp", **args)
+    refresh(tables, "log_before", "log", "profiles", "ID", "timestamp", **args)
 
     log, base = tables.read("log"), tables.read("baseline")
     wanted = F.date_format("window_start", "yyyy-MM-dd").alias("day")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions.udfs import model_udf, register_model
 from millrace.operators.explain import explain, summary
 from millrace.operators.features import assemble
-from millrace.operators.groups import elastic_net, fit_group_forests, fit_groups, group_run_rows, predict_group_forests, predict_groups
+from millrace.operators.forests import fit_group_forests, pack_forest, predict_group_forests
+from millrace.operators.groups import elastic_net, fit_groups, group_run_rows, predict_groups
 from millrace.operators.isolation import build_tree, fit_isolation_forest, mean_path, score_isolation_forest
 from millrace.operators.joins import Lookup, attach_groups, lookup, same_rows, score_lookup
 from millrace.operators.metrics import classification_metrics, regression_metrics
@@ -103,19 +104,73 @@ def test_group_runs(spark, synth, folder):
     assert [r["run_id"] for r in latest.collect()] == ["exp-0", "exp-1", "exp-2"]
 
 
-def test_group_forests(spark, synth, folder):
-    two = synth.filter("group_id < 2")
-    made = fit_group_forests(two, "group_id", FEATURES, "label", folder, num_trees=3, max_depth=4)
+def ml_error(df, seed=42):
+    model = fit_forest(df, FEATURES, "label", 5, 100, seed=seed)
+    return regression_metrics(model.transform(df), "label", "prediction").first()["mse"]
+
+
+def test_group_forests_are_as_good_as_one_fit_each(spark, synth, folder):
+    rows = synth.filter("group_id < 3").withColumn("label", F.expr("label + 3 * feature_1 * group_id"))
+    made = fit_group_forests(rows, "group_id", FEATURES, "label", folder, num_trees=100, max_depth=5)
     got = {r["group_id"]: r for r in made.collect()}
-    assert {g: r["n_used"] for g, r in got.items()} == {0: 300, 1: 300}
-    model = load_model(got[0]["model_path"])
-    assert regression_metrics(model.transform(two.filter("group_id = 0")), "label", "prediction").first()["mse"] == pytest.approx(got[0]["mse"])
-    rows = synth.filter("group_id < 3")
-    scored = {r["record_id"]: r for r in predict_group_forests(rows, made, "group_id").collect()}
-    own = {g: {r["record_id"]: r["prediction"] for r in load_model(got[g]["model_path"]).transform(two.filter(F.col("group_id") == g)).collect()} for g in (0, 1)}
-    assert len(scored) == rows.count()
-    for r in scored.values():
-        assert r["prediction"] == (own[r["group_id"]][r["record_id"]] if r["group_id"] < 2 else None)
+    assert {g: r["n_used"] for g, r in got.items()} == {0: 300, 1: 300, 2: 300}
+    for g, r in got.items():
+        assert r["mse"] <= 1.05 * ml_error(rows.filter(F.col("group_id") == g))
+    scored = predict_group_forests(synth.filter("group_id < 4").join(rows.select("record_id", F.col("label").alias("y")), "record_id", "left"), made, "group_id")
+    own = scored.filter("group_id < 3").groupBy("group_id").agg(F.avg(F.pow(F.col("prediction") - F.col("y"), 2)).alias("mse")).collect()
+    assert {r["group_id"]: pytest.approx(r["mse"]) for r in own} == {g: r["mse"] for g, r in got.items()}
+    assert scored.filter("group_id = 3 AND prediction IS NULL").count() == 300  # a group without a model
+
+
+def test_group_forests_do_not_depend_on_the_partitioning(spark, synth, folder):
+    rows = synth.filter("group_id < 2")
+    a = fit_group_forests(rows, "group_id", FEATURES, "label", f"{folder}/a", num_trees=5, max_depth=3)
+    b = fit_group_forests(rows.repartition(9), "group_id", FEATURES, "label", f"{folder}/b", num_trees=5, max_depth=3, block_rows=37)
+    a, b = (predict_group_forests(rows, m, "group_id").select("record_id", F.round("prediction", 9).alias("p")) for m in (a, b))
+    assert same_rows(a, b)
+
+
+def test_as_many_jobs_for_many_groups(spark, folder):
+    def jobs(groups):
+        df = spark.range(1200).select((F.col("id") % groups).alias("g"), (F.col("id") * 7 % 101).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+        tag = f"groups-{groups}"
+        spark.sparkContext.setJobGroup(tag, tag)
+        try:
+            made = fit_group_forests(df, "g", ["x"], "y", f"{folder}/{groups}", num_trees=2, max_depth=2)
+            assert made.count() == groups
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+
+    assert jobs(3) == jobs(300)
+
+
+@pytest.mark.parametrize("max_bytes", [64 << 20, 0])
+def test_packed_forests_predict_what_spark_ml_does(spark, synth, max_bytes):
+    fits = {g: fit_forest(synth.filter(F.col("group_id") == g), FEATURES, "label", 4, 3) for g in (0, 1)}
+    packed = pd.concat([pack_forest(m, "group_id", g, FEATURES) for g, m in fits.items()])
+    schema = "group_id long, features array<string>, feature array<int>, threshold array<double>, left array<int>, right array<int>, value array<double>, tree array<int>, depth array<int>"
+    models = spark.createDataFrame(packed, schema)
+    rows = synth.filter("group_id < 3").withColumn("extra", F.lit("kept"))
+    scored = predict_group_forests(rows, models, "group_id", max_bytes=max_bytes, salts=3)
+    assert scored.columns == [*rows.columns, "prediction"]
+    found = {r["record_id"]: r for r in scored.collect()}
+    want = {r["record_id"]: r["prediction"] for g, m in fits.items() for r in m.transform(rows.filter(F.col("group_id") == g)).collect()}
+    assert len(found) == rows.count()
+    for i, r in found.items():
+        assert r["prediction"] == (pytest.approx(want[i], rel=1e-12) if r["group_id"] < 2 else None)
+
+
+@pytest.mark.parametrize("max_bytes", [64 << 20, 0])
+def test_group_forests_on_gaps_and_a_null_group(spark, folder, max_bytes):
+    rows = [(None, 1.0, 2.0), (None, 2.0, 4.0), ("a", None, 1.0), ("a", 1.0, None), ("a", 3.0, 5.0), ("-", 1.0, 9.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    made = fit_group_forests(df, "g", ["x"], "y", folder, num_trees=4, max_depth=2)
+    assert {r["g"]: r["n_used"] for r in made.collect()} == {None: 2, "a": 1, "-": 1}
+    scored = predict_group_forests(df, made, "g", max_bytes=max_bytes).collect()
+    assert len(scored) == 6 and all(r["prediction"] == 5.0 for r in scored if r["g"] == "a")
+    none = fit_group_forests(df.limit(0), "g", ["x"], "y", f"{folder}/none", num_trees=4, max_depth=2)
+    assert none.count() == 0 and predict_group_forests(df, none, "g").filter("prediction IS NULL").count() == 6
 
 
 def test_forest_beats_mean_and_reloads(spark, synth, folder):
@@ -202,20 +257,15 @@ def test_network_is_independent_of_partitions(spark, synth):
 
 def test_network_gradient(spark):
     """The first Adam step follows the numerical gradient's signs."""
-    from millrace.operators.network import _forward, _loss_and_delta, _task, _unpack
-    import pyarrow as pa
+    from millrace.operators.network import _forward, _loss_and_delta, _Plan, _round, _unpack
 
     rng = np.random.default_rng(0)
     layers = (3, 5, 4, 1)
     flat = rng.normal(size=3 * 5 + 5 + 5 * 4 + 4 + 4 + 1)
     x, y = rng.normal(size=(20, 3)), rng.integers(0, 2, 20).astype(float)
-    batch = pa.RecordBatch.from_arrays(
-        [pa.array(range(20), pa.int64()), pa.array([True] * 20), pa.array(y)] + [pa.array(x[:, i]) for i in range(3)],
-        names=["_k", "_train", "_y", "a", "b", "c"],
-    )
     for classifier in (False, True):
-        out = next(_task(flat, layers, classifier, (), 1, None, 0.1)(iter([batch])))
-        grad = np.concatenate([np.array(g) for g in out.column(1).to_pylist()])[: len(flat)]
+        plan = _Plan(layers, classifier, (), None, 0.1, 1, 1, None, "loss", 0)
+        grad = _round(plan, (np.arange(20), np.ones(20, bool), y, x), flat, 1)[: len(flat)]
 
         def loss(w):
             return _loss_and_delta(_forward(x, _unpack(w, layers), None)[-1][:, 0], y, classifier)[0]
@@ -242,6 +292,55 @@ def test_small_batches_learn_in_few_passes(spark, synth):
     assert np.allclose(m.weights, again.weights, atol=1e-9)
 
 
+def test_training_goes_on_from_its_stored_state(spark, synth, folder):
+    args = dict(hidden=(8,), dropout=(0.5,), learning_rate=0.01, num_partitions=3)
+    whole = fit_network(synth, "record_id", FEATURES, "label", epochs=6, **args)
+    fit_network(synth, "record_id", FEATURES, "label", epochs=3, state=folder, **args)  # as if the session had ended here
+    rest = fit_network(synth, "record_id", FEATURES, "label", epochs=6, state=folder, job_epochs=2, **args)
+    assert np.allclose(whole.weights, rest.weights, atol=1e-9) and len(rest.history) == 6
+
+
+def test_a_failed_task_repeats_its_epochs_only(spark, synth, folder):
+    """A task that dies takes its barrier stage with it; the stage starts again from the stored state."""
+    from millrace.operators import network
+
+    args = dict(hidden=(4,), dropout=(), learning_rate=0.01, num_partitions=2, epochs=4, job_epochs=2)
+    want = fit_network(synth, "record_id", FEATURES, "label", **args)
+    made, together = [], network._together
+
+    def failing(plan, stored, until):
+        run = together(plan, stored, until)
+        first = not made
+        made.append(until)
+
+        def broken(batches):
+            raise OSError("lost") if first else None
+
+        return broken if first else run
+
+    network._together = failing
+    try:
+        with pytest.raises(Exception, match="lost"):
+            fit_network(synth, "record_id", FEATURES, "label", state=folder, **args)
+        got = fit_network(synth, "record_id", FEATURES, "label", state=folder, **args)
+    finally:
+        network._together = together
+    assert np.allclose(got.weights, want.weights, atol=1e-9)
+
+
+def test_epochs_start_no_jobs(spark, synth):
+    def jobs(epochs):
+        tag = f"epochs-{epochs}"
+        spark.sparkContext.setJobGroup(tag, tag)
+        try:
+            fit_network(synth, "record_id", FEATURES, "label", hidden=(4,), dropout=(), epochs=epochs, num_partitions=2)
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+
+    assert jobs(2) == jobs(20)
+
+
 def test_stopping_on_accuracy_waits_for_its_first_epoch(spark, synth):
     df = synth.withColumn("big", (F.col("label") > 3.5).cast("int"))
     args = dict(hidden=(4,), dropout=(), epochs=12, learning_rate=0.01, patience=1, monitor="accuracy", start_from_epoch=5)
