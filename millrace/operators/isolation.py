@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import uniform
 from millrace.functions.udfs import apply_groups
-from millrace.session import spread
 
 _EULER = 0.5772156649015329
 _SPARE = 1.3  # rows drawn per row needed, so that a tree's sample is complete with near certainty
@@ -144,7 +143,6 @@ def fit_isolation_forest(
 def score_isolation_forest(df: DataFrame, forest: IsolationForest, out: str = "score") -> DataFrame:
     """Anomaly score in (0, 1); rows with a missing feature get NULL."""
     features = list(forest.features)
-    df = spread(df)
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
@@ -15,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.functions.columns import fill_template
 from millrace.operators.features import tokenize
-from millrace.session import cut_lineage, sized_broadcast, spread
+from millrace.session import cut_lineage, shared_dir, sized_broadcast, spread
 
 CHUNKS_PER_SPAN = 256
 TILE_CELLS = 1 << 21  # distances a task holds at once: 16 MB as doubles
@@ -23,7 +25,7 @@ TILE_CELLS = 1 << 21  # distances a task holds at once: 16 MB as doubles
 
 def chunk(df: DataFrame, id_: str, text: str, size: int = 1000, overlap: int = 100) -> DataFrame:
     """``(id, chunk_no, text)``: windows of ``size`` characters that share ``overlap`` with the next, to
-    the end of the text; empty texts give no chunk.  A projection: only small inputs are dealt out first."""
+    the end of the text; empty texts give no chunk.  A projection."""
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
     step = size - overlap
@@ -38,10 +40,56 @@ def chunk(df: DataFrame, id_: str, text: str, size: int = 1000, overlap: int = 1
         return F.flatten(F.transform(F.array(span), lambda s: F.transform(inner, lambda i: F.substring(s, i * step + 1, F.lit(size)))))
 
     pieces = F.flatten(F.transform(spans, cut))
-    return (
-        spread(df.filter(F.length(text) > 0).select(id_, text))
-        .select(id_, F.posexplode(pieces).alias("chunk_no", "text"))
-    )
+    return df.filter(F.length(text) > 0).select(id_, text).select(id_, F.posexplode(pieces).alias("chunk_no", "text"))
+
+
+#: Where a text may be cut, the best places first: after a blank line, a line, a sentence, a blank.
+SEPARATORS = (r"\n\s*\n", r"\n", r"[.!?]+\s+", r"\s+")
+
+
+def split_spans(text: str, size: int, overlap: int, separators: tuple[str, ...] = SEPARATORS) -> list[tuple[int, int]]:
+    """The pieces of a text as (start, end): each as long as fits ``size``, cut at the best separators there are.
+
+    A stretch longer than ``size`` is split after every match of the first separator, its parts that are still too long by
+    the next one, and so on, in the end anywhere.  The parts are then merged in order up to ``size``; a piece begins with the
+    last parts of the one before, up to ``overlap`` characters, if they fit together with what follows.
+    """
+    parts = [(0, len(text))]
+    for pattern in map(re.compile, separators):
+        finer = []
+        for a, b in parts:
+            cuts = [m.end() for m in pattern.finditer(text, a, b)] if b - a > size else []
+            edges = [a, *(c for c in cuts if c < b), b]
+            finer += zip(edges, edges[1:])
+        parts = finer
+    parts = [(at, min(at + size, b)) for a, b in parts for at in range(a, b, size)]
+    pieces, first = [], 0
+    for i, (_, end) in enumerate(parts):
+        if end - parts[first][0] > size:
+            pieces.append((parts[first][0], parts[i - 1][1]))
+            while parts[i - 1][1] - parts[first][0] > overlap or (first < i and end - parts[first][0] > size):
+                first += 1
+                if first == i:
+                    break
+    if parts:
+        pieces.append((parts[first][0], parts[-1][1]))
+    return pieces
+
+
+def split_text(df: DataFrame, id_: str, text: str, size: int = 1000, overlap: int = 100, separators: tuple[str, ...] = SEPARATORS) -> DataFrame:
+    """``(id, chunk_no, start, text)``: pieces of whole texts cut at text boundaries, see ``split_spans``.
+
+    ``start`` counts characters from 0; put together from there on, the pieces are the text again.  NULL and empty texts give
+    no piece.  A projection in Arrow batches, linear in the length of a text."""
+    if not 0 <= overlap < size:
+        raise ValueError("need 0 <= overlap < size")
+
+    @F.pandas_udf("array<struct<start:long,text:string>>")
+    def pieces(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"start": a, "text": t[a:b]} for a, b in split_spans(t, size, overlap, separators)] for t in texts])
+
+    made = df.filter(F.length(text) > 0).select(id_, F.posexplode(pieces(F.col(text))).alias("chunk_no", "_p"))
+    return made.select(id_, "chunk_no", F.col("_p.start").alias("start"), F.col("_p.text").alias("text"))
 
 
 def fit_encoder(df: DataFrame, text: str, dims: int = 256) -> PipelineModel:
@@ -55,7 +103,7 @@ def encode(df: DataFrame, text: str, encoder: PipelineModel | Callable, out: str
     """Add ``array<float>``: by a fitted encoder, or by any column function of the text."""
     if not isinstance(encoder, PipelineModel):
         return df.withColumn(out, encoder(F.col(text)))
-    made = encoder.transform(tokenize(spread(df), text, "tokens"))
+    made = encoder.transform(tokenize(df, text, "tokens"))
     return made.withColumn(out, vector_to_array("unit", "float32")).drop("tokens", "tf", "tfidf", "unit")
 
 
@@ -91,9 +139,11 @@ def _scaled(x: np.ndarray, metric: str) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
 
 
-def _search(metric: str, k: int, id_type: pa.DataType, q_type: pa.DataType):
+def _search(metric: str, k: int, id_type: pa.DataType, q_type: pa.DataType, here: Callable[[], list] | None = None, block_rows: int = 1 << 16):
     """Arrow batches ``(grp, query, id, qid, v)`` sorted by group, corpus rows first -> the k best
-    ``(qid, id, distance)`` of every query in every group.  Queries are measured tile by tile."""
+    ``(qid, id, distance)`` of every query in every group.  Queries are measured tile by tile.
+
+    With ``here``, which gives the queries, the batches are ``(id, v)`` of the corpus and every ``block_rows`` are a group."""
 
     def measured(rows: _Rows, tile: list) -> pa.RecordBatch:
         queries = _scaled(np.array([v for _, v in tile], dtype=float), metric)
@@ -137,7 +187,26 @@ def _search(metric: str, k: int, id_type: pa.DataType, q_type: pa.DataType):
         if tile and rows is not None:
             yield measured(rows, tile)
 
-    return run
+    def scan(batches):
+        ids, vectors = [], []
+
+        def block() -> Iterator[pa.RecordBatch]:
+            rows, queries = _Rows(ids, vectors, metric), here()
+            step = max(1, TILE_CELLS // len(ids))
+            for at in range(0, len(queries), step):
+                yield measured(rows, queries[at : at + step])
+
+        for batch in batches:
+            flat, ends = batch.column(1).flatten().to_numpy(zero_copy_only=False), batch.column(1).offsets.to_numpy()
+            ids += batch.column(0).to_pylist()
+            vectors += np.split(flat, (ends - ends[0])[1:-1]) if batch.num_rows else []
+            if len(ids) >= block_rows:
+                yield from block()
+                ids, vectors = [], []
+        if ids:
+            yield from block()
+
+    return scan if here else run
 
 
 def _ranked(found: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame:
@@ -157,14 +226,15 @@ def knn(
     query_id: str = "query_id",
     corpus_id: str = "id",
     vector: str = "vector",
-    groups: int = 64,
+    group_rows: int = 1 << 16,
+    max_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Exact ``k`` nearest corpus rows of every query: ``(query_id, id, distance, rank)``, ties by id.
 
-    Corpus rows are dealt to ``groups`` by a digest of their id, and every query goes to every group.  A
-    task holds one group's vectors and streams the queries past in tiles of ``TILE_CELLS`` distances, so
-    memory depends on neither table's size but on the group's: choose ``groups`` so that a group's
-    vectors fit a task.  k rows per query and group meet in the ranking; the driver sees two numbers.
+    Queries proven to take at most ``max_bytes`` are sent to the tasks that scan the corpus, whose rows do not move.  More
+    queries meet the corpus in groups: its rows are dealt by a digest of their id, about ``group_rows`` to a group, and every
+    query goes to every group.  Either way a task holds the vectors of one group and streams the queries past in tiles of
+    ``TILE_CELLS`` distances, so memory depends on neither table's size.  k rows per query and group meet in the ranking.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -174,18 +244,25 @@ def knn(
         raise ValueError("query vectors differ in length")
     base = corpus.select(F.col(corpus_id).alias("_id"), F.col(vector).cast("array<double>").alias("_v")).filter("_v IS NOT NULL")
     id_type, q_type = base.schema["_id"].dataType, queries.schema["_qid"].dataType
+    found = f"_qid {q_type.simpleString()}, _id {id_type.simpleString()}, distance double"
+    kinds = (to_arrow_type(id_type), to_arrow_type(q_type))
+    spark, path = queries.sparkSession, shared_dir(queries.sparkSession, "queries")
+    queries.write.parquet(path)
+    queries = spark.read.schema(queries.schema).parquet(path)
+    if int(str(queries._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes // 4:  # compressed on disk
+        few = queries.toArrow()
+        vectors = [np.asarray(v.values, dtype=float) for v in few.column("_v")]
+        sent = spark.sparkContext.broadcast(list(zip(few.column("_qid").to_pylist(), vectors)))
+        return _ranked(base.mapInArrow(_search(metric, k, *kinds, lambda: sent.value, group_rows), found), k, query_id, corpus_id)
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // group_rows))
     rows = base.select(
         F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int").alias("_g"), F.lit(False).alias("_asks"), "_id", F.lit(None).cast(q_type).alias("_qid"), "_v"
     )
     asked = queries.select(
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"), F.lit(True).alias("_asks"), F.lit(None).cast(id_type).alias("_id"), "_qid", "_v"
     )
-    kernel = _search(metric, k, to_arrow_type(id_type), to_arrow_type(q_type))
-    found = (
-        rows.unionByName(asked).repartitionById(groups, F.col("_g")).sortWithinPartitions("_g", "_asks")
-        .mapInArrow(kernel, f"_qid {q_type.simpleString()}, _id {id_type.simpleString()}, distance double")
-    )
-    return _ranked(found, k, query_id, corpus_id)
+    met = rows.unionByName(asked).repartitionById(groups, F.col("_g")).sortWithinPartitions("_g", "_asks")
+    return _ranked(met.mapInArrow(_search(metric, k, *kinds), found), k, query_id, corpus_id)
 
 
 def knn_lsh(

@@ -29,7 +29,7 @@ def fit_text_classifier(
 
 def classify_text(df: DataFrame, model: PipelineModel, text: str) -> DataFrame:
     """Rows with ``prediction`` and nothing else added."""
-    made = model.transform(tokenize(spread(df), text, "tokens"))
+    made = model.transform(tokenize(df, text, "tokens"))
     return made.select(*df.columns, "prediction")
 
 

@@ -62,16 +62,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, partitions: int = 8, small_bytes: int = 1 << 30) -> DataFrame:
-    """Deal a small input out to ``partitions`` tasks before costly per-row work.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out evenly before a fit that reads them many times, whatever their number.
 
-    A file or two with few row groups would otherwise keep most cores idle.  The optimizer's size
-    estimate decides: an input below ``small_bytes`` is repartitioned; anything larger keeps the
-    partitions of its scan, unshuffled.  Neither number depends on the cluster or its settings, so a
-    seeded model is the same on any number of cores.
+    A file or two with few row groups would otherwise keep most cores idle, and large files hold uneven shares.  ``partitions``
+    is the session's number of shuffle partitions if not given.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(partitions) if size < small_bytes else df
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:

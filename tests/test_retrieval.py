@@ -1,10 +1,13 @@
+import random
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import millrace.operators.retrieval as R
 from millrace.functions.udfs import chat_udf, text_udf
-from millrace.operators.retrieval import chunk, encode, fit_encoder, generate, knn, knn_lsh, passage_prompts, stuff_prompt
+from millrace.operators.retrieval import SEPARATORS, chunk, encode, fit_encoder, generate, knn, knn_lsh, passage_prompts, split_spans, split_text, stuff_prompt
+from millrace.operators.vector_index import build_index, load_index, search_index
 from millrace.sources.readers import html_text
 
 
@@ -28,14 +31,12 @@ def brute(x, q, k, metric):
 
 
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
-@pytest.mark.parametrize("limit", [None, 700])
-def test_knn_is_exact(spark, vectors, metric, limit, monkeypatch):
+@pytest.mark.parametrize("group_rows,max_bytes", [(1 << 16, 16 << 20), (90, 16 << 20), (100, 0)])
+def test_knn_is_exact(spark, vectors, metric, group_rows, max_bytes):
     x, corpus = vectors
-    if limit:  # force several tiles
-        monkeypatch.setattr(R, "TILE_CELLS", limit)
     queries = corpus.filter("id < 60").withColumnRenamed("id", "query_id")
     got = {}
-    for r in knn(queries, corpus, 4, metric, groups=3).collect():
+    for r in knn(queries, corpus, 4, metric, group_rows=group_rows, max_bytes=max_bytes).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["id"], r["distance"])
     assert set(got) == set(range(60))
     for q, hits in got.items():
@@ -49,7 +50,8 @@ def test_knn_small_and_empty(spark, vectors):
     queries = corpus.filter("id = 7").withColumnRenamed("id", "query_id")
     assert knn(queries, corpus.filter("id < 2"), 5).count() == 2
     assert knn(queries.limit(0), corpus, 5).count() == 0
-    assert knn(queries, corpus.limit(0), 5).count() == 0
+    for max_bytes in (0, 16 << 20):
+        assert knn(queries, corpus.limit(0), 5, max_bytes=max_bytes).count() == 0 and knn(queries.limit(0), corpus, 5, max_bytes=max_bytes).count() == 0
     with pytest.raises(ValueError):
         knn(queries, corpus, 5, "dot").count()
     named = corpus.withColumn("id", F.concat(F.lit("n"), F.col("id").cast("string")))
@@ -61,7 +63,7 @@ def test_lsh_recall(spark, vectors):
     queries = corpus.filter("id < 40").withColumnRenamed("id", "query_id")
     exact = {(r["query_id"], r["id"]) for r in knn(queries, corpus, 3).collect()}
     found = {(r["query_id"], r["id"]) for r in knn_lsh(queries, corpus, 3, bucket_length=1.0, tables=6).collect()}
-    assert len(exact & found) / len(exact) >= 0.8
+    assert len(exact & found) / len(exact) >= 0.9
     thin = knn_lsh(queries, corpus, 3, bucket_length=1e-6, tables=1)  # no neighbour shares a bucket
     assert {(r["query_id"], r["id"]) for r in thin.collect()} == exact
     assert knn_lsh(queries.limit(0), corpus, 3).count() == 0
@@ -70,12 +72,107 @@ def test_lsh_recall(spark, vectors):
 def test_many_queries_need_no_driver_and_little_memory(spark, vectors):
     _, corpus = vectors
     asked = spark.range(100_000).select(F.col("id").alias("query_id"), F.array(*[(F.col("id") % (7 + i)).cast("double") for i in range(8)]).alias("vector"))
-    got = knn(asked, corpus, 2, groups=2)
+    got = knn(asked, corpus, 2, max_bytes=0)
     assert got.count() == 200_000
     few = knn(asked.filter("query_id < 50"), corpus, 2)
     assert got.filter("query_id < 50").exceptAll(few).count() == 0
 
 
+@pytest.fixture(scope="module")
+def clustered(spark):
+    rng = np.random.default_rng(9)
+    middles = rng.normal(size=(30, 16)) * 2
+    x = (middles[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 16))).astype("float32")
+    x[500:520] = x[0]
+    return x, spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "id bigint, vector array<float>").repartition(4)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_index_keeps_its_recall(spark, clustered, folder, metric):
+    x, corpus = clustered
+    build_index(corpus, folder, metric=metric, k=20, trials=100)
+    index = load_index(spark, folder)
+    assert index.rows.sum() == 3000 and 0 <= index.reach <= 1
+    queries = corpus.filter("id % 20 = 0").withColumnRenamed("id", "query_id")
+    found = search_index(queries, index, 20).collect()
+    want = {q: brute(x, x[q], 20, metric) for q in range(0, 3000, 20)}
+    hit = {(r["query_id"], r["id"]): r["distance"] for r in found}
+    assert len(found) == len(hit) == 20 * 150
+    right = [(q, i, d) for q, w in want.items() for i, d in w if (q, i) in hit]
+    assert len(right) >= 0.9 * 20 * 150
+    assert np.allclose([hit[q, i] for q, i, _ in right], [d for _, _, d in right], atol=1e-6)
+
+
+def test_index_with_full_reach_is_exact(spark, clustered, folder):
+    x, corpus = clustered
+    index = build_index(corpus, folder, cells=9, codes=4, parts=3, sample=500, trials=10)
+    index.reach = 1.0
+    queries = corpus.filter("id % 100 = 0").withColumnRenamed("id", "query_id")
+    found = {}
+    for r in search_index(queries, index, 5, probes=1, part_rows=70).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["id"]
+    assert {q: [f[i] for i in range(1, 6)] for q, f in found.items()} == {q: [i for i, _ in brute(x, x[q], 5, "l2")] for q in range(0, 3000, 100)}
+
+
+def test_index_of_few_rows_and_gaps(spark, folder):
+    rows = [(1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, None), (4, [5.0, 5.0])]
+    corpus = spark.createDataFrame(rows, "id int, vector array<float>")
+    index = build_index(corpus, folder)
+    asked = spark.createDataFrame([("q", [0.0, 0.9]), ("none", None)], "query_id string, vector array<float>")
+    assert [(r["query_id"], r["id"], r["rank"]) for r in search_index(asked, index, 10).orderBy("rank").collect()] == [("q", 1, 1), ("q", 2, 2), ("q", 4, 3)]
+    assert search_index(asked.limit(0), index, 3).count() == 0
+    with pytest.raises(FileNotFoundError):
+        load_index(spark, f"{folder}/nowhere")
+    with pytest.raises(ValueError):
+        build_index(corpus.limit(0), f"{folder}/empty")
+
+
+def check_split(text, size, overlap):
+    pieces = split_spans(text, size, overlap)
+    done = 0
+    for n, (a, b) in enumerate(pieces):
+        assert a < b <= a + size and a <= done < b  # no gap, nothing twice but the overlap
+        assert n == 0 or done - a <= overlap
+        done = b
+    assert done == len(text)
+    ends = [{m.end() for m in re.finditer(p, text)} for p in SEPARATORS]
+    for (a, b), (_, c) in zip(pieces, pieces[1:]):
+        # a cut inside a word only where no boundary of any kind lies in the part that was too long
+        if not any(b in e for e in ends):
+            assert not any(max(a, b - size) < m < b and (b - m) >= size for m in ends[3])
+    return pieces
+
+
+def test_split_at_the_best_boundaries():
+    text = "One two. Three four.\n\nFive six seven. Eight.\nNine ten\n\nx"
+    assert [text[a:b] for a, b in check_split(text, 24, 0)] == ["One two. Three four.\n\n", "Five six seven. Eight.\n", "Nine ten\n\nx"]
+    assert [text[a:b] for a, b in check_split(text, 14, 0)][:3] == ["One two. ", "Three four.\n\n", "Five six "]
+    words = "aa bb cc dd ee ff"
+    assert [words[a:b] for a, b in check_split(words, 9, 3)] == ["aa bb cc ", "cc dd ee ", "ee ff"]
+    assert [b - a for a, b in check_split("z" * 25, 10, 0)] == [10, 10, 5]
+    assert split_spans("", 10, 2) == []
+
+
+def test_split_of_random_texts():
+    rng = random.Random(2)
+    for _ in range(400):
+        text = "".join(rng.choice(["word", "é", " ", " ", ". ", "\n", "\n\n", "longerword"]) for _ in range(rng.randrange(1, 200)))
+        size = rng.randrange(2, 60)
+        check_split(text, size, rng.randrange(0, size))
+
+
+def test_split_text_on_rows(spark):
+    long = "Sentence number one. " * 5000
+    df = spark.createDataFrame([(1, long), (2, None), (3, ""), (4, "short"), (4, "short")], "k int, t string").withColumn("start", F.lit("clash"))
+    got = split_text(df, "k", "t", 500, 50)
+    assert got.columns == ["k", "chunk_no", "start", "text"]
+    rows = got.filter("k = 1").orderBy("chunk_no").collect()
+    assert [(r["start"], r["start"] + len(r["text"])) for r in rows] == split_spans(long, 500, 50)
+    assert got.filter("k = 4").count() == 2 and got.filter("k IN (2, 3)").count() == 0
+    with pytest.raises(ValueError):
+        split_text(df, "k", "t", 5, 5)
+
+
 @pytest.mark.parametrize("size,overlap", [(10, 3), (5, 0), (1000, 100)])
 def test_chunks_reassemble(spark, size, overlap):
     texts = ["", "é1" * 4000, "a", "é" * 23, "0123456789", "x" * 10 + "y" * 7, "abcdefghijklmnopqrstuvwxyz" * 3]

@@ -25,13 +25,13 @@ def test_a_chat_of_65_turns_is_one_answer(spark, folder):
     assert [len(r["messages"]) for r in parts] == [64, 1]
 
 
-def test_spread_reads_no_setting(spark):
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256m")
-    try:
-        assert spread(spark.range(10), 3).rdd.getNumPartitions() == 3
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+def test_spread_has_one_rule_at_all_sizes(spark):
+    small, large = spark.range(10), spark.range(10).selectExpr("id", "repeat('x', 1000000) AS filler")
+    assert spread(small, 3).rdd.getNumPartitions() == spread(large, 3).rdd.getNumPartitions() == 3
+    # the optimizer believes this one to be far above any limit
+    huge = spark.range(1 << 40).limit(5)
+    assert spread(huge, 3).rdd.getNumPartitions() == 3
+    assert spread(small).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_small_side_is_computed_once_and_hinted_by_its_size(spark):
