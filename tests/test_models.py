@@ -257,7 +257,7 @@ def test_network_is_independent_of_partitions(spark, synth):
 
 def test_network_gradient(spark):
     """The first Adam step follows the numerical gradient's signs."""
-    from millrace.operators.network import _forward, _loss_and_delta, _Plan, _round, _unpack
+    from millrace.operators.network import _forward, _gradient, _loss_and_delta, _Plan, _unpack
 
     rng = np.random.default_rng(0)
     layers = (3, 5, 4, 1)
@@ -265,7 +265,7 @@ def test_network_gradient(spark):
     x, y = rng.normal(size=(20, 3)), rng.integers(0, 2, 20).astype(float)
     for classifier in (False, True):
         plan = _Plan(layers, classifier, (), None, 0.1, 1, 1, None, "loss", 0)
-        grad = _round(plan, (np.arange(20), np.ones(20, bool), y, x), flat, 1)[: len(flat)]
+        grad = _gradient(plan, (np.arange(20), np.ones(20, bool), y, x), flat, 1)[: len(flat)]
 
         def loss(w):
             return _loss_and_delta(_forward(x, _unpack(w, layers), None)[-1][:, 0], y, classifier)[0]
@@ -275,6 +275,32 @@ def test_network_gradient(spark):
         assert np.allclose(grad, numeric, rtol=1e-4, atol=1e-4)
 
 
+@pytest.mark.parametrize("classifier", [False, True])
+def test_shards_side_by_side_make_the_steps_each_makes_alone(classifier):
+    from millrace.operators.network import _Adam, _backward, _forward, _loss_and_delta, _mask, _Plan, _small_steps, _unpack
+
+    rng = np.random.default_rng(1)
+    layers, batch = (3, 6, 5, 1), 4
+    plan = _Plan(layers, classifier, (0.5,), batch, 0.01, 1, 1, None, "loss", 0)
+    flat = rng.normal(size=3 * 6 + 6 + 6 * 5 + 5 + 5 + 1)
+    shards = []
+    for n in (10, 0, 23, 4):
+        shards.append((rng.integers(0, 2**62, n), np.arange(n) % 5 > 0, rng.integers(0, 2, n).astype(float), rng.normal(size=(n, 3))))
+    want, rows = np.zeros(len(flat)), 0
+    for keys, train, y, x in shards:
+        own, adam = flat.copy(), _Adam(len(flat), 0.01)
+        keys, y, x = keys[train], y[train], x[train]
+        for at in range(0, len(y), batch):
+            part, params = slice(at, at + batch), _unpack(own, layers)
+            masks = [_mask(keys[part], 6, 0.5, 7 * 31), None]
+            acts = _forward(x[part], params, masks)
+            delta = _loss_and_delta(acts[-1][:, 0], y[part], classifier)[1]
+            own = adam.step(own, _backward(acts, delta, params, masks) / len(delta))
+        want, rows = want + own * len(y), rows + len(y)
+    got = _small_steps(plan, shards, flat, 7)
+    assert np.allclose(got[: len(flat)], want) and got[len(flat)] == rows and got[len(flat) + 2] == sum((~t).sum() for _, t, _, _ in shards)
+
+
 def test_network_learns(spark, synth):
     df = synth.withColumn("big", (F.col("label") > 3.5).cast("int"))
     m = fit_network(df, "record_id", FEATURES, "big", "classifier", hidden=(16, 8), dropout=(), epochs=40, learning_rate=0.05, patience=10)
