@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.hashing import hash32
 from millrace.operators.topk import best_per, latest_version, top_n
 from millrace.sources.tables import Tables
 
@@ -23,7 +24,7 @@ class RunLog:
     def __init__(self, tables: Tables, name: str = "runs"):
         self.tables, self.name = tables, name
 
-    def append(self, rows: DataFrame) -> int:
+    def append(self, rows: DataFrame) -> None:
         return self.tables.append(self.name, rows)
 
     def read(self) -> DataFrame:
@@ -51,7 +52,7 @@ class Models:
     def __init__(self, tables: Tables):
         self.tables = tables
 
-    def register(self, rows: DataFrame) -> int:
+    def register(self, rows: DataFrame) -> None:
         """Append version rows ``(name, version int, uri, run_id)``."""
         return self.tables.append("model_versions", rows)
 
@@ -61,7 +62,7 @@ class Models:
     def latest(self) -> DataFrame:
         return latest_version(self.versions())
 
-    def set_alias(self, name: str, alias: str, version: int) -> int:
+    def set_alias(self, name: str, alias: str, version: int) -> None:
         spark = self.tables.spark
         row = spark.createDataFrame([(name, alias, version)], "name string, alias string, version int")
         if not self.tables.exists("model_aliases"):
@@ -69,7 +70,7 @@ class Models:
         rest = self.tables.read("model_aliases").filter(~((F.col("name") == name) & (F.col("alias") == alias)))
         return self.tables.overwrite("model_aliases", rest.unionByName(row).coalesce(1))
 
-    def delete_alias(self, name: str, alias: str) -> int:
+    def delete_alias(self, name: str, alias: str) -> None:
         rest = self.tables.read("model_aliases").filter(~((F.col("name") == name) & (F.col("alias") == alias)))
         return self.tables.overwrite("model_aliases", rest.coalesce(1))
 
@@ -89,9 +90,18 @@ class Models:
 
 
 def dataset_digest(df: DataFrame, name: str) -> DataFrame:
-    """Name, row count, schema text and an order-free content digest of a dataset, as one row."""
+    """Name, row count, schema text and an order-free content digest of a dataset, as one row.
+
+    The digest is the sum of 32 bits of every row's md5, its columns in order as text, so that any SQL engine can repeat it.
+    """
+    row = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns])
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         # decimals cannot overflow on the sum and, unlike XOR, repeated rows do not cancel out
-        F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).cast("string").alias("digest"),
+        F.coalesce(F.sum(hash32(row, "row").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("digest"),
     ).select(F.lit(name).alias("dataset"), F.lit(df.schema.simpleString()).alias("schema"), "n_rows", "digest")
+
+
+def dataset_tags() -> Column:
+    """The ``tags`` that record a dataset with a run, over its digest row."""
+    return F.create_map(*[x for c in ("dataset", "schema", "digest") for x in (F.lit(c), F.col(c))])

@@ -14,7 +14,7 @@ from millrace.operators.groups import fit_groups, fit_groups_ols, group_run_rows
 from millrace.operators.joins import Lookup, score_lookup
 from millrace.operators.metrics import evaluate, regression_metrics
 from millrace.operators.models import LinearModel, auto_fit, fit_forest, fit_linear, fit_mean, least_correlated, vote
-from millrace.operators.runlog import Models, RunLog, dataset_digest
+from millrace.operators.runlog import Models, RunLog, dataset_digest, dataset_tags
 from millrace.operators.splits import split
 from millrace.plans.registry import query, table
 from millrace.plans.relational import LINE_PREDICTION, REGRESSION_SQL, SCORED_SQL, rounded, scored
@@ -316,9 +316,27 @@ def model_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.resolved().select("version", "alias", "uri")
 
 
-@query("dataset_digest", "SELECT 'lineitem' AS dataset, count(*) AS n_rows FROM lineitem")
+_ORDER_TEXT = "concat_ws('|', o_orderkey::varchar, o_custkey::varchar, o_orderstatus, o_orderpriority)"
+
+
+@query(
+    "dataset_digest",
+    f"""SELECT 'fit-1' AS run_id, 'orders' AS dataset, count(*) AS n_rows,
+          sum(('0x' || substr(md5({_ORDER_TEXT} || ':row'), 1, 8))::bigint)::varchar AS digest FROM orders""",
+)
 def digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dataset_digest(table(spark, sf_dir, "lineitem"), "lineitem").select("dataset", "n_rows")
+    """A run that names the dataset it was fitted on, read back from the run log."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    log = RunLog(fresh_tables(spark, "digest"))
+    log.append(
+        dataset_digest(orders, "orders").select(
+            F.lit("fit-1").alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"), F.lit("orders").alias("experiment"),
+            F.create_map().cast("map<string,string>").alias("params"), F.create_map(F.lit("n_rows"), F.col("n_rows").cast("double")).alias("metrics"),
+            dataset_tags().alias("tags"), F.current_timestamp().alias("end_time"),
+        )
+    )
+    found = log.search(map_get("tags", "dataset") == "orders")
+    return found.select("run_id", map_get("tags", "dataset").alias("dataset"), F.col("metrics")["n_rows"].cast("long").alias("n_rows"), map_get("tags", "digest").alias("digest"))
 
 
 # -- models per group ------------------------------------------------------------------------------

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.hashing import sql_bucket
+from millrace.functions.hashing import sql_bucket, sql_hash32
+from millrace.functions.udfs import chat_udf, text_udf
+from millrace.operators.aggregates import to_messages
+from millrace.operators.latent import fit_latent, idf_weights, tfidf, token_slots
 from millrace.operators.retrieval import (
     chunk,
     encode,
@@ -132,6 +138,36 @@ def tfidf_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.round(F.sqrt(square), 4).alias("length"))
 
 
+SLOTS = 1024
+_SLOTS_SQL = f"""
+  WITH t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) AS token FROM documents),
+  c AS (SELECT doc_id, {sql_hash32('token', 'slot')} % {SLOTS} AS slot, count(*) AS tf FROM t GROUP BY ALL),
+  i AS (SELECT slot, ln((SELECT count(*) + 1 FROM documents) / (count(*) + 1)::double) AS idf FROM c GROUP BY 1),
+  w AS (SELECT doc_id, tf * idf AS w FROM c JOIN i USING (slot))
+"""
+
+
+@query(
+    "tfidf_weights",
+    _SLOTS_SQL + "SELECT doc_id, count(*) AS n_slots, round(sum(w) / sqrt(sum(w * w)), 6) AS total, round(max(w) / sqrt(sum(w * w)), 6) AS most FROM w GROUP BY 1",
+)
+def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights of every document's unit-length row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = tfidf(docs, "doc_id", "text", idf_weights(docs, "text", SLOTS))
+    found = rows.groupBy("doc_id").agg(F.count("*").alias("n_slots"), F.sum("weight").alias("total"), F.max("weight").alias("most"))
+    return rounded(found, total=6, most=6)
+
+
+@query("latent_encode", r"SELECT doc_id, regexp_matches(text, '[\p{L}\p{N}]') AS placed, true AS fits FROM documents")
+def latent_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as sixteen latent numbers: at the origin exactly if they have no token, never longer than their unit row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fit_latent(docs, "text", SLOTS, rank=16).encode(docs, "text")
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    return made.select("doc_id", (length > 1e-6).alias("placed"), (length <= 1 + 1e-5).alias("fits"))
+
+
 PROMPT = "Answer from these passages alone and say so if they hold no answer.\n\n{context}\n\nQuestion: {question}\n\nAnswer:\n"
 
 
@@ -160,23 +196,43 @@ def prompt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuff_prompt(hits, "conv_id", "question", PROMPT)
 
 
-@query("batch_generate", "SELECT doc_id, regexp_extract(text, '^[^.!?]*[.!?]?') AS generated_text FROM documents")
+def longest_sentence(texts: list[str]) -> list[str]:
+    """An extractive answer: the longest stretch without a full stop, exclamation or question mark, the first of equals."""
+    return [max(re.findall(r"[^.!?]+", t), key=len, default="") for t in texts]
+
+
+def last_words(chats: list[list[dict]]) -> list[str]:
+    """How many messages each role has, and the first sentence of the last message."""
+    out = []
+    for chat in chats:
+        said = Counter(m["role"] for m in chat)
+        counts = ", ".join(f"{r}: {n}" for r, n in sorted(said.items()))
+        out.append(f"{counts}; {re.match(SENTENCE, chat[-1]['content'] or '').group(0)}")
+    return out
+
+
+@query(
+    "batch_generate",
+    """SELECT doc_id, coalesce((SELECT s FROM (SELECT unnest(regexp_extract_all(text, '[^.!?]+')) AS s,
+         generate_subscripts(regexp_extract_all(text, '[^.!?]+'), 1) AS i) ORDER BY length(s) DESC, i LIMIT 1), CASE WHEN text IS NOT NULL THEN '' END) AS generated_text
+       FROM documents""",
+)
 def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hook for a text model, with a column function in its place: the first sentence."""
-    first = lambda c: F.regexp_extract(c, SENTENCE, 0)
-    return generate(table(spark, sf_dir, "documents"), "text", first).select("doc_id", "generated_text")
+    """A batch function of texts as a column function, over every document."""
+    return generate(table(spark, sf_dir, "documents"), "text", text_udf(longest_sentence)).select("doc_id", "generated_text")
 
 
 @query(
     "batch_chat",
-    """SELECT conv_id, count(*) || ' messages, last: ' || regexp_extract(arg_max(text, turn), '^[^.!?]*[.!?]?') AS generated_text
-       FROM conversations GROUP BY 1""",
+    """WITH r AS (SELECT conv_id, turn // 64 AS segment, role, count(*) AS n FROM conversations GROUP BY ALL),
+       c AS (SELECT conv_id, segment, string_agg(role || ': ' || n, ', ' ORDER BY role) AS counts FROM r GROUP BY ALL),
+       l AS (SELECT conv_id, turn // 64 AS segment, regexp_extract(arg_max(text, turn), '^[^.!?]*[.!?]?') AS last FROM conversations GROUP BY ALL)
+       SELECT conv_id, segment, counts || '; ' || last AS generated_text FROM c JOIN l USING (conv_id, segment)""",
 )
 def batch_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per conversation of any length, from an aggregate over its turns."""
-    chats = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.max_by("text", "turn").alias("last"))
-    line = F.concat(F.col("n").cast("string"), F.lit(" messages, last: "), F.regexp_extract("last", SENTENCE, 0))
-    return chats.select("conv_id", line.alias("generated_text"))
+    """A batch function of chats as a column function, over the messages of every conversation, stored in segments of 64 turns."""
+    chats = to_messages(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", per_segment=64)
+    return chats.select("conv_id", "segment", chat_udf(last_words)("messages").alias("generated_text"))
 
 
 @query("batch_qa", "SELECT item_id AS question_id, text AS question, true AS framed FROM benchmark")
@@ -202,6 +258,50 @@ def batch_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("question_id", "question", (frame & longer).alias("framed"))
 
 
+BITS = 64
+
+
+def presence(text: Column) -> Column:
+    """Which of 64 token slots a text has, as a vector that any SQL engine can repeat."""
+    every = F.sequence(F.lit(0), F.lit(BITS - 1))
+    # the slots are bound to a name, or they would be computed for every bit
+    return F.transform(F.array(token_slots(text, BITS)), lambda s: F.transform(every, lambda i: F.array_contains(s, i).cast("float")))[0]
+
+
+def _slots_sql(text: str) -> str:
+    words = f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+    return f"list_distinct(list_transform({words}, lambda x: {sql_hash32('x', 'slot')} % {BITS}))"
+
+
+_BITS_SQL = f"list_transform(range({BITS}), lambda i: list_contains(s, i)::int::double)"
+
+
+@query(
+    "qa_passages",
+    f"""WITH c AS (SELECT 'd' || doc_id || ':' || i AS id, substring(text, (i * {SIZE - OVERLAP} + 1)::bigint, {SIZE}) AS text FROM (
+          SELECT doc_id, text, unnest(range(greatest(ceil((length(text) - {OVERLAP}) / {float(SIZE - OVERLAP)}), 1)::bigint)) AS i
+          FROM documents WHERE length(text) > 0)),
+        cs AS MATERIALIZED (SELECT id, text, {_slots_sql('text')} AS s FROM c),
+        v AS MATERIALIZED (SELECT id, text, {_BITS_SQL} AS v FROM cs),
+        qs AS MATERIALIZED (SELECT item_id, {_slots_sql('text')} AS s FROM benchmark),
+        q AS MATERIALIZED (SELECT item_id, {_BITS_SQL} AS qv FROM qs),
+        d AS (SELECT item_id, id, text, round(pow(list_distance(qv, v), 2))::int AS apart FROM q, v)
+        SELECT item_id AS question_id, row_number() OVER (PARTITION BY item_id ORDER BY apart, id)::int AS rank, id, apart, md5(text) AS passage
+        FROM d QUALIFY rank <= 2""",
+)
+def qa_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of every benchmark question: chunks, vectors, stored, searched; ids, ranks and texts."""
+    pieces = chunk(table(spark, sf_dir, "documents"), "doc_id", "text", SIZE, OVERLAP)
+    pieces = pieces.select(F.concat(F.lit("d"), "doc_id", F.lit(":"), "chunk_no").alias("id"), "text")
+    path = shared_dir(spark, "qa-passages")
+    save_vectors(encode(pieces, "text", presence), path)
+    corpus = load_vectors(spark, path)
+    asked = encode(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text"), "text", presence)
+    hits = knn(asked, corpus, 2, query_id="question_id")
+    apart = F.round(F.col("distance") * F.col("distance")).cast("int").alias("apart")
+    return corpus.select("id", "text").join(hits, "id").select("question_id", "rank", "id", apart, F.md5(F.col("text").cast("binary")).alias("passage"))
+
+
 def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a label their text explains: whether they are in English."""
     docs = table(spark, sf_dir, "documents").filter(F.col("lang").isNotNull())
