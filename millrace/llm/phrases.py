@@ -33,7 +33,7 @@ _BLANK[list(b" \t")] = True
 _APART = _BREAK | _BLANK
 _BASES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xCA5A826395121157, 0xA24BAED4963EE407))
 _KEYS = ["size", "w1", "w2", "w3", "w4"]
-_PIECE = 1 << 21
+_PIECE = 1 << 19  # bytes of text a task looks at together
 
 
 class _Words:
@@ -143,6 +143,8 @@ def _rows(size: int, cols: list[np.ndarray]) -> pa.RecordBatch | None:
     if not len(cols[0]):
         return None
     own, count = _grouped(cols)
+    if size == 2:
+        return pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in own], pa.array(count)], names=["w1", "w2", "a"])
     own += [np.zeros(len(count), np.uint64)] * (4 - size)
     arrays = [pa.array(np.full(len(count), size, np.int32)), *[pa.array(c.view(np.int64)) for c in own], pa.array(count)]
     return pa.RecordBatch.from_arrays(arrays, names=[*_KEYS, "a"])
@@ -271,13 +273,14 @@ def collocations(
         return slim.sparkSession.createDataFrame([], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")
     shared = slim.sparkSession.sparkContext.broadcast
 
-    def count(pairs: bool, *maps: np.ndarray | None) -> DataFrame:
+    def count(keys: list[str], *maps: np.ndarray | None) -> DataFrame:
         held = shared((live, *(maps or (None, None, None))))
-        found = slim.mapInArrow(lambda b: _count_phrases(b, draw, held.value[0], pairs, *held.value[1:]), "size int, w1 long, w2 long, w3 long, w4 long, a long")
-        return found.groupBy(*_KEYS).agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+        schema = ", ".join(f"{k} {'int' if k == 'size' else 'long'}" for k in [*keys, "a"])
+        found = slim.mapInArrow(lambda b: _count_phrases(b, draw, held.value[0], len(keys) == 2, *held.value[1:]), schema)
+        return found.groupBy(*keys).agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
 
     f_of = lambda w, f: often.select(F.col("id").alias(w), F.col("f").alias(f))
-    pairs = count(True).select("w1", "w2", "a").join(f_of("w2", "f2"), "w2").join(often.select(F.col("id").alias("w1"), F.col("f").alias("f1"), "lang"), "w1")
+    pairs = count(["w1", "w2"]).join(f_of("w2", "f2"), "w2").join(often.select(F.col("id").alias("w1"), F.col("f").alias("f1"), "lang"), "w1")
     pairs = staged(pairs, "pairs")
     spark = slim.sparkSession
     known = spark.createDataFrame([], "size int, w1 long, w2 long, w3 long, w4 long, a long")
@@ -298,7 +301,7 @@ def collocations(
         ]
         if all(m is None for m in maps):
             break
-        known = staged(known.unionByName(count(False, *maps)).dropDuplicates(_KEYS), "known-phrases")
+        known = staged(known.unionByName(count(_KEYS, *maps)).dropDuplicates(_KEYS), "known-phrases")
         seen = staged(seen.unionByName(visit), "visited")
         visits *= 2
     spelt = nodes.filter("exact and settled and not absorbed and score >= tau").select("lang", *_KEYS, "a", "l", "r", "score")
