@@ -7,7 +7,7 @@ yields the tokens that end at a place; the one that is compatible with the last
 own.  The ids are read off backwards from the end.  Compatibility is tested once per pair of tokens and remembered.
 
 Texts are cut where no piece can reach across (before blanks, and between letters and other characters if the vocabulary keeps
-these apart), so that short segments can be remembered too.  Both memories are bounded, emptied when full and change no result.
+these apart), so that short segments can be remembered too.  Both memories are bounded and change no result.
 Texts are encoded in Arrow batches without a shuffle; the driver reads the model file and broadcasts its tables, whose size is
 that of the file.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 #: Fixed values of the model format: the visible blank, and the kinds of pieces.
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-_CACHED, _LONGEST = 600_000, 64
+_CACHED, _PAIRS, _LONGEST = 700_000, 1_000_000, 64
 _CODECS: dict[str, Codec] = {}
 
 
@@ -83,6 +83,7 @@ class Codec(dict):
             self.ending.add_word(piece, (piece, len(piece)))
         self.ending.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.old: dict[str, bytes] = {}  # the segments before these
         self.segments = self._cuts()
 
     def _cuts(self):
@@ -118,7 +119,7 @@ class Codec(dict):
 
     def compatible(self, pair: tuple[str, str]) -> bool:
         """Test a pair of tokens and remember the answer."""
-        if len(self.pairs) >= _CACHED:
+        if len(self.pairs) >= _PAIRS:
             self.pairs.clear()
         found = self.pairs[pair] = self._merges_to(*pair)
         return found
@@ -142,12 +143,15 @@ class Codec(dict):
         return found[::-1]
 
     def __missing__(self, segment: str) -> bytes:
-        found = b"".join([
-            self.ids[t] if t in self.ids else b"".join(map(self.byte_ids.__getitem__, t.encode("utf-8", "surrogatepass")))
-            for t in self.tokens(segment)
-        ])
+        found = self.old.pop(segment, None)
+        if found is None:
+            found = b"".join([
+                self.ids[t] if t in self.ids else b"".join(map(self.byte_ids.__getitem__, t.encode("utf-8", "surrogatepass")))
+                for t in self.tokens(segment)
+            ])
         if len(segment) <= _LONGEST:
-            if len(self) >= _CACHED:
+            if len(self) >= _CACHED:  # what is met again comes back, the rest is forgotten
+                self.old = dict(self)
                 self.clear()
             self[segment] = found
         return found
