@@ -156,14 +156,17 @@ def _reach(index: VectorIndex, base: DataFrame, lists: DataFrame, asked: pa.Tabl
     spark = base.sparkSession
     trials = spark.createDataFrame(list(zip(range(asked.num_rows), asked.column("_v").to_pylist())), "query_id long, vector array<float>")
     exact = knn(trials, base.select(F.col("_id").alias("id"), F.col("_v").alias("vector")), k, index.metric)
-    at = exact.join(lists.select(F.col("_id").alias("id"), "cell"), "id").select("query_id", "cell", "distance").toPandas()  # trials x k rows
-    if not len(at):
+    found = exact.join(lists.select(F.col("_id").alias("id"), "cell"), "id").select("query_id", "cell", "distance").toArrow()  # trials x k rows
+    if not found.num_rows:
         return 1.0
+    trial, cell, distance = (found.column(c).to_numpy() for c in range(3))
     x = _matrix(asked.column("_v").combine_chunks(), index.metric)
-    gap = np.sqrt(_square_gaps(x, index.centres))[at["query_id"], at["cell"]]
-    distance = np.sqrt(2 * at["distance"]) if index.metric == "cosine" else at["distance"]
-    far = distance.groupby(at["query_id"]).transform("max").to_numpy()
-    needed = (gap - far) / np.maximum(index.radius[at["cell"]], 1e-12)
+    gap = np.sqrt(_square_gaps(x, index.centres))[trial, cell]
+    distance = np.sqrt(2 * distance) if index.metric == "cosine" else distance
+    farthest = np.zeros(asked.num_rows)
+    np.maximum.at(farthest, trial, distance)
+    far = farthest[trial]
+    needed = (gap - far) / np.maximum(index.radius[cell], 1e-12)
     return float(np.clip(np.quantile(needed, recall) + 1e-6, 0.0, 1.0))
 
 
