@@ -2,8 +2,8 @@
 
 Tasks hash each word, and each window by a polynomial over its word hashes (differences of prefix sums, modulo 2^64).  A first
 pass adds up the hashes of a chunk of documents and Spark groups and counts them.  Those found twice become a bitmap of fixed
-size.  A second pass counts the windows that meet it by two independent hashes, 128 bits together, which settles what is
-repeated; a third, with bitmaps of both hashes, sends the places of these windows, one row per window and chunk, so that a passage that a third of the
+size.  A second pass sends the windows that meet it with their places, one row per window and chunk, and two independent hashes,
+128 bits together, settle which are repeated; a passage that a third of the
 documents share stays as small as any.  Repeated windows are sorted by document and place and merge into maximal intervals of
 words, and texts meet their intervals.  No task holds more than a chunk, a document, or what Spark can spill.
 """
@@ -15,7 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bitmap, in_bitmap, scratch, staged, word_pieces
@@ -113,22 +113,14 @@ def _window_counts(batches: Iterator[pa.RecordBatch], size: int, chunk_words: in
         yield pa.RecordBatch.from_arrays([pa.array(hashes[at[:-1]].view(np.int64)), pa.array(np.diff(at).astype(np.int32))], names=["h", "n"])
 
 
-def _again(
-    batches: Iterator[pa.RecordBatch], size: int, chunk_words: int, bits: np.ndarray, places: bool, second: np.ndarray | None = None
-) -> Iterator[pa.RecordBatch]:
-    """Windows whose hash meets the bitmap (and the other hash the second), each (h, c) of a chunk once: how often, or in
-    which documents and where."""
+def _again(batches: Iterator[pa.RecordBatch], size: int, chunk_words: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Windows whose hash meets the bitmap, each (h, c) of a chunk once: in which documents and where."""
     for keys, doc, place, hashes, checks in _chunks(batches, size, chunk_words):
         hit = np.flatnonzero(in_bitmap(bits, hashes))
-        if second is not None:
-            hit = hit[in_bitmap(second, checks[hit])]
         hit = hit[np.lexsort((checks[hit], hashes[hit]))]
         h, c = hashes[hit].view(np.int64), checks[hit].view(np.int64)
         at = _runs(h, c)
         first = at[:-1]
-        if not places:
-            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(c[first]), pa.array(np.diff(at).astype(np.int32))], names=["h", "c", "n"])
-            continue
         for lo in range(0, len(first), 1 << 14):
             hi = min(lo + (1 << 14), len(first))
             some, offsets = hit[at[lo] : at[hi]], pa.array((at[lo : hi + 1] - at[lo]).astype(np.int32))
@@ -190,7 +182,7 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup_substrings(
-    rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 35, chunk_words: int = 1 << 19, bits: int = 26
+    rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 35, chunk_words: int = 1 << 19, bits: int = 28
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_text (kept words joined by one blank).
 
@@ -208,13 +200,11 @@ def dedup_substrings(
         counted = texts.mapInArrow(lambda b: _window_counts(b, size, chunk_words), "h long, n int")
         # chunks are added up before the shuffle; what arrives is counted where it arrives, and spills if it must
         often = staged(counted.repartition("h").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "repeated-hashes")
-        share = spark.sparkContext.broadcast
-        held = share((bitmap(often, bits), None))
-        again = lambda held, places, schema: texts.mapInArrow(lambda b: _again(b, size, chunk_words, held.value[0], places, held.value[1]), schema)
-        twice = again(held, False, "h long, c long, n int").groupBy("h", "c").agg(F.sum("n").alias("n")).filter("n > 1").select("h", "c")
-        twice = staged(twice, "repeated-windows")
-        held = share((bitmap(twice.select("h"), bits), bitmap(twice.select("c"), bits)))
-        met = again(held, True, "h long, c long, k1 array<long>, k2 array<long>, at array<int>").join(twice, ["h", "c"], "left_semi")
+        held = spark.sparkContext.broadcast(bitmap(often, bits))
+        places = "h long, c long, k1 array<long>, k2 array<long>, at array<int>"
+        met = texts.mapInArrow(lambda b: _again(b, size, chunk_words, held.value), places)
+        # both hashes decide, over one row per window and chunk
+        met = met.withColumn("n", F.sum(F.size("at")).over(Window.partitionBy("h", "c"))).filter("n > 1")
         met = staged(met.select("k1", "k2", "at"), "repeated-places")  # stored: its shuffle ends before the next begins
         each = met.select(F.explode(F.arrays_zip("k1", "k2", "at")).alias("x")).select("x.k1", "x.k2", "x.at")
         spans = (

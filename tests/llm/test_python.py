@@ -158,9 +158,9 @@ def test_windows_that_share_their_first_hash_are_told_apart(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(4), pa.int64()), pa.array(range(4), pa.int64()), pa.array(texts)], names=["k1", "k2", "t"])
     every = np.full(1 << 3, 255, np.uint8)
     seen = Counter()
-    for b in substrings._again(iter([batch]), 2, 5, every, False):
-        for h, c, n in zip(*(x.to_pylist() for x in b.columns)):
-            seen[h, c] += n
+    for b in substrings._again(iter([batch]), 2, 5, every):
+        for h, c, at in zip(*(b.column(x).to_pylist() for x in ("h", "c", "at"))):
+            seen[h, c] += len(at)
     assert sorted(n for n in seen.values() if n > 1) == [2, 2, 2]  # "b c", "c d" and "same same"
 
 
