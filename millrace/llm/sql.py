@@ -54,7 +54,7 @@ FROM d LEFT JOIN f ON d.doc_id = f.doc_id
 """,
     "op5_source_mixing": r"""
 WITH RECURSIVE t AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens,
-  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3) AS INTEGER) AS cell FROM documents),
+  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS digest FROM documents),
 s AS (SELECT source, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS own FROM t GROUP BY source),
 total AS (SELECT CAST(sum(own) AS BIGINT) AS n FROM s),
 p AS (SELECT source, own / CAST(n AS DOUBLE) AS share FROM s, total WHERE own > 0),
@@ -67,9 +67,9 @@ b(low, high) AS (SELECT 0, 2097152 UNION ALL
 e AS (SELECT max(low) / 2097152.0::DOUBLE AS a FROM b WHERE high - low = 1),
 w AS (SELECT source, pow(share, a) / sum(pow(share, a)) OVER () AS weight FROM p, e),
 k AS (SELECT s.source, own, coalesce(weight, 0.0) AS weight, CAST(floor(coalesce(weight, 0.0) * n + 1e-6) AS BIGINT) AS wanted,
-  CAST(least(4096, pow(2.0, ceil(log2(greatest(docs / 64.0::DOUBLE, 1.0))))) AS INTEGER) AS blocks FROM total, s LEFT JOIN w ON s.source IS NOT DISTINCT FROM w.source),
+  CAST(pow(2.0, ceil(log2(greatest(docs / 64.0::DOUBLE, 1.0)))) AS BIGINT) AS blocks FROM total, s LEFT JOIN w ON s.source IS NOT DISTINCT FROM w.source),
 q AS (SELECT *, CASE WHEN own > 0 THEN wanted // own ELSE 1 END AS passes, CASE WHEN own > 0 THEN wanted % own ELSE 0 END AS rest FROM k),
-d AS (SELECT t.*, q.* EXCLUDE (source), cell & (blocks - 1) AS block FROM t JOIN q ON t.source IS NOT DISTINCT FROM q.source),
+d AS (SELECT t.*, q.* EXCLUDE (source), digest & (blocks - 1) AS block FROM t JOIN q ON t.source IS NOT DISTINCT FROM q.source),
 z AS (SELECT source, block, passes, rest, sum(tokens) AS size FROM d GROUP BY ALL),
 o AS (SELECT source, block, passes, rest, size, row_number() OVER v AS place, sum(size) OVER (v ROWS UNBOUNDED PRECEDING) AS upto FROM z
   WINDOW v AS (PARTITION BY source ORDER BY md5('1:' || passes || ':' || coalesce(source, '') || ':' || block), block))

@@ -115,7 +115,7 @@ def test_ledger_scans_only_unseen_pairs(spark, odd, monkeypatch):
 def mixed(docs, target):
     """Plain Python for mix_counts."""
     words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-    cell = lambda i: int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:3], 16)
+    cell = lambda i: int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], 16)
     own, count = Counter(), Counter()
     for i, t, _, s in docs:
         own[s] += words(t)
@@ -163,6 +163,17 @@ def test_mixing(odd, target):
     assert rows(got) == mixed(DOCS, target)
 
 
+@pytest.mark.parametrize("least", [1, 64])
+def test_mixing_has_blocks_of_one_size_in_a_source_of_any_size(spark, monkeypatch, least):
+    """One source of most rows: as many cells as it has blocks, whatever their least number, and many blocks in a lane."""
+    monkeypatch.setattr(mixing, "CELLS", least)
+    docs = [(i, "w " * (i % 7), None, "big" if i % 10 else None) for i in range(9000)]
+    target = mixing.Target(entropy=0.3, budget=0.7, block_docs=1)
+    got = mixing.mix_counts(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"), target)
+    assert rows(got.withColumn("weight", F.round("weight", 9))) == mixed(docs, target)
+    assert got.filter("source = 'big'").agg(F.max("block")).first()[0] > 4096
+
+
 def test_mix_repeats_rows_and_keeps_all_without_a_budget(odd, none):
     target = mixing.Target(repeats=3.0, block_docs=2)
     out = mixing.mix(odd, target)
