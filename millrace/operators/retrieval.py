@@ -20,7 +20,7 @@ from millrace.operators.features import tokenize
 from millrace.session import cut_lineage, shared_dir, sized_broadcast, spread
 
 CHUNKS_PER_SPAN = 256
-TILE_CELLS = 1 << 21  # distances a task holds at once: 16 MB as doubles
+TILE_CELLS = 1 << 21  # distances a task holds at once: 8 MB as floats
 
 
 def chunk(df: DataFrame, id_: str, text: str, size: int = 1000, overlap: int = 100) -> DataFrame:
@@ -132,7 +132,34 @@ class _Rows:
         self.ids = np.empty(len(ids), object)
         self.ids[:] = [ids[i] for i in order]
         self.x = _scaled(np.array([vectors[i] for i in order], dtype=float), metric)
-        self.norms = (self.x**2).sum(axis=1)
+        norms = (self.x**2).sum(axis=1)
+        self.far = float(np.sqrt(norms.max()))
+        # single precision finds candidates where its range suffices
+        self.kind = np.float32 if self.far == 0 or 1e-15 < self.far < 1e15 else np.float64
+        self.near = np.column_stack([self.x, norms]).astype(self.kind)  # times (-2q, 1): squared distance less that of q from 0
+
+    def bound(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of all pairs that may be among a query's ``k`` nearest, from rounded products.
+
+        Rows stand in short columns, and only the least distance of each column is ranked: the k-th of them bounds the k-th
+        nearest row, so the other rows of a column are looked at only if its least distance is within the bound."""
+        n, d = self.x.shape
+        deep = max(1, min(64, n // (4 * k)))
+        wide = n // deep
+        asked = np.column_stack([-2 * queries, np.ones(len(queries))]).astype(self.kind)
+        cells = asked @ self.near.T
+        tall = cells[:, : deep * wide].reshape(len(queries), deep, wide)
+        least = np.concatenate([tall.min(axis=1), cells[:, deep * wide :]], axis=1)  # the last rows are columns of their own
+        at = min(k, least.shape[1]) - 1
+        size = np.sqrt((queries**2).sum(axis=1))
+        slack = 8 * float(np.finfo(self.kind).eps) * (d + 8) * self.far * (size + self.far)
+        limit = np.partition(least, at, axis=1)[:, at].astype(float) + slack
+        qi, column = np.nonzero(least <= limit[:, None])
+        alone = column >= wide
+        qa, ra = qi[alone], column[alone] - wide + deep * wide
+        qi, column = qi[~alone], column[~alone]
+        pair, depth = np.nonzero(tall[qi, :, column] <= limit[qi][:, None])
+        return np.r_[qi[pair], qa], np.r_[depth * wide + column[pair], ra]
 
 
 def _scaled(x: np.ndarray, metric: str) -> np.ndarray:
@@ -147,13 +174,7 @@ def _search(metric: str, k: int, id_type: pa.DataType, q_type: pa.DataType, here
 
     def measured(rows: _Rows, tile: list) -> pa.RecordBatch:
         queries = _scaled(np.array([v for _, v in tile], dtype=float), metric)
-        norms = (queries**2).sum(axis=1)
-        # products find the candidates, rounding allowed for; their distances are then taken exactly
-        approx = norms[:, None] - 2 * queries @ rows.x.T + rows.norms[None, :]
-        at = min(k, approx.shape[1]) - 1
-        edge = np.partition(approx, at, axis=1)[:, at]
-        slack = 1e-9 * (1 + np.abs(norms) + np.abs(edge))
-        qi, ri = np.nonzero(approx <= (edge + slack)[:, None])
+        qi, ri = rows.bound(queries, k)  # products find the candidates, rounding allowed for; their distances are then taken exactly
         gap = queries[qi] - rows.x[ri]
         dist = (gap * gap).sum(axis=1)
         qi, dist, ri = _top_k(qi, dist / 2 if metric == "cosine" else np.sqrt(dist), ri, k)  # rows stand by id
@@ -276,11 +297,13 @@ def knn_lsh(
     corpus_id: str = "id",
     vector: str = "vector",
     salts: int = 8,
+    group_rows: int = 1 << 16,
 ) -> DataFrame:
     """Approximate search: a query is measured against the corpus rows that share a random-projection
-    bucket with it.  Corpus rows of a bucket are dealt to ``salts`` parts and its queries copied to each,
-    so a crowded bucket is several groups.  Queries whose buckets hold fewer than ``k`` rows are answered
-    exactly by ``knn``, so every query gets k rows if the corpus has them."""
+    bucket with it.  Corpus rows of a bucket are dealt to ``salts`` parts (more if a part would get more than
+    ``group_rows``) and its queries copied to each, so a crowded bucket is several groups; a task measures the tiles of a
+    group as ``knn`` does, and k rows per query and group meet in the ranking, so no pair is a row.  Queries whose buckets
+    hold fewer than ``k`` rows are answered exactly by ``knn``, so every query gets k rows if the corpus has them."""
     lsh = BucketedRandomProjectionLSH(inputCol="_vec", outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=seed)
     with_vec = lambda df: df.withColumn("_vec", array_to_vector(F.col("_v")))
     q = with_vec(queries.select(F.col(query_id).alias("_qid"), F.col(vector).cast("array<double>").alias("_v")).filter("_v IS NOT NULL"))
@@ -288,16 +311,22 @@ def knn_lsh(
     if q.isEmpty():
         return knn(queries, corpus, k, "l2", query_id, corpus_id, vector)
     model = lsh.fit(q)
+    salts = max(salts, -(-c.count() // group_rows))
+    id_type, q_type = c.schema["_id"].dataType, q.schema["_qid"].dataType
 
     def buckets(df: DataFrame, salt) -> DataFrame:
-        places = F.transform("_hash", lambda h, i: F.struct(i.alias("table"), vector_to_array(h)[0].cast("bigint").alias("bucket")))
-        return model.transform(df).drop("_vec").withColumn("_b", F.explode(places)).select(*[x for x in df.columns if x != "_vec"], "_b", salt.alias("_salt"))
+        places = F.transform("_hash", lambda h, i: F.concat_ws(":", i, vector_to_array(h)[0].cast("bigint")))
+        placed = model.transform(df).withColumn("_b", F.explode(places)).withColumn("_salt", salt)
+        return placed.withColumn("_g", F.concat_ws(":", "_b", "_salt"))
 
     rows = buckets(c, F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
-    asked = buckets(q, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("_v", "_qv")
-    gap = F.zip_with("_qv", "_v", lambda a, b: (a - b) * (a - b))
-    met = asked.join(rows, ["_b", "_salt"]).select("_qid", "_id", F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)).alias("distance"))
-    near = cut_lineage(_ranked(met.distinct(), k, query_id, corpus_id))
+    rows = rows.select("_g", F.lit(False).alias("_asks"), "_id", F.lit(None).cast(q_type).alias("_qid"), "_v")
+    asked = buckets(q, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    asked = asked.select("_g", F.lit(True).alias("_asks"), F.lit(None).cast(id_type).alias("_id"), "_qid", "_v")
+    met = rows.unionByName(asked).repartition("_g").sortWithinPartitions("_g", "_asks")
+    found = f"_qid {q_type.simpleString()}, _id {id_type.simpleString()}, distance double"
+    hits = met.mapInArrow(_search("l2", k, to_arrow_type(id_type), to_arrow_type(q_type)), found)
+    near = cut_lineage(_ranked(hits.distinct(), k, query_id, corpus_id))
     full = near.groupBy(query_id).count().filter(F.col("count") >= k)
     rest = queries.join(full, query_id, "left_anti")
     return near.join(full.select(query_id), query_id, "left_semi").unionByName(knn(rest, corpus, k, "l2", query_id, corpus_id, vector))

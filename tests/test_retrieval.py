@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.udfs import chat_udf, text_udf
-from millrace.operators.retrieval import SEPARATORS, chunk, encode, fit_encoder, generate, knn, knn_lsh, passage_prompts, split_spans, split_text, stuff_prompt
+from millrace.operators.retrieval import SEPARATORS, _Rows, chunk, encode, fit_encoder, generate, knn, knn_lsh, passage_prompts, split_spans, split_text, stuff_prompt
 from millrace.operators.vector_index import build_index, load_index, search_index
 from millrace.sources.readers import html_text
 
@@ -69,6 +69,27 @@ def test_lsh_recall(spark, vectors):
     assert knn_lsh(queries.limit(0), corpus, 3).count() == 0
 
 
+def test_crowded_buckets_are_measured_in_groups(spark, vectors):
+    _, corpus = vectors
+    queries = corpus.filter("id % 20 = 0").withColumnRenamed("id", "query_id")
+    exact = {(r["query_id"], r["id"], r["rank"]) for r in knn(queries, corpus, 3).collect()}
+    one = knn_lsh(queries, corpus, 3, bucket_length=1e9, tables=12, salts=1, group_rows=7)  # two buckets a table
+    assert {(r["query_id"], r["id"], r["rank"]) for r in one.collect()} == exact
+
+
+@pytest.mark.parametrize("size", [1e-9, 1.0, 1e9, 1e18])
+def test_candidates_are_few_and_hold_the_nearest(size):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(5000, 12)) * size
+    x[100:140] = x[7]  # copies
+    q = np.concatenate([x[:30], rng.normal(size=(30, 12)) * size])
+    qi, ri = _Rows(list(range(len(x))), list(x), "l2").bound(q, 5)
+    found, dist = set(zip(qi.tolist(), ri.tolist())), ((q[:, None] - x[None]) ** 2).sum(axis=2)
+    for i, row in enumerate(np.sort(dist, axis=1)[:, 4]):
+        assert {(i, j) for j in np.flatnonzero(dist[i] <= row).tolist()} <= found
+    assert len(found) < 20 * len(q)
+
+
 def test_many_queries_need_no_driver_and_little_memory(spark, vectors):
     _, corpus = vectors
     asked = spark.range(100_000).select(F.col("id").alias("query_id"), F.array(*[(F.col("id") % (7 + i)).cast("double") for i in range(8)]).alias("vector"))
