@@ -255,6 +255,27 @@ def test_network_is_independent_of_partitions(spark, synth):
     assert np.allclose([h["val_loss"] for h in one.history], [h["val_loss"] for h in many.history])
 
 
+def test_network_shards_are_dealt_evenly(spark):
+    from millrace.operators.network import _dealt
+
+    dealt = _dealt(spark.range(3200).selectExpr("CAST(id % 32 AS INT) AS _shard"), 12)
+    held = dealt.groupBy(F.spark_partition_id()).agg(F.countDistinct("_shard").alias("n")).collect()
+    assert sorted(r["n"] for r in held) == [2] * 4 + [3] * 8
+
+
+def test_network_masks_drop_at_the_rate():
+    from millrace.operators.network import _mask
+
+    keys = np.arange(20_000)
+    for rate in (0.1, 0.5):
+        made = _mask(keys, 6, rate, 3)
+        assert made.shape == (20_000, 6) and np.allclose(made.max(), 1 / (1 - rate))
+        assert np.allclose((made == 0).mean(axis=0), rate, atol=0.02)
+        assert np.abs(np.corrcoef((made == 0).T) - np.eye(6)).max() < 0.05  # units of one word are independent
+    assert (_mask(keys[5:9], 6, 0.5, 3) == _mask(keys, 6, 0.5, 3)[5:9]).all()
+    assert _mask(keys, 6, 0.5, 3).dtype == np.float32
+
+
 def test_network_gradient(spark):
     """The first Adam step follows the numerical gradient's signs."""
     from millrace.operators.network import _forward, _gradient, _loss_and_delta, _Plan, _unpack
