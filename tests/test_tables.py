@@ -114,6 +114,13 @@ def test_diff_deletes_and_new_columns(spark):
     assert got == {(1, "delete"), (3, "insert")}
 
 
+def test_diff_of_repeated_keys(spark):
+    old = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (4, "d"), (4, "e")], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (1, "a"), (1, "z"), (2, "b"), (2, "b"), (3, "x"), (4, "e")], "k int, v string")
+    got = sorted((r["k"], r["v"], r["_change"]) for r in diff(old, new, ["k"]).collect())
+    assert got == [(1, "z", "insert"), (2, "b", "insert"), (3, "c", "update_preimage"), (3, "x", "update_postimage"), (4, "d", "delete")]
+
+
 def test_clone_and_ctas(spark, folder, sf_dir):
     t = Tables(spark, folder)
     t.clone(f"{sf_dir}/nation.parquet", "n")
