@@ -1,7 +1,9 @@
 """Random forests for all groups of a table at once, as packed node arrays.
 
 Growth is level by level and by histograms.  The rows are dealt to tasks by group and digest, so that a group of any size is
-spread over many of them, and packed into blocks once.  A level is one job whatever the number of groups: every block meets
+spread over many of them, and packed into blocks once.  Rows of a block with the same features pass through every tree
+together: if there are many, only their bootstrap weights and weighted labels, summed up per tree, are kept, so that a level
+costs by distinct feature rows.  A level is one job whatever the number of groups: every block meets
 its group's trees, its rows walk to the open nodes, and what they add to the bins of each node's drawn features is summed up
 by (group, node, feature, bin); the sums of a group then decide the best split of each of its open nodes.  Bootstrap weights
 and drawn features are digests of row, tree and node: another partitioning or a repeated task gives the same forests.
@@ -26,8 +28,12 @@ from millrace.session import shared_dir
 
 _NODE = "feature array<int>, threshold array<double>, left array<int>, right array<int>, value array<double>, tree array<int>, depth array<int>"
 _NAMES = ["feature", "threshold", "left", "right", "value", "tree", "depth"]
-#: Chances of 0, 1, 2, .. of a Poisson variable of mean 1, summed up: the bootstrap weights.
+#: Chances of 0, 1, 2, .. of a Poisson variable of mean 1, summed up: the bootstrap weights, looked up by 16 random bits.
 _POISSON = np.cumsum([0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040)])
+_WEIGHT = np.searchsorted(_POISSON, (np.arange(1 << 16) + 0.5) / (1 << 16), side="right").astype(np.float64)
+_BLOCK = "_g string, n long, x binary, y binary, draw binary, w binary, s binary, c binary, e binary"
+_ROOM = 8  # merged rows may take as many times the room of the rows: they save the work of every level
+_CELLS = 1 << 20  # cells between thresholds for which a forest keeps its predictions
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
@@ -65,17 +71,57 @@ def _walk(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, left: np.nd
         at = np.where(f < 0, at, np.where(low, left[at], right[at]))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by group, (_g, _draw, _y, features ..), to blocks of one group: (_g, n, x, y, draw)."""
+def _weights(draw: np.ndarray, num_trees: int, seed: int) -> np.ndarray:
+    """(rows, trees): how often each row is in each tree.  A drawn word serves four trees."""
+    words = _bits(seed + 1, draw[:, None].view(np.uint64), np.arange(-(-num_trees // 4))[None, :])
+    return _WEIGHT[words.view(np.uint16)[:, :num_trees]]
+
+
+def _merged(x: np.ndarray, y: np.ndarray, draw: np.ndarray, num_trees: int, seed: int) -> list[np.ndarray] | None:
+    """Distinct rows of x, their mean labels, sums of weights and of weighted labels per tree, counts and squared deviations;
+    None if they are more than half the rows or take more than ``_ROOM`` times their room."""
+    if not len(x) or not x.shape[1]:
+        return None
+    _, first, cell = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.itemsize * x.shape[1])))[:, 0], return_index=True, return_inverse=True)
+    n = len(first)
+    if 2 * n > len(x) or n * (2 * num_trees + x.shape[1] + 3) > _ROOM * len(x) * (x.shape[1] + 2):
+        return None
+    order = np.argsort(cell, kind="stable")
+    cell, y, draw = cell[order], y[order], draw[order]
+    count = np.bincount(cell, minlength=n).astype(float)
+    mean = np.bincount(cell, y, n) / count
+    apart = np.bincount(cell, (y - mean[cell]) ** 2, n)
+    w, s = np.zeros((n, num_trees)), np.zeros((n, num_trees))
+    for a in range(0, len(y), 4096):
+        part, here = cell[a : a + 4096], _weights(draw[a : a + 4096], num_trees, seed)
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        w[part[starts]] += np.add.reduceat(here, starts, axis=0)
+        here *= y[a : a + 4096, None]
+        s[part[starts]] += np.add.reduceat(here, starts, axis=0)
+    return [x[first], mean, w, s, count, apart]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], block_rows: int, num_trees: int, seed: int, look: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group, (_g, _draw, _y, features ..), to blocks of one group.
+
+    ``look`` rows of a group are looked at together; if merging them by equal features makes them few enough, a block has (x, y, w, s, c, e) of
+    ``_merged``, otherwise (x, y, draw) of its rows."""
     group, held, size = None, [], 0
+    names = ["x", "y", "draw", "w", "s", "c", "e"]
 
-    def block() -> pa.RecordBatch:
+    def block() -> Iterator[pa.RecordBatch]:
         cols = [np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in range(1, held[0].num_columns)]
         x = np.column_stack(cols[2:]).astype(float) if len(cols) > 2 else np.zeros((len(cols[0]), 0))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([group]), pa.array([len(x)], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in (x, cols[1].astype(float), cols[0])]],
-            names=["_g", "n", "x", "y", "draw"],
-        )
+        y, draw = cols[1].astype(float), cols[0]
+        made = _merged(x, y, draw, num_trees, seed)
+        parts = dict(zip(("x", "y", "w", "s", "c", "e"), made)) if made else {"x": x, "y": y, "draw": draw}
+        step = max(1, block_rows // num_trees) if made else block_rows
+        for a in range(0, len(parts["y"]), step):
+            some = {k: v[a : a + step] for k, v in parts.items()}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group]), pa.array([len(some["y"])], pa.int64()), *[pa.array([some[k].tobytes() if k in some else None], pa.binary()) for k in names]],
+                names=["_g", "n", *names],
+            )
 
     for batch in batches:
         if not batch.num_rows:
@@ -83,14 +129,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterator[pa.R
         keys = batch.column(0).to_pylist()
         cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
         for a, b in zip(cuts, cuts[1:]):
-            if held and (keys[a] != group or size >= block_rows):
-                yield block()
+            if held and (keys[a] != group or size >= look):
+                yield from block()
                 held, size = [], 0
             group = keys[a]
             held.append(batch.slice(a, b - a))
             size += b - a
     if held:
-        yield block()
+        yield from block()
 
 
 def _arrays(batch: pa.RecordBatch, row: int) -> list[np.ndarray]:
@@ -121,23 +167,22 @@ def _histograms(batches: Iterator[pa.RecordBatch], level: int, n_features: int,
             w, s, open_nodes, bins = cells
             if not len(open_nodes):
                 continue
-            x = np.frombuffer(batch.column("x")[i].as_buffer(), float).reshape(-1, n_features)
-            y = np.frombuffer(batch.column("y")[i].as_buffer(), float)
-            draw = np.frombuffer(batch.column("draw")[i].as_buffer(), np.int64)
+            held = {c: np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in (("x", float), ("y", float), ("draw", np.int64), ("w", float), ("s", float)) if batch.column(c)[i].is_valid}
+            x, roots = held["x"].reshape(-1, n_features), np.flatnonzero(depth == 0)
             place = np.full(len(feature), -1)
             place[open_nodes] = np.arange(len(open_nodes))
             drawn = _drawn(seed, tree[open_nodes], open_nodes, n_features, take)
-            roots = np.flatnonzero(depth == 0)
             binned = np.column_stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)])
             for a in range(0, len(x), 4096):
                 rows = slice(a, a + 4096)
-                here = place[_walk(x[rows], feature, threshold, left, right, roots)]
-                unit = (_bits(seed + 1, draw[rows, None].view(np.uint64), tree[roots][None, :]) >> np.uint64(11)) / 2**53
-                weight = np.searchsorted(_POISSON, unit.ravel(), side="right")
-                row, _ = np.divmod(np.arange(here.size), here.shape[1])
-                used = np.flatnonzero((here.ravel() >= 0) & (weight > 0))
-                node, row, weight = here.ravel()[used], row[used], weight[used].astype(float)
-                labelled = weight * y[rows][row]
+                here = place[_walk(x[rows], feature, threshold, left, right, roots)].ravel()
+                if "w" in held:
+                    weight, labelled = (held[c].reshape(-1, len(roots))[rows].ravel() for c in ("w", "s"))
+                else:
+                    weight = _weights(held["draw"][rows], len(roots), seed)
+                    weight, labelled = weight.ravel(), (weight * held["y"][rows, None]).ravel()
+                used = np.flatnonzero((here >= 0) & (weight > 0))
+                node, row, weight, labelled = here[used], used // len(roots), weight[used], labelled[used]
                 for slot in range(take):
                     cell = (node * take + slot) * bins + binned[rows][row, drawn[node, slot]]
                     w += np.bincount(cell, weight, len(w))
@@ -197,11 +242,12 @@ def _errors(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[pa.R
             feature, threshold, left, right, value, _, depth = _arrays(batch, i)
             x = np.frombuffer(batch.column("x")[i].as_buffer(), float).reshape(-1, n_features)
             y = np.frombuffer(batch.column("y")[i].as_buffer(), float)
-            error = sum(
-                float(((value[_walk(x[a : a + 4096], feature, threshold, left, right, np.flatnonzero(depth == 0))].mean(axis=1) - y[a : a + 4096]) ** 2).sum())
-                for a in range(0, len(x), 4096)
-            )
-            got.append((batch.column("_g")[i].as_py(), len(x), error))
+            made = _predicted(x, (feature, threshold, left, right, value, None, depth))
+            count, error = len(x), (made - y) ** 2
+            if batch.column("c")[i].is_valid:  # distinct rows with their mean labels
+                many, apart = (np.frombuffer(batch.column(c)[i].as_buffer(), float) for c in ("c", "e"))
+                count, error = int(many.sum()), many * error + apart
+            got.append((batch.column("_g")[i].as_py(), count, float(error.sum())))
         cols = list(zip(*got)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.float64()))], names=["_g", "n", "error"])
 
@@ -233,7 +279,7 @@ def fit_group_forests(
     own = [F.col(c) for c, t in df.dtypes if "map" not in t]
     xs = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
     slim = complete.select(_group(key), F.xxhash64(*own).alias("_draw"), F.col(label).cast("double").alias("_y"), *xs)
-    blocks = slim.repartitionByRange("_g", "_draw").sortWithinPartitions("_g").mapInArrow(lambda b: _blocks(b, block_rows), "_g string, n long, x binary, y binary, draw binary")
+    blocks = slim.repartitionByRange("_g", "_draw").sortWithinPartitions("_g").mapInArrow(lambda b: _blocks(b, block_rows, num_trees, seed), _BLOCK)
     blocks = _stored(blocks, f"{path}/blocks")
     cuts = F.array(*[F.lit(i / max_bins) for i in range(1, max_bins)])
     edges = [F.array_sort(F.array_distinct(F.percentile_approx(F.col(c).cast("double"), cuts, F.lit(10_000)))) for c in features]
@@ -286,6 +332,32 @@ def _predicted(x: np.ndarray, arrays: Sequence[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0)
 
 
+class _Scorer:
+    """A packed forest that remembers what it predicts between its thresholds.
+
+    Rows between the same thresholds of every feature end in the same leaves, so each such cell is walked once, if there are
+    at most ``_CELLS`` of them."""
+
+    def __init__(self, arrays: Sequence[np.ndarray], n_features: int):
+        self.arrays = arrays
+        self.edges = [np.unique(arrays[1][arrays[0] == j]) for j in range(n_features)]
+        self.shape = tuple(len(e) + 1 for e in self.edges)
+        self.made = None
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        if np.prod([float(n) for n in self.shape]) > _CELLS:
+            return _predicted(x, self.arrays)
+        if self.made is None:
+            self.made = np.full(int(np.prod(self.shape)), np.nan)
+        cell = np.zeros(len(x), np.int64)
+        for e, c in zip(self.edges, x.T):
+            cell = cell * (len(e) + 1) + np.searchsorted(e, c, side="left")  # NaN comes last: it goes right
+        new, first = np.unique(cell[np.isnan(self.made[cell])], return_index=True)
+        if len(new):
+            self.made[new] = _predicted(x[np.flatnonzero(np.isnan(self.made[cell]))[first]], self.arrays)
+        return self.made[cell]
+
+
 def predict_group_forests(df: DataFrame, models: DataFrame, key: str, out: str = "prediction", max_bytes: int = 64 << 20, salts: int = 64) -> DataFrame:
     """Every row scored by its own group's forest; NULL for a group without one.  NULL features go right at every split.
 
@@ -309,7 +381,7 @@ def predict_group_forests(df: DataFrame, models: DataFrame, key: str, out: str =
     size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size <= max_bytes // 4:  # compressed on disk
         table = stored.toArrow()
-        packed = {g: [np.array(table.column(n)[i].values) for n in _NAMES] for i, g in enumerate(table.column("_g").to_pylist())}
+        packed = {g: _Scorer([np.array(table.column(n)[i].values) for n in _NAMES], len(features)) for i, g in enumerate(table.column("_g").to_pylist())}
         shared = spark.sparkContext.broadcast(packed)
 
         @F.pandas_udf("double")
@@ -320,7 +392,7 @@ def predict_group_forests(df: DataFrame, models: DataFrame, key: str, out: str =
             codes, groups = pd.factorize(group)
             for n, g in enumerate(groups):
                 if g in shared.value:
-                    made[codes == n] = _predicted(x[codes == n], shared.value[g])
+                    made[codes == n] = shared.value[g].predict(x[codes == n])
             return pd.Series(made)
 
         return df.withColumn(out, score(_group(key), *[F.col(f).cast("double") for f in features]))
@@ -342,10 +414,10 @@ def predict_group_forests(df: DataFrame, models: DataFrame, key: str, out: str =
             cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
             for a, b in zip(cuts, cuts[1:]):
                 if not is_row[a]:
-                    group, model = batch.column("_g")[a].as_py(), _arrays(batch, a)
+                    group, model = batch.column("_g")[a].as_py(), _Scorer(_arrays(batch, a), len(features))
                 elif keys[a] == group:
                     x = np.array(batch.column("_x").slice(a, b - a).to_pylist(), float)
-                    made[a:b], known[a:b] = _predicted(x, model), True
+                    made[a:b], known[a:b] = model.predict(x), True
             kept = pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(made, mask=~known)], names=["_row", "_made"])
             yield kept.filter(pa.array(is_row))
 

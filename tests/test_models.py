@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.udfs import model_udf, register_model
 from millrace.operators.explain import explain, summary
 from millrace.operators.features import assemble
-from millrace.operators.forests import fit_group_forests, pack_forest, predict_group_forests
+from millrace.operators.forests import _merged, _weights, fit_group_forests, pack_forest, predict_group_forests
 from millrace.operators.groups import elastic_net, fit_groups, group_run_rows, predict_groups
 from millrace.operators.isolation import build_tree, fit_isolation_forest, mean_path, score_isolation_forest
 from millrace.operators.joins import Lookup, attach_groups, lookup, same_rows, score_lookup
@@ -130,6 +130,32 @@ def test_group_forests_do_not_depend_on_the_partitioning(spark, synth, folder):
     assert same_rows(a, b)
 
 
+def test_equal_rows_pass_through_the_trees_together():
+    rng = np.random.default_rng(5)
+    x, y, draw = rng.integers(0, 3, (4000, 2)).astype(float), rng.normal(size=4000), rng.integers(-(2**62), 2**62, 4000)
+    cells, mean, w, s, count, apart = _merged(x, y, draw, 7, 42)
+    assert len(cells) == 9 and count.sum() == 4000
+    weight = _weights(draw, 7, 42)
+    assert abs(weight.mean() - 1) < 0.02 and abs(weight.var() - 1) < 0.05
+    for i, c in enumerate(cells):
+        own = (x == c).all(axis=1)
+        assert np.allclose(w[i], weight[own].sum(axis=0)) and np.allclose(s[i], (weight[own] * y[own, None]).sum(axis=0))
+        assert np.isclose(mean[i], y[own].mean()) and np.isclose(apart[i], ((y[own] - mean[i]) ** 2).sum())
+    assert _merged(rng.normal(size=(100, 2)), y[:100], draw[:100], 7, 42) is None
+
+
+def test_merged_forests_have_the_errors_of_their_predictions(spark, folder):
+    df = spark.range(6000).selectExpr("id % 2 AS g", "CAST(id * 7 % 5 AS DOUBLE) AS a", "CAST(id * 3 % 11 AS DOUBLE) AS b").withColumn("y", F.col("a") * F.col("b") + F.pmod(F.xxhash64("a", "b", F.rand(1)), F.lit(100)) / 100)
+    df = df.localCheckpoint()
+    made = fit_group_forests(df, "g", ["a", "b"], "y", folder, num_trees=10, max_depth=4, feature_fraction=1.0)
+    blocks = spark.read.parquet(f"{folder}/blocks")
+    assert blocks.agg(F.sum("n")).first()[0] < 6000 and blocks.filter("w IS NULL").isEmpty()
+    want = predict_group_forests(df, made, "g").groupBy("g").agg(F.avg(F.pow(F.col("prediction") - F.col("y"), 2)).alias("mse"), F.var_pop("y").alias("all"), F.count("*").alias("n"))
+    got = {r["g"]: r for r in made.collect()}
+    for r in want.collect():
+        assert got[r["g"]]["mse"] == pytest.approx(r["mse"]) and got[r["g"]]["n_used"] == r["n"] and r["mse"] < 0.1 * r["all"]
+
+
 def test_as_many_jobs_for_many_groups(spark, folder):
     def jobs(groups):
         df = spark.range(1200).select((F.col("id") % groups).alias("g"), (F.col("id") * 7 % 101).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
