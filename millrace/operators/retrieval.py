@@ -6,7 +6,6 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
@@ -20,6 +19,8 @@ from millrace.operators.features import tokenize
 from millrace.session import cut_lineage, shared_dir, sized_broadcast, spread
 
 CHUNKS_PER_SPAN = 256
+PIECE_CHARS = 1 << 21  # characters of pieces a task holds at once, besides the batch it was given
+BLOCK_NUMBERS = 1 << 21  # numbers in the vectors a task holds at once: 16 MB as doubles
 TILE_CELLS = 1 << 21  # distances a task holds at once: 8 MB as floats
 
 
@@ -84,12 +85,33 @@ def split_text(df: DataFrame, id_: str, text: str, size: int = 1000, overlap: in
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
 
-    @F.pandas_udf("array<struct<start:long,text:string>>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": a, "text": t[a:b]} for a, b in split_spans(t, size, overlap, separators)] for t in texts])
+    rows = df.filter(F.length(text) > 0).select(id_, F.col(text).cast("string").alias(text))
+    schema = f"`{id_}` {rows.schema[id_].dataType.simpleString()}, chunk_no int, start long, text string"
+    return rows.mapInArrow(lambda b: _pieces(b, size, overlap, separators), schema)
 
-    made = df.filter(F.length(text) > 0).select(id_, F.posexplode(pieces(F.col(text))).alias("chunk_no", "_p"))
-    return made.select(id_, "chunk_no", F.col("_p.start").alias("start"), F.col("_p.text").alias("text"))
+
+def _pieces(batches: Iterator[pa.RecordBatch], size: int, overlap: int, separators: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, chunk_no, start, text); pieces are passed on whenever ``PIECE_CHARS`` characters of them are held."""
+    for batch in batches:
+        held, row, number, start, pieces = 0, [], [], [], []
+
+        def made() -> pa.RecordBatch:
+            cols = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(pieces, pa.string())]
+            return pa.RecordBatch.from_arrays(cols, names=[batch.schema.names[0], "chunk_no", "start", "text"])
+
+        for i, text in enumerate(batch.column(1)):
+            t = text.as_py()
+            for n, (a, b) in enumerate(split_spans(t, size, overlap, separators)):
+                row.append(i)
+                number.append(n)
+                start.append(a)
+                pieces.append(t[a:b])
+                held += b - a
+                if held >= PIECE_CHARS:
+                    yield made()
+                    held, row, number, start, pieces = 0, [], [], [], []
+        if row:
+            yield made()
 
 
 def fit_encoder(df: DataFrame, text: str, dims: int = 256) -> PipelineModel:
@@ -219,9 +241,11 @@ def _search(metric: str, k: int, id_type: pa.DataType, q_type: pa.DataType, here
 
         for batch in batches:
             flat, ends = batch.column(1).flatten().to_numpy(zero_copy_only=False), batch.column(1).offsets.to_numpy()
+            if not batch.num_rows:
+                continue
             ids += batch.column(0).to_pylist()
-            vectors += np.split(flat, (ends - ends[0])[1:-1]) if batch.num_rows else []
-            if len(ids) >= block_rows:
+            vectors += np.split(flat, (ends - ends[0])[1:-1])
+            if len(ids) >= block_rows or len(ids) * len(vectors[0]) >= BLOCK_NUMBERS:
                 yield from block()
                 ids, vectors = [], []
         if ids:
@@ -275,6 +299,7 @@ def knn(
         vectors = [np.asarray(v.values, dtype=float) for v in few.column("_v")]
         sent = spark.sparkContext.broadcast(list(zip(few.column("_qid").to_pylist(), vectors)))
         return _ranked(base.mapInArrow(_search(metric, k, *kinds, lambda: sent.value, group_rows), found), k, query_id, corpus_id)
+    group_rows = max(1, min(group_rows, 2 * BLOCK_NUMBERS // max(1, shape["d"] or 1)))
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // group_rows))
     rows = base.select(
         F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int").alias("_g"), F.lit(False).alias("_asks"), "_id", F.lit(None).cast(q_type).alias("_qid"), "_v"

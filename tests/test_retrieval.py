@@ -2,10 +2,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.udfs import chat_udf, text_udf
+from millrace.operators import retrieval
 from millrace.operators.retrieval import SEPARATORS, _Rows, chunk, encode, fit_encoder, generate, knn, knn_lsh, passage_prompts, split_spans, split_text, stuff_prompt
 from millrace.operators.vector_index import build_index, load_index, search_index
 from millrace.sources.readers import html_text
@@ -90,6 +92,28 @@ def test_candidates_are_few_and_hold_the_nearest(size):
     assert len(found) < 20 * len(q)
 
 
+def test_pieces_are_passed_on_before_a_batch_is_done(monkeypatch):
+    monkeypatch.setattr(retrieval, "PIECE_CHARS", 1000)
+    texts = ["word " * 300, "", "short", "x" * 2500]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6, 7, 8]), pa.array(texts)], names=["id", "text"])
+    made = list(retrieval._pieces(iter([batch]), 100, 10, SEPARATORS))
+    assert len(made) >= 4 and max(sum(map(len, b.column(3).to_pylist())) for b in made) < 1100
+    rows = [r for b in made for r in b.to_pylist()]
+    for id_, text in zip((5, 6, 7, 8), texts):
+        own = [(r["chunk_no"], r["start"], r["text"]) for r in rows if r["id"] == id_]
+        assert own == [(n, a, text[a:b]) for n, (a, b) in enumerate(split_spans(text, 100, 10))]
+
+
+def test_blocks_of_wide_vectors_have_fewer_rows(monkeypatch):
+    monkeypatch.setattr(retrieval, "BLOCK_NUMBERS", 64)
+    seen, rows = [], retrieval._Rows
+    monkeypatch.setattr(retrieval, "_Rows", lambda ids, *a: seen.append(len(ids)) or rows(ids, *a))
+    x = np.random.default_rng(1).normal(size=(40, 16))
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, a + 4)), pa.array(x[a : a + 4].tolist())], names=["id", "v"]) for a in range(0, 40, 4)]
+    list(retrieval._search("l2", 2, pa.int64(), pa.int64(), lambda: [(0, x[3])])(iter(batches)))
+    assert seen == [4] * 10
+
+
 def test_many_queries_need_no_driver_and_little_memory(spark, vectors):
     _, corpus = vectors
     asked = spark.range(100_000).select(F.col("id").alias("query_id"), F.array(*[(F.col("id") % (7 + i)).cast("double") for i in range(8)]).alias("vector"))
