@@ -9,7 +9,7 @@ sent to the scoring tasks.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,7 @@ from millrace.functions.udfs import apply_groups
 
 _EULER = 0.5772156649015329
 _SPARE = 1.3  # rows drawn per row needed, so that a tree's sample is complete with near certainty
+_REMEMBERED = 1 << 17  # rows whose scores a task remembers
 _FOREST_LIMIT = 64_000_000  # numbers in a forest that is still sent to every task
 
 
@@ -140,17 +141,32 @@ def fit_isolation_forest(
     return IsolationForest(tuple(features), min(sample, n), limit, forest)
 
 
+def _remembered(forest: IsolationForest, x: np.ndarray, memory: dict[bytes, float]) -> np.ndarray:
+    """Scores of the rows of ``x``; equal rows pass through the trees once while ``memory`` has room for them."""
+    wide, data = x.shape[1] * 8, np.ascontiguousarray(x).tobytes()
+    keys = [data[a : a + wide] for a in range(0, len(data), wide)]
+    new = {k: i for i, k in enumerate(keys) if k not in memory}
+    found = forest.predict(pd.DataFrame(x[list(new.values())], columns=list(forest.features))) if new else np.zeros(0)
+    here = dict(zip(new, found.tolist()))
+    made = np.array([here[k] if k in here else memory[k] for k in keys])
+    if len(memory) + len(here) <= _REMEMBERED:
+        memory.update(here)
+    return made
+
+
 def score_isolation_forest(df: DataFrame, forest: IsolationForest, out: str = "score") -> DataFrame:
     """Anomaly score in (0, 1); rows with a missing feature get NULL."""
     features = list(forest.features)
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
-    def score(x: pd.DataFrame) -> pd.Series:
-        ready = x.notna().all(axis=1)
-        made = pd.Series(np.nan, index=x.index)
-        if ready.any():
-            made[ready] = shared.value.predict(x[ready])
-        return made.astype(object).where(ready, None)
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        memory: dict[bytes, float] = {}
+        for x in batches:
+            ready = x.notna().all(axis=1)
+            made = pd.Series(np.nan, index=x.index)
+            if ready.any():
+                made[ready] = _remembered(shared.value, x.loc[ready, features].to_numpy(dtype=float), memory)
+            yield made.astype(object).where(ready, None)
 
     return df.withColumn(out, score(F.struct(*[F.col(c).cast("double").alias(c) for c in features])))

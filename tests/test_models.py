@@ -156,6 +156,23 @@ def test_merged_forests_have_the_errors_of_their_predictions(spark, folder):
         assert got[r["g"]]["mse"] == pytest.approx(r["mse"]) and got[r["g"]]["n_used"] == r["n"] and r["mse"] < 0.1 * r["all"]
 
 
+def test_equal_rows_are_scored_once(monkeypatch):
+    from millrace.operators import isolation
+
+    rng = np.random.default_rng(2)
+    forest = isolation.IsolationForest(("a", "b"), 32, 5, [])
+    asked = []
+    monkeypatch.setattr(isolation.IsolationForest, "predict", lambda self, pdf: asked.append(len(pdf)) or pdf["a"].to_numpy() * 10 + pdf["b"].to_numpy())
+    memory = {}
+    for _ in range(3):
+        x = rng.integers(0, 3, (500, 2)).astype(float)
+        assert (isolation._remembered(forest, x, memory) == x[:, 0] * 10 + x[:, 1]).all()
+    assert asked == [9]
+    monkeypatch.setattr(isolation, "_REMEMBERED", 0)
+    x = rng.normal(size=(20, 2))
+    assert np.allclose(isolation._remembered(forest, x, {}), x[:, 0] * 10 + x[:, 1])
+
+
 def test_as_many_jobs_for_many_groups(spark, folder):
     def jobs(groups):
         df = spark.range(1200).select((F.col("id") % groups).alias("g"), (F.col("id") * 7 % 101).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
