@@ -365,6 +365,23 @@ def test_shards_side_by_side_make_the_steps_each_makes_alone(classifier):
     assert np.allclose(got[: len(flat)], want) and got[len(flat)] == rows and got[len(flat) + 2] == sum((~t).sum() for _, t, _, _ in shards)
 
 
+@pytest.mark.parametrize("classifier", [False, True])
+def test_equal_validation_rows_pass_through_the_layers_once(classifier):
+    from millrace.operators.network import _forward, _loss_and_delta, _Plan, _small_steps, _stacked, _unpack
+
+    rng = np.random.default_rng(2)
+    plan = _Plan((2, 4, 1), classifier, (), 4, 0.01, 1, 1, None, "loss", 0)
+    flat, n = rng.normal(size=2 * 4 + 4 + 4 + 1), 20_000
+    keys, train, y, x = rng.integers(0, 2**62, n), np.arange(n) % 50 == 0, rng.integers(0, 2, n).astype(float), rng.integers(0, 5, (n, 2)) / 4
+    shards = [(keys, train, y, x), (keys[:0], train[:0], y[:0], x[:0])]
+    assert len(_stacked(plan, shards).held[0]) == 50
+    got = _small_steps(plan, shards, flat, 7)[-3:]
+    z = _forward(x[~train], _unpack(flat, plan.layers), None)[-1][:, 0]
+    hits = ((z > 0) == (y[~train] > 0.5)).sum() if classifier else 0
+    assert np.allclose(got, [(~train).sum(), _loss_and_delta(z, y[~train], classifier)[0], hits])
+    assert len(_small_steps(plan, [], flat, 7)) == len(flat) + 5  # a task without rows
+
+
 def test_network_learns(spark, synth):
     df = synth.withColumn("big", (F.col("label") > 3.5).cast("int"))
     m = fit_network(df, "record_id", FEATURES, "big", "classifier", hidden=(16, 8), dropout=(), epochs=40, learning_rate=0.05, patience=10)
