@@ -197,17 +197,24 @@ def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
 
 
 def _crossing(batches: Iterator[pa.RecordBatch], similarity: float, chunk: int = 1 << 18) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, sub, root, own, mixed, node, n, pos, parity) to candidates (a, b) of different roots."""
+    """Sorted (key, sub, root, own, mixed, node, n, pos, parity) to candidates (a, b) of different roots.
+
+    Pairs are made and tested a ``chunk`` at a time, so memory follows the rows of some buckets and not their pairs."""
     share = (1 - similarity) / (1 + similarity)  # of both lengths, how many shingles two sets at the limit differ in at most
-    for cols in _whole_buckets(batches, 2, 1 << 15):
+    for cols in _whole_buckets(batches, 2, 1 << 14):
         own, mixed, node, n, pos, parity = cols[3:]
         level = np.array([len(x) * 8 for x in parity])
         rows = {b: (np.flatnonzero(level == b), np.array([np.frombuffer(x, np.uint8) for x in parity[level == b]])) for b in PARITY if (level == b).any()}
-        at = np.zeros(len(level), np.int64)  # place among those with at least some cells
+        cells = {}  # of each number of bits: places among the rows with at least so many, and these rows
+        for bits in rows:
+            kept = [(i, _folded(p, bits)) for w, (i, p) in rows.items() if w >= bits]
+            at = np.zeros(len(level), np.int32)
+            at[np.concatenate([i for i, _ in kept])] = np.arange(sum(len(i) for i, _ in kept))
+            cells[bits] = at, np.concatenate([p for _, p in kept]).view(np.uint64)
         bucket, run = _bucket_numbers(cols[:2]), _bucket_numbers(cols[:3])
         after = np.searchsorted(run, run, side="right")  # pairs within a root are passed over
         many = np.searchsorted(bucket, bucket, side="right") - after
-        begin, done, pairs = np.cumsum(many) - many, 0, []
+        begin, done = np.cumsum(many) - many, 0
         while done < len(many):
             stop = max(done + 1, int(np.searchsorted(begin, begin[done] + chunk)))
             part = many[done:stop]
@@ -216,24 +223,18 @@ def _crossing(batches: Iterator[pa.RecordBatch], similarity: float, chunk: int =
             done = stop
             bound = share * (n[a] + n[b]) + 1e-6
             may = ((mixed[a] == 0) | (own[a] != own[b])) & (np.abs(n[a] - n[b]) <= bound) & (pos[a] + pos[b] <= bound)
-            pairs.append((a[may], b[may]))
-        a, b = (np.concatenate(x) for x in zip(*pairs))
-        least = np.minimum(level[a], level[b])
-        for bits in rows:
-            here = least == bits
-            if not here.any():
-                continue
-            kept = [(i, _folded(p, bits)) for w, (i, p) in rows.items() if w >= bits]
-            at[np.concatenate([i for i, _ in kept])] = np.arange(sum(len(i) for i, _ in kept))
-            cells = np.concatenate([p for _, p in kept]).view(np.uint64)
-            x, y = a[here], b[here]
-            for first in range(0, len(x), 1 << 14):
-                u, v = x[first : first + (1 << 14)], y[first : first + (1 << 14)]
-                apart = np.bitwise_count(cells[at[u]] ^ cells[at[v]]).sum(axis=1, dtype=np.int64)
-                may = apart <= share * (n[u] + n[v]) + 1e-6
-                if may.any():
-                    s, t = node[u[may]], node[v[may]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(s, t)), pa.array(np.maximum(s, t))], names=["a", "b"])
+            a, b, bound = a[may], b[may], bound[may]
+            least = np.minimum(level[a], level[b])
+            for bits, (at, held) in cells.items():
+                here = np.flatnonzero(least == bits)
+                some = (1 << 22) // bits  # pairs whose cells take half a megabyte a side
+                for first in range(0, len(here), some):
+                    h = here[first : first + some]
+                    u, v = a[h], b[h]
+                    may = np.bitwise_count(held[at[u]] ^ held[at[v]]).sum(axis=1, dtype=np.int64) <= bound[h]
+                    if may.any():
+                        s, t = node[u[may]], node[v[may]]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(s, t)), pa.array(np.maximum(s, t))], names=["a", "b"])
 
 
 def _tiled(met: DataFrame, tile: int) -> DataFrame:

@@ -3,9 +3,11 @@
 import os
 import re
 import struct
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -217,3 +219,19 @@ def test_stages_take_odd_rows(spark, odd, none, sf_dir):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.staged(stage(spark, docs, sf_dir), "odd")
         assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
+
+
+def test_pairs_of_a_large_bucket_are_not_held_together():
+    rng, many = np.random.default_rng(3), 3000
+    n = rng.integers(200, 256, many)
+    parity = [similar._parity(rng.integers(0, 2**63, int(k)).astype(np.uint64)) for k in n]
+    parity[1], n[1] = parity[0], n[0]
+    cols = [np.zeros(many, int), np.zeros(many, int), np.arange(many), np.zeros(many, np.int32), np.zeros(many, np.int32), np.arange(many), n, np.zeros(many, int)]
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(parity, pa.binary())], names="key sub root own mixed node n pos parity".split())
+    tracemalloc.start()
+    try:
+        found = [(a.as_py(), b.as_py()) for made in similar._crossing(iter([batch]), 0.8) for a, b in zip(*made.columns)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (0, 1) in found and peak < 60e6  # 4.5 million pairs
