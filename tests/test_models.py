@@ -580,3 +580,27 @@ def test_text_classifier(spark):
 
 def test_assemble(spark):
     assert assemble(spark.createDataFrame([(1.0, 2.0)], "a double, b double"), ["a", "b"]).first()["features"].toArray().tolist() == [1.0, 2.0]
+
+
+def test_search_merges_equal_rows(spark):
+    """Equal rows weigh as many in a fit, and every row counts in the metrics."""
+    from millrace.operators import models
+
+    rows = spark.range(20_000).select("id", (F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    rows = rows.withColumn("y", F.col("a") * F.col("b") + F.when(F.col("id") % 2 == 0, 1.0).otherwise(0.0))
+    merged = models._merged(rows, ["a", "b", "y"], "id", 2, 1)
+    assert merged.count() <= 140 and merged.agg(F.sum("_rows")).first()[0] == 20_000
+    every = models._each(merged).groupBy("a", "b", "y").count()
+    assert every.exceptAll(rows.groupBy("a", "b", "y").count()).isEmpty()
+    one = rows.withColumn("a", F.lit(1.0)).withColumn("b", F.lit(1.0)).withColumn("y", F.lit(1.0))  # one group: pieces of a bounded size
+    assert sorted(r["_rows"] for r in models._merged(one, ["a", "b", "y"], "id", 1, 1).collect()) == [3616.0, *[4096.0] * 4]
+    assert models._merged(rows.withColumn("a", F.col("id").cast("double")), ["a", "b", "y"], "id", 2, 1).filter("_rows = 1").count() == 20_000
+
+    got = auto_fit(rows, "id", ["a", "b"], "y", "regressor", max_trials=3)
+    whole, models._merged = models._merged, lambda df, columns, *_: df.select(*columns, F.lit(1.0).alias("_rows"))
+    try:
+        want = auto_fit(rows, "id", ["a", "b"], "y", "regressor", max_trials=3)
+    finally:
+        models._merged = whole
+    for a, b in zip(got.trials, want.trials):
+        assert abs(a["metrics"]["rmse"] - b["metrics"]["rmse"]) < (0.1 if "Forest" in a["family"] else 1e-6)
