@@ -8,11 +8,11 @@ and the driver only makes the block orthogonal.  What it sees depends on slots a
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,8 @@ from millrace.operators.features import tokens
 from millrace.session import shared_dir
 
 _BLOCK = 256  # slots per row of the sums
+_FEW = 8192  # up to so many slots, rows are multiplied as dense ones
+_CELLS = 1 << 20  # numbers of dense rows at once
 
 
 def token_slots(text: str | Column, slots: int) -> Column:
@@ -29,6 +31,18 @@ def token_slots(text: str | Column, slots: int) -> Column:
     return F.coalesce(F.transform(tokens(text), lambda t: (hash32(t, "slot") % slots).cast("int")), F.array().cast("array<int>"))
 
 
+def _token_bytes(text: str | Column) -> Column:
+    return F.coalesce(F.transform(tokens(text), lambda t: t.cast("binary")), F.array().cast("array<binary>"))
+
+
+def _slotted(batch: pa.Array, slots: int) -> pa.Array:
+    """``token_slots`` of lists of tokens: a batch's different tokens are digested once."""
+    found = batch.flatten().dictionary_encode()
+    slot = [int(hashlib.md5(t + b":slot").hexdigest()[:8], 16) % slots for t in found.dictionary.to_pylist()]
+    ends = batch.offsets.to_numpy()
+    return pa.ListArray.from_arrays(pa.array(ends - ends[0]), pa.array(np.array(slot, np.int32)[found.indices.to_numpy()]))
+
+
 def idf_weights(df: DataFrame, text: str, slots: int) -> np.ndarray:
     """ln((rows + 1) / (rows with the slot + 1)) of every slot; one row per slot reaches the driver."""
     rows = df.count()
@@ -38,15 +52,25 @@ def idf_weights(df: DataFrame, text: str, slots: int) -> np.ndarray:
     return np.log((rows + 1) / (held + 1))
 
 
-def _rows(batch: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, value) of unit-length TF-IDF rows."""
+def _counted(batch: pa.Array, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, count) of the different slots of every row."""
     ends = batch.offsets.to_numpy()
     slot = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    key, count = np.unique(np.repeat(np.arange(len(batch)), np.diff(ends)) * len(idf) + slot, return_counts=True)
-    row, slot = np.divmod(key, len(idf))
+    key, count = np.unique(np.repeat(np.arange(len(batch)), np.diff(ends)) * slots + slot, return_counts=True)
+    return *np.divmod(key, slots), count
+
+
+def _unit(row: np.ndarray, slot: np.ndarray, count: np.ndarray, idf: np.ndarray, n: int) -> np.ndarray:
+    """Values of ``n`` unit-length TF-IDF rows."""
     value = count * idf[slot]
-    norm = np.sqrt(np.bincount(row, value**2, len(batch)))
-    return row, slot, value / np.where(norm > 0, norm, 1.0)[row]
+    norm = np.sqrt(np.bincount(row, value**2, n))
+    return value / np.where(norm > 0, norm, 1.0)[row]
+
+
+def _rows(batch: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, value) of unit-length TF-IDF rows."""
+    row, slot, count = _counted(batch, len(idf))
+    return row, slot, _unit(row, slot, count, idf, len(batch))
 
 
 def tfidf(df: DataFrame, id_: str, text: str, idf: np.ndarray) -> DataFrame:
@@ -72,6 +96,21 @@ def _times(row: np.ndarray, slot: np.ndarray, value: np.ndarray, block: np.ndarr
     return out
 
 
+def _squared(row: np.ndarray, slot: np.ndarray, value: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
+    """Transpose times sparse rows times ``block``: (slots, width)."""
+    slots = len(block)
+    if slots > _FEW:
+        part, order = _times(row, slot, value, block, n), np.argsort(slot, kind="stable")
+        return _times(slot[order], row[order], value[order], part, slots)
+    total, some = np.zeros(block.shape), max(1, _CELLS // slots)
+    cuts = np.searchsorted(row, np.arange(0, n + some, some))
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        dense = np.zeros((some, slots))
+        dense[row[a:b] - i * some, slot[a:b]] = value[a:b]
+        total += dense.T @ (dense @ block)
+    return total
+
+
 @dataclass
 class LatentEncoder:
     """Documents to ``rank`` numbers: their TF-IDF row times the leading right singular vectors."""
@@ -84,13 +123,14 @@ class LatentEncoder:
         """Add ``array<float>``; a text without tokens is at the origin."""
         shared = df.sparkSession.sparkContext.broadcast((self.idf, self.vectors))
 
-        @F.pandas_udf("array<float>")
-        def project(slots: pd.Series) -> pd.Series:
+        @F.arrow_udf("array<float>")
+        def project(found: pa.Array) -> pa.Array:
             idf, vectors = shared.value
-            made = _times(*_rows(pa.array(slots.tolist(), pa.list_(pa.int32())), idf), vectors, len(slots))
-            return pd.Series(list(made.astype(np.float32)))
+            made = _times(*_rows(_slotted(found, len(idf)), idf), vectors, len(found)).astype(np.float32)
+            ends = np.arange(len(found) + 1, dtype=np.int32) * made.shape[1]
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()))
 
-        return df.withColumn(out, project(token_slots(text, len(self.idf))))
+        return df.withColumn(out, project(_token_bytes(text)))
 
 
 def fit_latent(df: DataFrame, text: str, slots: int = 4096, rank: int = 64, oversample: int = 10, iterations: int = 2, seed: int = 42) -> LatentEncoder:
@@ -98,10 +138,18 @@ def fit_latent(df: DataFrame, text: str, slots: int = 4096, rank: int = 64, over
     spark = df.sparkSession
     width = min(rank + oversample, slots)
     path = shared_dir(spark, "token-slots")
-    df.select(token_slots(text, slots).alias("s")).write.parquet(path)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, slot, count = _counted(_slotted(b.column(0), slots), slots)
+            ends = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (slot, count)]
+            yield pa.RecordBatch.from_arrays(lists, names=["s", "c"])
+
+    df.select(_token_bytes(text).alias("t")).mapInArrow(counted, "s array<int>, c array<int>").write.parquet(path)
     rows = spark.read.parquet(path)
     held = np.zeros(slots)
-    for r in rows.select(F.explode(F.array_distinct("s")).alias("s")).groupBy("s").count().collect():  # one row per slot
+    for r in rows.select(F.explode("s").alias("s")).groupBy("s").count().collect():  # one row per slot
         held[r["s"]] = r["count"]
     idf = np.log((rows.count() + 1) / (held + 1))
 
@@ -113,10 +161,9 @@ def fit_latent(df: DataFrame, text: str, slots: int = 4096, rank: int = 64, over
             idf, block = shared.value
             total = np.zeros((len(idf), block.shape[1]))
             for b in batches:
-                row, slot, value = _rows(b.column(0), idf)
-                part = _times(row, slot, value, block, b.num_rows)
-                order = np.argsort(slot, kind="stable")
-                total += _times(slot[order], row[order], value[order], part, len(idf)) if len(slot) else 0.0
+                slot, count = (c.flatten().to_numpy() for c in b.columns)
+                row = np.repeat(np.arange(b.num_rows), np.diff(b.column(0).offsets.to_numpy()))
+                total += _squared(row, slot, _unit(row, slot, count, idf, b.num_rows), block, b.num_rows)
             cuts = range(0, len(total), _BLOCK)
             yield pa.RecordBatch.from_arrays([pa.array(list(cuts), pa.int32()), pa.array([total[a : a + _BLOCK].ravel().tolist() for a in cuts])], names=["at", "sums"])
 

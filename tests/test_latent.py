@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,3 +56,29 @@ def test_documents_of_a_topic_are_near(texts):
     near = np.argsort(-(unit @ unit.T), axis=1)[:, 1]
     assert np.mean(near % 3 == np.arange(120) % 3) > 0.9
     assert fit_latent(df.filter(F.length("t") > 0), "t", SLOTS, rank=2).encode(df.limit(0), "t").count() == 0
+
+
+@pytest.mark.parametrize("slots", [64, 9000])
+def test_tokens_are_counted_once_and_passes_are_products(spark, slots, monkeypatch):
+    """Rows as dense blocks and as entries give the same squares; the passes read different slots with their counts."""
+    from millrace.operators import latent
+
+    rng = np.random.default_rng(5)
+    lists = [rng.integers(0, slots, n).tolist() for n in (0, 3, 40, 0, 200, 1, 0)]
+    batch, block, idf = pa.array(lists, pa.list_(pa.int32())), rng.normal(size=(slots, 4)), rng.random(slots) + 0.1
+    row, slot, value = latent._rows(batch, idf)
+    whole = np.zeros((len(lists), slots))
+    whole[row, slot] = value
+    monkeypatch.setattr(latent, "_CELLS", 3 * slots)
+    assert np.allclose(latent._squared(row, slot, value, block, len(lists)), whole.T @ (whole @ block))
+    assert np.allclose(latent._squared(row[:0], slot[:0], value[:0], block, 0), 0.0)
+
+
+def test_tokens_are_digested_once_per_batch(spark):
+    from millrace.operators import latent
+
+    texts = spark.createDataFrame([("Ab ab, Größe 7",), ("",), (None,), ("日本 x x",), ("ab",)], "t string").coalesce(1)
+    found = texts.select(latent._token_bytes("t").alias("b"), token_slots("t", 97).alias("s")).toArrow()
+    for at in (0, 2):  # also lists that do not begin at the first token
+        got = latent._slotted(found.column("b").combine_chunks().slice(at), 97)
+        assert got.to_pylist() == found.column("s").to_pylist()[at:]
