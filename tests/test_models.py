@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.udfs import model_udf, register_model
+from millrace.operators import models
 from millrace.operators.explain import explain, summary
 from millrace.operators.features import assemble
 from millrace.operators.forests import _merged, _weights, fit_group_forests, pack_forest, predict_group_forests
@@ -216,6 +217,24 @@ def test_group_forests_on_gaps_and_a_null_group(spark, folder, max_bytes):
     assert none.count() == 0 and predict_group_forests(df, none, "g").filter("prediction IS NULL").count() == 6
 
 
+def test_forest_is_fitted_on_lots_of_equal_rows(spark):
+    """Few different rows, many times each: the forest sees lots that weigh as many, and keeps its leaf rule."""
+    a, b = F.col("id") % 10, F.floor(F.col("id") / 10) % 3
+    df = spark.range(30_000).select(a.cast("double").alias("a"), b.cast("double").alias("b"), (10.0 * a + b).alias("y"))
+    df = df.unionByName(spark.range(7).select(F.lit(99.0).alias("a"), F.lit(1.0).alias("b"), F.lit(0.0).alias("y")))
+    model = fit_forest(df, ["a", "b"], "y", 5, 10, min_leaf_fraction=0.05)
+    forest = model.stages[-1]
+    assert forest.isSet("weightCol") and forest.getOrDefault("minWeightFractionPerNode") == 0.05
+    lots, n = models._in_lots(df, ["a", "b", "y"])
+    per = lots.groupBy("a", "b", "y").agg(F.sum("_rows").alias("all"), F.count("*").alias("lots"), (F.max("_rows") - F.min("_rows")).alias("gap"))
+    assert n == 30_007 and per.filter("gap > 1").isEmpty()
+    assert sorted((r["all"], r["lots"]) for r in per.collect()) == [(7.0, 7)] + [(1000.0, 64)] * 30
+    error, spread_ = model.transform(df.filter("a < 99")).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("y"), 2))), F.stddev_pop("y")).first()
+    assert error < 0.5 * spread_
+    none, n = models._in_lots(spark.range(1000).select(F.col("id").alias("x")), ["x"])
+    assert none is None and n == 1000
+
+
 def test_forest_beats_mean_and_reloads(spark, synth, folder):
     model = fit_forest(synth, FEATURES, "label", 3, 20, min_leaf_fraction=0.1, feature_fraction=0.5)
     forest = model.stages[-1]
