@@ -160,21 +160,33 @@ class _Rows:
         self.kind = np.float32 if self.far == 0 or 1e-15 < self.far < 1e15 else np.float64
         self.near = np.column_stack([self.x, norms]).astype(self.kind)  # times (-2q, 1): squared distance less that of q from 0
 
+    def _products(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Squared distances less those of the queries from 0, rounded; the queries' lengths, and by how much rounding may be off."""
+        size = np.sqrt((queries**2).sum(axis=1))
+        kind, near = self.kind, self.near
+        if size.max(initial=0.0) >= 1e15 and kind == np.float32:
+            kind, near = np.float64, np.column_stack([self.x, (self.x**2).sum(axis=1)])
+        cells = np.column_stack([-2 * queries, np.ones(len(queries))]).astype(kind) @ near.T
+        return cells, size, 8 * float(np.finfo(kind).eps) * (self.x.shape[1] + 8) * self.far * (size + self.far)
+
+    def within(self, queries: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of all pairs that may be at most ``most`` of the query apart, from rounded products."""
+        cells, size, slack = self._products(queries)
+        limit = (most - size) * (most + size) + slack + 1e-14 * (most**2 + size**2)
+        return np.nonzero(cells <= np.nextafter(limit.astype(cells.dtype), cells.dtype.type(np.inf))[:, None])
+
     def bound(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, row) of all pairs that may be among a query's ``k`` nearest, from rounded products.
 
         Rows stand in short columns, and only the least distance of each column is ranked: the k-th of them bounds the k-th
         nearest row, so the other rows of a column are looked at only if its least distance is within the bound."""
-        n, d = self.x.shape
+        n = len(self.x)
         deep = max(1, min(64, n // (4 * k)))
         wide = n // deep
-        asked = np.column_stack([-2 * queries, np.ones(len(queries))]).astype(self.kind)
-        cells = asked @ self.near.T
+        cells, _, slack = self._products(queries)
         tall = cells[:, : deep * wide].reshape(len(queries), deep, wide)
         least = np.concatenate([tall.min(axis=1), cells[:, deep * wide :]], axis=1)  # the last rows are columns of their own
         at = min(k, least.shape[1]) - 1
-        size = np.sqrt((queries**2).sum(axis=1))
-        slack = 8 * float(np.finfo(self.kind).eps) * (d + 8) * self.far * (size + self.far)
         limit = np.partition(least, at, axis=1)[:, at].astype(float) + slack
         qi, column = np.nonzero(least <= limit[:, None])
         alone = column >= wide
@@ -184,6 +196,15 @@ class _Rows:
         return np.r_[qi[pair], qa], np.r_[depth * wide + column[pair], ra]
 
 
+def _square_gap(a: np.ndarray, b: np.ndarray, ai: np.ndarray, bi: np.ndarray) -> np.ndarray:
+    """Squared distances of rows ``ai`` of ``a`` from rows ``bi`` of ``b``, some pairs at a time."""
+    out, step = np.empty(len(ai)), max(1, BLOCK_NUMBERS // max(1, a.shape[1]))
+    for at in range(0, len(ai), step):
+        gap = a[ai[at : at + step]] - b[bi[at : at + step]]
+        out[at : at + step] = (gap * gap).sum(axis=1)
+    return out
+
+
 def _scaled(x: np.ndarray, metric: str) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
 
@@ -197,8 +218,7 @@ def _search(metric: str, k: int, id_type: pa.DataType, q_type: pa.DataType, here
     def measured(rows: _Rows, tile: list) -> pa.RecordBatch:
         queries = _scaled(np.array([v for _, v in tile], dtype=float), metric)
         qi, ri = rows.bound(queries, k)  # products find the candidates, rounding allowed for; their distances are then taken exactly
-        gap = queries[qi] - rows.x[ri]
-        dist = (gap * gap).sum(axis=1)
+        dist = _square_gap(queries, rows.x, qi, ri)
         qi, dist, ri = _top_k(qi, dist / 2 if metric == "cosine" else np.sqrt(dist), ri, k)  # rows stand by id
         return pa.RecordBatch.from_arrays(
             [pa.array([tile[i][0] for i in qi], q_type), pa.array(list(rows.ids[ri]), id_type), pa.array(dist)],

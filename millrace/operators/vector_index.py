@@ -1,15 +1,16 @@
 """Approximate nearest neighbours from stored inverted lists, with a recall that is kept.
 
 Cells come from k-means over a bounded sample of the rows; every row is assigned to its nearest cell and stored there with its
-vector, a product-quantised code of its residual and the code's error.  A query reads the lists of its nearest cells; distance
-tables give every code an approximate distance, and all rows that may be among the k best, the codes' errors allowed for, are
-measured exactly, so codes lose nothing.  Then each query goes on to every further cell whose nearest possible member, by the
+vector, a product-quantised code of its residual and the code's error.  Queries meet the lists of their nearest cells in tiles:
+matrix products with what the codes stand for, or with the vectors where codes exclude little, leave the rows that may be among the
+k best, errors and rounding allowed for; these are measured exactly, so nothing is lost.  Then each query goes on to every further cell whose nearest possible member, by the
 cell's distance less ``reach`` times its radius, is closer than the k-th row found.  With a reach of 1 that is an exact search;
 building the index measures on sample queries which reach is needed for the recall wanted.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +21,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.operators.retrieval import _ranked, _scaled, _top_k, knn
-from millrace.session import cut_lineage
+from millrace.operators.retrieval import BLOCK_NUMBERS, TILE_CELLS, _ranked, _Rows, _scaled, _square_gap, _top_k, knn
+from millrace.session import cut_lineage, spread
+
+TASK_ROWS = 1 << 12  # rows of the lists a task meets, about, once there are more than the session's shuffle partitions take
+TRIED, LEFT = 64, 8  # a part's codes are used if they leave at most one in LEFT pairs of its first TRIED queries
 
 
 def _means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -138,7 +142,8 @@ def build_index(
             cols = [pa.array(own.astype(np.int32)), b.column(0), pa.array(gap), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(np.sqrt(square)), b.column(1)]
             yield pa.RecordBatch.from_arrays(cols, names=["cell", "_id", "gap", "code", "error", "_v"])
 
-    made = base.mapInArrow(assign, f"cell int, _id {id_type.simpleString()}, gap double, code binary, error double, _v array<float>")
+    # a file of few row groups would be few tasks
+    made = spread(base).mapInArrow(assign, f"cell int, _id {id_type.simpleString()}, gap double, code binary, error double, _v array<float>")
     # sorted by cell, so that a few queries read a few row groups; a crowded cell is several parts
     made.repartitionByRange("cell", F.xxhash64("_id")).sortWithinPartitions("cell").write.parquet(f"{path}/lists")
     lists = spark.read.parquet(f"{path}/lists")
@@ -170,66 +175,106 @@ def _reach(index: VectorIndex, base: DataFrame, lists: DataFrame, asked: pa.Tabl
     return float(np.clip(np.quantile(needed, recall) + 1e-6, 0.0, 1.0))
 
 
+class _Part:
+    """The rows of one cell's part: their vectors and what their codes stand for."""
+
+    def __init__(self, index: VectorIndex, cell: int, ids: list, held: list[pa.RecordBatch]):
+        vectors = np.concatenate([_matrix(p.column(7), "l2") for p in held])
+        self.rows = _Rows(ids, list(vectors), index.metric)
+        self.index, self.cell, self.held, self.order = index, cell, held, sorted(range(len(ids)), key=ids.__getitem__)
+        self.coded, self.tried = None, False
+
+    def _by_codes(self, queries: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that the codes, their errors allowed for, leave within ``most``; rounding allowed for, too."""
+        if self.coded is None:
+            codes = np.concatenate([np.array([np.frombuffer(c, np.uint8) for c in p.column(5).to_pylist()]) for p in self.held])[self.order]
+            books = self.index.books
+            rest = books[np.arange(len(books)), codes].reshape(len(codes), -1)[:, : queries.shape[1]]
+            self.coded = self.index.centres[self.cell] + rest
+            self.errors = np.concatenate([p.column(6).to_numpy() for p in self.held])[self.order]
+        slack = 1e-6 * (np.sqrt((queries**2).sum(axis=1)) + self.rows.far)
+        return np.nonzero(np.sqrt(_square_gaps(queries, self.coded)) - self.errors <= (most + slack)[:, None])
+
+    def pairs(self, queries: np.ndarray, most: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of all pairs that may be among the query's ``k`` nearest here and within ``most``, if that is finite.
+
+        The codes decide while they leave few pairs of the part's first queries; where they exclude little, products with the
+        vectors exclude more in the same time."""
+        known = np.flatnonzero(np.isfinite(most))
+        if len(known) < len(queries):
+            open_ = np.flatnonzero(~np.isfinite(most))
+            qi, ri = self.rows.bound(queries[open_], k)
+            if not len(known):
+                return open_[qi], ri
+            more, there = self.pairs(queries[known], most[known], k)
+            return np.r_[open_[qi], known[more]], np.r_[ri, there]
+        most = most * (1 + 1e-9) + 1e-9
+        if not self.tried:
+            left = len(self._by_codes(queries[:TRIED], most[:TRIED])[0])
+            self.tried, self.useful = True, left * LEFT <= len(queries[:TRIED]) * len(self.errors)
+        return self._by_codes(queries, most) if self.useful else self.rows.within(queries, most)
+
+
 def _measure(index: VectorIndex, k: int, id_type: pa.DataType, q_type: pa.DataType):
-    """Sorted (cell, salt, asks, _id, code, error, _v, _qid, bound): a cell's part, then its queries, to their k best there."""
+    """Sorted (task, cell, salt, asks, _id, code, error, _v, _qid, bound): a cell's part, then its queries, to their k best there.
+
+    Queries are measured tile by tile; the pairs that may count are then measured exactly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, ids, held, x, codes, errors = None, [], [], None, None, None
+        place, ids, held, here = None, [], [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cell, salt, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cell, salt, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
             new = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (salt[1:] != salt[:-1]) | (asks[1:] != asks[:-1])])
             for a, b in zip(new.tolist(), [*new[1:].tolist(), batch.num_rows]):
                 part = batch.slice(a, b - a)
                 if (cell[a], salt[a]) != place:
-                    place, ids, held, x = (cell[a], salt[a]), [], [], None
+                    place, ids, held, here = (cell[a], salt[a]), [], [], None
                 if not asks[a]:
-                    ids += part.column(3).to_pylist()
+                    ids += part.column(4).to_pylist()
                     held.append(part)
                     continue
                 if not held:
                     continue
-                if x is None:
-                    order = sorted(range(len(ids)), key=ids.__getitem__)
-                    names = np.empty(len(ids), object)
-                    names[:] = [ids[i] for i in order]
-                    x = np.concatenate([_matrix(p.column(6), index.metric) for p in held])[order]
-                    codes = np.concatenate([np.array([np.frombuffer(c, np.uint8) for c in p.column(4).to_pylist()]) for p in held])[order]
-                    errors = np.concatenate([p.column(5).to_numpy() for p in held])[order]
-                    centre, width = index.centres[place[0]], index.books.shape[2]
-                queries = _matrix(part.column(6), index.metric)
-                bounds = part.column(8).to_numpy(zero_copy_only=False).astype(float)
-                bounds[np.isnan(bounds)] = np.inf
-                got = []
-                for n, q in enumerate(queries):
-                    rest = np.pad(q - centre, (0, index.books.shape[0] * width - len(q))).reshape(-1, 1, width)
-                    table = ((rest - index.books) ** 2).sum(axis=2)
-                    about = np.sqrt(table[np.arange(len(table))[:, None], codes.T].sum(axis=0))
-                    limit = bounds[n]
-                    if len(about) > k:
-                        first = np.argpartition(about, k - 1)[:k]
-                        limit = min(limit, float(np.sqrt(((x[first] - q) ** 2).sum(axis=1)).max()))
-                    near = np.flatnonzero(about - errors <= limit * (1 + 1e-9) + 1e-9)
-                    d = np.sqrt(((x[near] - q) ** 2).sum(axis=1))
-                    _, d, near = _top_k(np.zeros(len(near), np.int64), d, near, k)  # rows stand by id
-                    got.append((n, near, d))
-                many = [len(g[1]) for g in got]
-                asked = np.repeat([g[0] for g in got], many)
-                near, d = (np.concatenate([g[i] for g in got]) for i in (1, 2))
-                qids = part.column(7).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([qids[i] for i in asked], q_type), pa.array(list(names[near]), id_type), pa.array(d)], names=["_qid", "_id", "distance"])
+                if here is None:
+                    here = _Part(index, place[0], ids, held)
+                step = max(1, TILE_CELLS // len(ids))
+                for at in range(0, part.num_rows, step):
+                    tile = part.slice(at, step)
+                    queries = _matrix(tile.column(7), index.metric)
+                    most = tile.column(9).to_numpy(zero_copy_only=False).astype(float)
+                    most[np.isnan(most)] = np.inf
+                    qi, ri = here.pairs(queries, most, k)
+                    qi, d, ri = _top_k(qi, np.sqrt(_square_gap(queries, here.rows.x, qi, ri)), ri, k)  # rows stand by id
+                    yield pa.RecordBatch.from_arrays([tile.column(8).take(pa.array(qi)), pa.array(list(here.rows.ids[ri]), id_type), pa.array(d)], names=["_qid", "_id", "distance"])
 
     return run
 
 
+def _dealt(rows: np.ndarray, part_rows: int, tasks: int) -> list[list[int]]:
+    """The task of every part of every cell: a cell's rows are in parts of about ``part_rows``, and the tasks get about the same
+    number of rows, the largest parts first."""
+    dealt = [[0] * max(1, -(-int(n) // part_rows)) for n in rows]
+    parts = [(int(rows[cell]) / len(salts), cell, salt) for cell, salts in enumerate(dealt) for salt in range(len(salts))]
+    loads = [(0.0, task) for task in range(min(tasks, len(parts)))]
+    for n, cell, salt in sorted(parts, reverse=True):
+        load, dealt[cell][salt] = loads[0]
+        heapq.heapreplace(loads, (load + n, dealt[cell][salt]))
+    return dealt
+
+
 def _probe(index: VectorIndex, asked: DataFrame, lists: DataFrame, k: int, part_rows: int) -> DataFrame:
     """``asked`` (_qid, _v, bound, cell) against the lists of their cells: (_qid, _id, distance)."""
+    spark = lists.sparkSession
     id_type, q_type = lists.schema["_id"].dataType, asked.schema["_qid"].dataType
-    salts = F.array(*[F.lit(max(1, -(-int(n) // part_rows))) for n in index.rows])[F.col("cell")]
+    dealt = _dealt(index.rows, part_rows, max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(index.rows.sum()) // TASK_ROWS))
+    tasks = F.broadcast(spark.createDataFrame(list(enumerate(dealt)), "cell int, tasks array<int>"))  # a row per cell
     null = lambda kind: F.lit(None).cast(kind)
-    rows = lists.select("cell", F.pmod(F.xxhash64("_id"), salts).cast("int").alias("salt"), F.lit(False).alias("asks"), "_id", "code", "error", "_v", null(q_type).alias("_qid"), null("double").alias("bound"))
-    sent = asked.select("cell", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(True).alias("asks"), null(id_type).alias("_id"), null("binary").alias("code"), null("double").alias("error"), "_v", "_qid", "bound")
-    met = rows.unionByName(sent).repartition("cell", "salt").sortWithinPartitions("cell", "salt", "asks")
+    rows = lists.join(tasks, "cell").withColumn("salt", F.pmod(F.xxhash64("_id"), F.size("tasks")).cast("int"))
+    rows = rows.select(F.col("tasks")[F.col("salt")].alias("task"), "cell", "salt", F.lit(False).alias("asks"), "_id", "code", "error", "_v", null(q_type).alias("_qid"), null("double").alias("bound"))
+    sent = asked.join(tasks, "cell").select("*", F.posexplode("tasks").alias("salt", "task"))
+    sent = sent.select("task", "cell", "salt", F.lit(True).alias("asks"), null(id_type).alias("_id"), null("binary").alias("code"), null("double").alias("error"), "_v", "_qid", "bound")
+    met = rows.unionByName(sent).repartitionById(1 + max(map(max, dealt)), F.col("task")).sortWithinPartitions("cell", "salt", "asks")
     return met.mapInArrow(_measure(index, k, to_arrow_type(id_type), to_arrow_type(q_type)), f"_qid {q_type.simpleString()}, _id {id_type.simpleString()}, distance double")
 
 
@@ -247,9 +292,9 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int, query_id: str =
     probes = min(probes, len(index.centres))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        width, parts = index.centres.shape[::-1]
+        step = max(1, BLOCK_NUMBERS // (width * parts))  # a query's vector goes to many cells
+        for b in (b.slice(at, step) for b in batches for at in range(0, b.num_rows, step)):
             gaps = np.sqrt(_square_gaps(_matrix(b.column(1), index.metric), index.centres))
             first = np.zeros(gaps.shape, bool)
             first[np.arange(len(gaps))[:, None], np.argsort(gaps, axis=1, kind="stable")[:, :probes]] = True
@@ -262,10 +307,10 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int, query_id: str =
                 bound = b.column(2).take(pa.array(q))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(q)), b.column(1).take(pa.array(q)), bound, pa.array(c.astype(np.int32))], names=["_qid", "_v", "bound", "cell"])
 
-    near = cut_lineage(_probe(index, asked.mapInArrow(cells, schema), lists, k, part_rows))
+    near = cut_lineage(_probe(index, spread(asked).mapInArrow(cells, schema), lists, k, part_rows))
     order = F.row_number().over(Window.partitionBy("_qid").orderBy("distance", "_id"))
     held = near.withColumn("n", order).filter(F.col("n") == k).select(F.col("_qid").alias("_held"), F.col("distance").alias("bound"))
-    again = asked.join(held, F.col("_qid") == F.col("_held"), "left").select("_qid", "_v", "bound").mapInArrow(cells, schema)
+    again = spread(asked.join(held, F.col("_qid") == F.col("_held"), "left").select("_qid", "_v", "bound")).mapInArrow(cells, schema)
     found = near.unionByName(_probe(index, again, lists, k, part_rows))
     if index.metric == "cosine":
         found = found.withColumn("distance", F.col("distance") * F.col("distance") / 2)

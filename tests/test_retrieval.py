@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.udfs import chat_udf, text_udf
-from millrace.operators import retrieval
+from millrace.operators import retrieval, vector_index
 from millrace.operators.retrieval import SEPARATORS, _Rows, chunk, encode, fit_encoder, generate, knn, knn_lsh, passage_prompts, split_spans, split_text, stuff_prompt
 from millrace.operators.vector_index import build_index, load_index, search_index
 from millrace.sources.readers import html_text
@@ -159,6 +159,42 @@ def test_index_with_full_reach_is_exact(spark, clustered, folder):
     assert {q: [f[i] for i in range(1, 6)] for q, f in found.items()} == {q: [i for i, _ in brute(x, x[q], 5, "l2")] for q in range(0, 3000, 100)}
 
 
+@pytest.mark.parametrize("tight", [True, False])
+def test_tiles_of_a_cell_lose_no_pair(tight):
+    """Queries meet a cell in tiles: by its codes where these exclude most rows, otherwise by products with the vectors."""
+    rng = np.random.default_rng(5)
+    spots = rng.normal(size=(40, 6))
+    x = (spots[rng.integers(0, 40, 900)] + 0.01 * rng.normal(size=(900, 6)) if tight else rng.normal(size=(900, 6))).astype(np.float32).astype(float)
+    centre, books = np.zeros((1, 6)), spots.reshape(40, 2, 3).transpose(1, 0, 2)[:, : 40 if tight else 2]
+    code = np.array([vector_index._nearest(x[:, 3 * p : 3 * p + 3], books[p])[0] for p in (0, 1)]).T.astype(np.uint8)
+    error = np.sqrt(((books[np.arange(2), code].reshape(900, 6) - x) ** 2).sum(axis=1))
+    index = vector_index.VectorIndex("", "l2", centre, np.array([9.0]), np.array([900]), books, 1.0, "id", "v")
+    ids = rng.permutation(900).tolist()
+    none = pa.nulls(900)
+    held = pa.RecordBatch.from_arrays([none, none, none, none, pa.array(ids), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(error), pa.array(x.tolist(), pa.list_(pa.float32()))], names=list("abcdefgh"))
+    part = vector_index._Part(index, 0, ids, [held])
+    queries = np.r_[x[:300], x[:1] + 1e20]
+    gaps = np.sqrt(((queries[:, None] - part.rows.x[None]) ** 2).sum(axis=2))
+    most = np.sort(gaps, axis=1)[:, 3]
+    qi, ri = part.pairs(queries, most, 4)
+    assert part.useful == tight and len(qi) < 0.2 * gaps.size
+    assert set(zip(*np.nonzero(gaps <= most[:, None]))) <= set(zip(qi, ri))
+    most[:300:3] = np.inf  # nothing is known of these yet: their four nearest
+    qi, ri = part.pairs(queries, most, 4)
+    assert set(zip(*np.nonzero(gaps <= np.sort(gaps, axis=1)[:, 3:4]))) <= set(zip(qi, ri))
+
+
+def test_parts_of_cells_are_dealt_evenly():
+    rows = np.array([5000, 0, 3, 900, 950, 1000, 1020, 10, 980, 990, 1, 1010])
+    dealt = vector_index._dealt(rows, 1000, 4)
+    assert [len(d) for d in dealt] == [5, 1, 1, 1, 1, 1, 2, 1, 1, 1, 1, 2]
+    loads = np.zeros(4)
+    for n, tasks in zip(rows, dealt):
+        np.add.at(loads, tasks, n / len(tasks))
+    assert loads.max() < 1.1 * loads.mean()
+    assert vector_index._dealt(np.array([7]), 1000, 24) == [[0]]
+
+
 def test_index_of_few_rows_and_gaps(spark, folder):
     rows = [(1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, None), (4, [5.0, 5.0])]
     corpus = spark.createDataFrame(rows, "id int, vector array<float>")
