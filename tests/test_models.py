@@ -15,7 +15,7 @@ from millrace.operators.isolation import build_tree, fit_isolation_forest, mean_
 from millrace.operators.joins import Lookup, attach_groups, lookup, same_rows, score_lookup
 from millrace.operators.metrics import classification_metrics, regression_metrics
 from millrace.operators.models import (
-    LinearModel, auto_fit, fit_forest, fit_linear, fit_mean, least_correlated, load_model, save_model, vote,
+    LinearModel, auto_fit, fit_forest, fit_linear, fit_mean, in_pandas, least_correlated, load_model, save_model, vote,
 )
 from millrace.operators.network import fit_network
 from millrace.operators.quality import expect
@@ -484,6 +484,33 @@ def test_searched_model_keeps_rows_with_gaps(spark, synth):
     assert scored.count() == gaps.count() and scored.filter("prediction IS NULL OR isnan(prediction)").count() == 0
 
 
+def test_searched_models_predict_the_same_in_pandas(spark, synth):
+    gaps = synth.withColumn(FEATURES[0], F.when(F.col("record_id") % 5 != 0, F.col(FEATURES[0])))
+    found = auto_fit(gaps, "record_id", FEATURES, "label", "regressor")
+    pdf = gaps.select(*FEATURES).toPandas()
+    for model in found.models.values():
+        want = [r[0] for r in model.transform(gaps).select("prediction").collect()]
+        assert np.allclose(in_pandas(model).predict(pdf), want, atol=1e-9)
+
+
+@pytest.mark.parametrize("accepted", [True, False])
+def test_gate_workflow_scores_with_the_model_behind_the_alias(spark, folder, monkeypatch, accepted):
+    from millrace.plans import workflows
+
+    # the language decides, the length tells nothing: a line on the length scores all rows near their mean
+    docs = spark.range(600).selectExpr("id AS doc_id", "'x' AS text", "IF(hash(id) % 2 = 0, 'en', 'de') AS lang", "'s' AS source", "pmod(xxhash64(id), 90) AS n_chars")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    docs.selectExpr("doc_id", "CAST(lang = 'en' AS int) AS quality", "0 AS toxic").write.parquet(f"{folder}/labels.parquet")
+    if not accepted:
+        gate = workflows.gate
+        monkeypatch.setattr(workflows, "gate", lambda *a: gate(*a).withColumn("accepted", F.lit(False)))
+    made = workflows.gate_workflow(spark, folder)
+    assert [tuple(r) for r in made.select("gated", "scored").distinct().collect()] == [(True, True)] and made.count() == 600
+    scores = spark.sql("SELECT quality_model(struct(*)) AS p, lang FROM quality_features JOIN (SELECT doc_id AS id, lang FROM raw_labelled) ON doc_id = id")
+    means = {r["lang"]: r["p"] for r in scores.groupBy("lang").agg(F.avg("p").alias("p")).collect()}
+    assert (means["en"] > 0.9 and means["de"] < 0.1) if accepted else means["en"] == pytest.approx(means["de"])
+
+
 def test_early_stopping_restores_best(spark, synth):
     m = fit_network(synth, "record_id", FEATURES, "label", hidden=(4,), dropout=(), epochs=30, learning_rate=2.0, patience=2)
     losses = [h["val_loss"] for h in m.history]
