@@ -401,6 +401,68 @@ def test_equal_validation_rows_pass_through_the_layers_once(classifier):
     assert len(_small_steps(plan, [], flat, 7)) == len(flat) + 5  # a task without rows
 
 
+def _packed_batches(shards, batch, rows=1000):
+    """Batches as a task gets them, of shards (keys, train, y, x)."""
+    import pyarrow as pa
+
+    from millrace.operators.network import _packed
+
+    def sorted_rows():
+        for n, (keys, train, y, x) in enumerate(shards):
+            for side in (False, True):
+                own = np.flatnonzero(train == side)
+                own = own[np.argsort(keys[own]) if side else np.lexsort((*x[own].T[::-1], y[own]))]
+                for at in range(0, len(own), rows):
+                    r = own[at : at + rows]
+                    columns = [np.zeros(len(r), np.int32), np.full(len(r), n, np.int32), np.full(len(r), side), keys[r], y[r], *x[r].T]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[str(i) for i in range(len(columns))])
+
+    return _packed(shards[0][3].shape[1], batch)(sorted_rows())
+
+
+@pytest.mark.parametrize("batch", [4, None])
+def test_rows_in_a_file_make_the_same_round(batch):
+    import tempfile
+
+    from millrace.operators.network import _Plan, _gradient, _round, _small_steps, _stacks
+
+    rng = np.random.default_rng(3)
+    plan = _Plan((2, 6, 5, 1), True, (0.5,), batch, 0.01, 1, 1, None, "loss", 0)
+    flat, shards = rng.normal(size=2 * 6 + 6 + 6 * 5 + 5 + 5 + 1), []
+    for n in (9000, 0, 7, 13_001):  # more than are read or packed at once
+        keys = np.sort(rng.integers(0, 2**62, n))
+        shards.append((keys, np.arange(n) % 5 > 1, rng.integers(0, 2, n).astype(float), np.c_[rng.integers(0, 3, n) / 2, rng.normal(size=n).round(1)]))
+    want = _small_steps(plan, shards, flat, 7) if batch else sum(_gradient(plan, s, flat, 7) for s in shards)
+    with tempfile.TemporaryFile() as file:
+        (stack,) = _stacks(plan, _packed_batches(shards, batch), file)
+        assert np.allclose(_round(plan, stack, flat, 7), want)
+        assert sum(len(h) for h in stack.held) < 2000  # of 8803: equal neighbours are one
+        for own, (keys, train, *_) in zip(stack.rows, (shards[3], shards[0], shards[2])):
+            assert (own[0 : len(own)]["k"] == keys[train]).all()
+
+
+def test_a_task_does_not_hold_its_rows():
+    import tempfile
+    import tracemalloc
+
+    from millrace.operators.network import _Plan, _round, _stacks
+
+    rng, n = np.random.default_rng(4), 600_000
+    plan = _Plan((2, 4, 1), False, (0.5,), 500, 0.01, 1, 1, None, "loss", 0)
+    shards = [(np.arange(n), rng.random(n) < 0.6, rng.normal(size=n), rng.normal(size=(n, 2)))]
+    batches = list(_packed_batches(shards, plan.batch, 10_000))
+    flat = rng.normal(size=2 * 4 + 4 + 4 + 1)
+    with tempfile.TemporaryFile() as file:
+        tracemalloc.start()
+        try:
+            (stack,) = _stacks(plan, iter(batches), file)
+            made = _round(plan, stack, flat, 7)
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+    assert made[len(flat)] + made[len(flat) + 2] == n and peak < 4e6  # its rows take 15 MB
+
+
 def test_network_learns(spark, synth):
     df = synth.withColumn("big", (F.col("label") > 3.5).cast("int"))
     m = fit_network(df, "record_id", FEATURES, "big", "classifier", hidden=(16, 8), dropout=(), epochs=40, learning_rate=0.05, patience=10)
